@@ -34,35 +34,61 @@ class Rule(NamedTuple):
 
 def first_failure(rules: Sequence[Rule]) -> Column:
     """Code of the first rule that does not hold, else NULL."""
-    return F.coalesce(
-        *[
-            F.when(F.coalesce(rule.holds, F.lit(False)), F.lit(None).cast("string")).otherwise(rule.code)
-            for rule in rules
+    chain = F
+    for rule in rules:
+        chain = chain.when(~F.coalesce(rule.holds, F.lit(False)), rule.code)
+    return chain.otherwise(F.lit(None).cast("string"))
+
+
+def payload_parses(payload: Column, tokens: bool = False) -> Column:
+    """One-element array: is the payload unreadable, which required key is missing first, the typed event.
+
+    Whether a key is there and whether its value has the right type are two
+    questions, answered by two parses. The lambda binds the parsed map, so it is
+    parsed once however often it is looked at, and only the answer is kept.
+    ``tokens`` adds the values with their JSON types.
+    """
+    names = F.array(*[F.lit(name) for name in ("schema_version", *S.REQUIRED_FIELDS)])
+
+    def answers(fields: Column) -> Column:
+        missing = F.filter(names, lambda name: F.try_element_at(fields, name).isNull())
+        answer = [
+            fields.isNull().alias("unreadable"),
+            F.get(missing, F.lit(0)).alias("first_missing"),
+            F.from_json(payload, S.ORDER_EVENT).alias("event"),
         ]
-    )
+        if tokens:
+            answer.append(F.from_json(payload, "map<string,variant>").alias("tokens"))
+        return F.struct(*answer)
 
+    return F.transform(F.array(F.from_json(payload, S.PRESENT_FIELDS)), answers)
 
-def contract_rules(fields: Column, schema_version: Column) -> list[Rule]:
-    """``fields``: what the payload contains; ``schema_version``: its version if it is an integer."""
-    rules = [
-        Rule("payload_is_object", "contract_invalid_payload", fields.isNotNull()),
-        Rule(
-            "schema_version_present",
-            "contract_missing_schema_version",
-            F.try_element_at(fields, F.lit("schema_version")).isNotNull(),
-        ),
-        Rule("schema_version_integer", "contract_invalid_schema_version", schema_version.isNotNull()),
+
+def event_columns() -> list[Column]:
+    """The typed event's columns, its time parsed; NULL where the type did not fit."""
+    columns = [F.col(f"event.{f.name}").alias(f.name) for f in S.ORDER_EVENT if f.name != "event_timestamp"]
+    return [
+        *columns,
+        F.col("event.event_timestamp").alias("event_time_text"),
+        F.try_to_timestamp("event.event_timestamp").alias("event_timestamp"),
+    ]
+
+
+def contract_rules() -> list[Rule]:
+    """Rules over ``unreadable``, ``first_missing`` and the integer ``schema_version``, in order."""
+    version, missing = F.col("schema_version"), F.col("first_missing")
+    return [
+        Rule("payload_is_object", "contract_invalid_payload", ~F.col("unreadable")),
         Rule(
-            "schema_version_supported",
-            "contract_unsupported_schema_version",
-            schema_version == S.SCHEMA_VERSION,
+            "schema_version_present", "contract_missing_schema_version", ~missing.eqNullSafe(F.lit("schema_version"))
         ),
+        Rule("schema_version_integer", "contract_invalid_schema_version", version.isNotNull()),
+        Rule("schema_version_supported", "contract_unsupported_schema_version", version == S.SCHEMA_VERSION),
+        *[
+            Rule(f"{name}_present", f"contract_missing_{name}", ~missing.eqNullSafe(F.lit(name)))
+            for name in S.REQUIRED_FIELDS
+        ],
     ]
-    rules += [
-        Rule(f"{name}_present", f"contract_missing_{name}", F.try_element_at(fields, F.lit(name)).isNotNull())
-        for name in S.REQUIRED_FIELDS
-    ]
-    return rules
 
 
 def _is_json_string(tokens: Column, name: str) -> Column:

@@ -13,7 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake import schemas as S
-from orderlake.functions.rules import contract_rules, first_failure, quality_rules
+from orderlake.functions.rules import (
+    contract_rules,
+    event_columns,
+    first_failure,
+    payload_parses,
+    quality_rules,
+)
 from orderlake.functions.scalars import as_column
 
 # Outcomes of a request, in the order they are decided.
@@ -127,23 +133,13 @@ def repair_payloads(matched: DataFrame, strict: bool = True) -> DataFrame:
         F.coalesce(touches_identity, F.lit(False)).alias("protected"),
         F.inline(F.array(F.struct(text.alias("repaired_payload")))),
     )
-    parses = F.struct(
-        F.from_json("repaired_payload", S.PRESENT_FIELDS).alias("fields"),
-        F.from_json("repaired_payload", S.ORDER_EVENT).alias("event"),
-        F.from_json("repaired_payload", _ANY_FIELDS).alias("tokens"),
-    )
-    parsed = rewritten.select("*", F.inline(F.array(parses)))
+    parsed = rewritten.select("*", F.inline(payload_parses(F.col("repaired_payload"), tokens=True)))
     # The request moves into a struct: the rules read the event's columns by name.
     judged = parsed.select(
-        F.struct(*rewritten.columns).alias("request"),
-        "fields",
-        "tokens",
-        *[F.col(f"event.{f.name}").alias(f.name) for f in S.ORDER_EVENT if f.name != "event_timestamp"],
-        F.col("event.event_timestamp").alias("event_time_text"),
-        F.try_to_timestamp("event.event_timestamp").alias("event_timestamp"),
+        F.struct(*rewritten.columns).alias("request"), "unreadable", "first_missing", "tokens", *event_columns()
     ).select(
         "*",
-        first_failure(contract_rules(F.col("fields"), F.col("schema_version"))).alias("new_contract_error"),
+        first_failure(contract_rules()).alias("new_contract_error"),
         first_failure(quality_rules(strict)).alias("new_quality_error"),
     )
     outcome = (

@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake import schemas as S
-from orderlake.functions.rules import contract_rules, first_failure, quality_rules
+from orderlake.functions.rules import (
+    contract_rules,
+    event_columns,
+    first_failure,
+    payload_parses,
+    quality_rules,
+)
 
 _TRANSPORT = ("kafka_key", "topic", "partition", "offset", "kafka_timestamp", "ingested_at", "raw_payload")
 
@@ -29,36 +35,20 @@ def build_bronze(messages: DataFrame, ingested_at: Column | None = None) -> Data
 
 
 def parse_orders(bronze: DataFrame, strict: bool = False) -> DataFrame:
-    """Parse each payload into the fields it contains and into the typed event.
+    """Open each payload: readable or not, first missing key, typed event.
 
-    The two parses answer different questions: is a key there at all, and has it
-    the right type. Both sit in one generator over a single-element array: the
-    optimizer would otherwise copy the parse into every filter and rule that reads
-    a field (about twenty parses per message); it cannot push a filter through a
-    generator, so each payload is parsed once per question.
+    The parses sit in a generator. As plain columns the optimizer would copy them
+    into every filter and rule that reads a field (about twenty parses per message);
+    it pushes no filter through a generator, so each parse runs once per message.
     """
-    payload = F.col("raw_payload")
-    parses = [
-        F.from_json(payload, S.PRESENT_FIELDS).alias("fields"),
-        F.from_json(payload, S.ORDER_EVENT).alias("event"),
-    ]
-    if strict:
-        parses.append(F.from_json(payload, "map<string,variant>").alias("tokens"))
-    parsed = bronze.select(*_TRANSPORT, F.inline(F.array(F.struct(*parses))))
-    columns = [F.col(f"event.{f.name}").alias(f.name) for f in S.ORDER_EVENT if f.name != "event_timestamp"]
-    return parsed.select(
-        *_TRANSPORT,
-        "fields",
-        *(["tokens"] if strict else []),
-        *columns,
-        F.col("event.event_timestamp").alias("event_time_text"),
-        F.try_to_timestamp("event.event_timestamp").alias("event_timestamp"),
+    opened = bronze.select(*_TRANSPORT, F.inline(payload_parses(F.col("raw_payload"), tokens=strict)))
+    return opened.select(
+        *_TRANSPORT, "unreadable", "first_missing", *(["tokens"] if strict else []), *event_columns()
     )
 
 
 def add_contract_error(parsed: DataFrame) -> DataFrame:
-    rules = contract_rules(F.col("fields"), F.col("schema_version"))
-    return parsed.withColumn("contract_error", first_failure(rules))
+    return parsed.withColumn("contract_error", first_failure(contract_rules()))
 
 
 def add_quality_error(contracted: DataFrame, strict: bool = False) -> DataFrame:

@@ -610,17 +610,25 @@ def order_key_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream the deliveries into a lake and compare each layer, row for row, with the batch."""
+    """Stream the deliveries into a lake and compare each layer, row for row, with the batch.
+
+    Messages arrive on the first day of their year here, as a topic's backlog arrives
+    in few hours: every day of seven years would be a folder of its own per layer.
+    """
     pin_utc(spark)
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     paths = Paths(f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}")
     source = spark.readStream.schema(lineitem.schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
-    queries = start_lake(sample.messages(source), paths, {"availableNow": True}, sample.ingest_time())
-    for query in queries:
+
+    def arriving(table: DataFrame) -> DataFrame:
+        return sample.messages(table).withColumn("timestamp", F.date_trunc("year", "timestamp"))
+
+    for query in start_lake(arriving(source), paths, {"availableNow": True}, sample.ingest_time()):
         query.awaitTermination()
-    verdicts = judged(spark, sf_dir)
+    bronze_rows = build_bronze(arriving(sample.read_lineitem(spark, sf_dir)), sample.ingest_time())
+    verdicts = judge(bronze_rows)
     pairs = {
-        "bronze": (read_bronze(spark, paths), bronze(spark, sf_dir)),
+        "bronze": (read_bronze(spark, paths), bronze_rows),
         "silver": (
             read_silver(spark, paths),
             build_silver(verdicts).withColumn("ingestion_hour", F.col("ingestion_hour").cast("int")),

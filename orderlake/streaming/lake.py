@@ -63,7 +63,7 @@ def start_lake_single_pass(
 
     def write_layers(batch: DataFrame, batch_id: int) -> None:
         stamp = F.lit(datetime.now(timezone.utc)) if ingested_at is None else ingested_at
-        judged = judge(build_bronze(batch, stamp)).drop("fields").persist()
+        judged = judge(build_bronze(batch, stamp)).persist()
         bronze = judged.withColumn("ingestion_date", F.to_date("kafka_timestamp")).select(*S.BRONZE.fieldNames())
         layers = {"bronze": bronze, "silver": build_silver(judged), "quarantine": build_quarantine(judged)}
         try:
