@@ -1,4 +1,4 @@
-"""The contract and quality rules as ordered, named column predicates.
+"""The contract and quality rules as ordered, named SQL predicates.
 
 One registry serves the stream, the batch jobs and remediation. A rule says what
 must hold; the first rule that does not hold gives the error code.
@@ -17,30 +17,50 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from orderlake import schemas as S
-from orderlake.functions.scalars import is_filled, is_one_of, is_positive
 
 # A date, optionally with a time to the minute or finer, optionally with an offset.
 ISO_TIMESTAMP = (
-    r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)?)?$"
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+    r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,9})?)?(Z|[+-][0-9]{2}:?[0-9]{2}(:?[0-9]{2})?)?)?$"
 )
+# Something other than white space, in the Unicode sense.
+NOT_BLANK = r"(?U)[^\s\x{1C}-\x{1F}]"
 
 
 class Rule(NamedTuple):
     name: str
     code: str
-    holds: Column
+    holds: str
+
+
+def _listed(values: Sequence[str]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
+
+
+def is_filled(column: str, any_blank: bool = False) -> str:
+    """Text with something in it; ``any_blank`` also strips tabs, newlines and other Unicode blanks."""
+    return f"{column} RLIKE r'{NOT_BLANK}'" if any_blank else f"length(trim({column})) > 0"
+
+
+def is_one_of(column: str, allowed: Sequence[str]) -> str:
+    return f"{column} IN ({_listed(allowed)})"
+
+
+def is_positive(column: str, reject_nan: bool = False) -> str:
+    return f"{column} > 0 AND NOT isnan({column})" if reject_nan else f"{column} > 0"
+
+
+def is_json_string(field: str) -> str:
+    return f"schema_of_variant(try_element_at(tokens, '{field}')) = 'STRING'"
 
 
 def first_failure(rules: Sequence[Rule]) -> Column:
-    """Code of the first rule that does not hold, else NULL."""
-    chain = F
-    for rule in rules:
-        chain = chain.when(~F.coalesce(rule.holds, F.lit(False)), rule.code)
-    return chain.otherwise(F.lit(None).cast("string"))
+    """Code of the first rule that does not hold (or is NULL), else NULL."""
+    branches = " ".join(f"WHEN NOT coalesce({rule.holds}, false) THEN '{rule.code}'" for rule in rules)
+    return F.expr(f"CASE {branches} END")
 
 
-def payload_parses(payload: Column, tokens: bool = False) -> Column:
+def payload_parses(payload: str, tokens: bool = False) -> Column:
     """One-element array: is the payload unreadable, which required key is missing first, the typed event.
 
     Whether a key is there and whether its value has the right type are two
@@ -48,75 +68,61 @@ def payload_parses(payload: Column, tokens: bool = False) -> Column:
     parsed once however often it is looked at, and only the answer is kept.
     ``tokens`` adds the values with their JSON types.
     """
-    names = F.array(*[F.lit(name) for name in ("schema_version", *S.REQUIRED_FIELDS)])
-
-    def answers(fields: Column) -> Column:
-        missing = F.filter(names, lambda name: F.try_element_at(fields, name).isNull())
-        answer = [
-            fields.isNull().alias("unreadable"),
-            F.get(missing, F.lit(0)).alias("first_missing"),
-            F.from_json(payload, S.ORDER_EVENT).alias("event"),
-        ]
-        if tokens:
-            answer.append(F.from_json(payload, "map<string,variant>").alias("tokens"))
-        return F.struct(*answer)
-
-    return F.transform(F.array(F.from_json(payload, S.PRESENT_FIELDS)), answers)
+    names = _listed(("schema_version", *S.REQUIRED_FIELDS))
+    typed_tokens = f", from_json({payload}, 'map<string,variant>') AS tokens" if tokens else ""
+    return F.expr(
+        f"""transform(array(from_json({payload}, 'map<string,string>')), present -> struct(
+            present IS NULL AS unreadable,
+            get(filter(array({names}), name -> try_element_at(present, name) IS NULL), 0) AS first_missing,
+            from_json({payload}, '{S.ORDER_EVENT.simpleString()}') AS event{typed_tokens}))"""
+    )
 
 
-def event_columns() -> list[Column]:
-    """The typed event's columns, its time parsed; NULL where the type did not fit."""
-    columns = [F.col(f"event.{f.name}").alias(f.name) for f in S.ORDER_EVENT if f.name != "event_timestamp"]
-    return [
-        *columns,
-        F.col("event.event_timestamp").alias("event_time_text"),
-        F.try_to_timestamp("event.event_timestamp").alias("event_timestamp"),
-    ]
+# The typed event's columns, its time parsed; NULL where the type did not fit.
+EVENT_COLUMNS = [
+    *[f"event.{f.name}" for f in S.ORDER_EVENT if f.name != "event_timestamp"],
+    "event.event_timestamp AS event_time_text",
+    "try_to_timestamp(event.event_timestamp) AS event_timestamp",
+]
 
 
 def contract_rules() -> list[Rule]:
     """Rules over ``unreadable``, ``first_missing`` and the integer ``schema_version``, in order."""
-    version, missing = F.col("schema_version"), F.col("first_missing")
+
+    def present(field: str) -> str:
+        return f"NOT (first_missing <=> '{field}')"
+
     return [
-        Rule("payload_is_object", "contract_invalid_payload", ~F.col("unreadable")),
+        Rule("payload_is_object", "contract_invalid_payload", "NOT unreadable"),
+        Rule("schema_version_present", "contract_missing_schema_version", present("schema_version")),
+        Rule("schema_version_integer", "contract_invalid_schema_version", "schema_version IS NOT NULL"),
         Rule(
-            "schema_version_present", "contract_missing_schema_version", ~missing.eqNullSafe(F.lit("schema_version"))
+            "schema_version_supported",
+            "contract_unsupported_schema_version",
+            f"schema_version = {S.SCHEMA_VERSION}",
         ),
-        Rule("schema_version_integer", "contract_invalid_schema_version", version.isNotNull()),
-        Rule("schema_version_supported", "contract_unsupported_schema_version", version == S.SCHEMA_VERSION),
-        *[
-            Rule(f"{name}_present", f"contract_missing_{name}", ~missing.eqNullSafe(F.lit(name)))
-            for name in S.REQUIRED_FIELDS
-        ],
+        *[Rule(f"{field}_present", f"contract_missing_{field}", present(field)) for field in S.REQUIRED_FIELDS],
     ]
 
 
-def _is_json_string(tokens: Column, name: str) -> Column:
-    token = F.try_element_at(tokens, F.lit(name))
-    return F.coalesce(F.schema_of_variant(token) == "STRING", F.lit(False))
-
-
 def quality_rules(strict: bool = False) -> list[Rule]:
     """Rules over the parsed columns; ``strict`` also reads ``event_time_text`` and ``tokens``."""
-    c = F.col
 
-    def text(name: str) -> Column:
-        holds = is_filled(c(name), any_blank=strict)
-        return holds & _is_json_string(c("tokens"), name) if strict else holds
+    def text(field: str) -> str:
+        filled = is_filled(field, any_blank=strict)
+        return f"{filled} AND {is_json_string(field)}" if strict else filled
 
-    when_ok = c("event_timestamp").isNotNull()
+    timed = "event_timestamp IS NOT NULL"
     if strict:
-        when_ok = (
-            when_ok & c("event_time_text").rlike(ISO_TIMESTAMP) & _is_json_string(c("tokens"), "event_timestamp")
-        )
+        timed += f" AND event_time_text RLIKE r'{ISO_TIMESTAMP}' AND {is_json_string('event_timestamp')}"
     return [
         Rule("event_id_required", "missing_or_invalid_event_id", text("event_id")),
         Rule("order_id_required", "missing_order_id", text("order_id")),
         Rule("product_id_required", "missing_product_id", text("product_id")),
-        Rule("event_type_supported", "unsupported_event_type", is_one_of(c("event_type"), S.EVENT_TYPES)),
-        Rule("event_timestamp_valid", "invalid_event_timestamp", when_ok),
-        Rule("quantity_positive", "invalid_quantity", is_positive(c("quantity"))),
-        Rule("unit_price_positive", "invalid_unit_price", is_positive(c("unit_price"), reject_nan=strict)),
-        Rule("currency_supported", "unsupported_currency", is_one_of(c("currency"), S.CURRENCIES)),
-        Rule("category_supported", "unsupported_category", is_one_of(c("category"), S.CATEGORIES)),
+        Rule("event_type_supported", "unsupported_event_type", is_one_of("event_type", S.EVENT_TYPES)),
+        Rule("event_timestamp_valid", "invalid_event_timestamp", timed),
+        Rule("quantity_positive", "invalid_quantity", is_positive("quantity")),
+        Rule("unit_price_positive", "invalid_unit_price", is_positive("unit_price", reject_nan=strict)),
+        Rule("currency_supported", "unsupported_currency", is_one_of("currency", S.CURRENCIES)),
+        Rule("category_supported", "unsupported_category", is_one_of("category", S.CATEGORIES)),
     ]

@@ -14,24 +14,6 @@ def as_column(value: Column | datetime | str | int | None) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def is_filled(c: Column, any_blank: bool = False) -> Column:
-    """Text with something in it; ``any_blank`` also strips tabs, newlines and other Unicode blanks."""
-    if any_blank:
-        return F.coalesce(c.rlike(r"(?U)[^\s\x{1C}-\x{1F}]"), F.lit(False))
-    return F.coalesce(F.length(F.trim(c)) > 0, F.lit(False))
-
-
-def is_one_of(c: Column, allowed: tuple[str, ...]) -> Column:
-    return F.coalesce(c.isin(*allowed), F.lit(False))
-
-
-def is_positive(c: Column, reject_nan: bool = False) -> Column:
-    ok = c > 0
-    if reject_nan:
-        ok = ok & ~F.isnan(c)
-    return F.coalesce(ok, F.lit(False))
-
-
 def age_minutes(now: Column, since: Column) -> Column:
     """Whole minutes elapsed, cut off (the health check's age)."""
     elapsed = F.unix_micros(now) - F.unix_micros(since)

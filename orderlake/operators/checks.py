@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake import schemas as S
-from orderlake.functions.scalars import is_one_of
 
 
 class Check(NamedTuple):
@@ -103,7 +102,7 @@ def _row_fails(check: Check) -> Column | None:
     if check.kind == "in_range":
         return ~c.between(*check.values)
     if check.kind == "allowed":
-        return c.isNotNull() & ~is_one_of(c, check.values)
+        return c.isNotNull() & ~c.isin(*check.values)
     return None
 
 
@@ -117,7 +116,7 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
         counts = df.where(c.isNotNull()).groupBy(check.column).agg(F.count("*").alias("n_records"))
         return counts.where("n_records > 1")
     if check.kind == "accepted_values":
-        bad = df.where(c.isNotNull() & ~is_one_of(c, check.values))
+        bad = df.where(c.isNotNull() & ~c.isin(*check.values))
         return bad.groupBy(check.column).agg(F.count("*").alias("n_records"))
     if check.kind == "one_event_per_key":
         return duplicate_business_keys(df, check.column)

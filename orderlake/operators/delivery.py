@@ -13,7 +13,13 @@ from orderlake import schemas as S
 LOAD_ORDER = ("ingestion_date", "ingestion_hour", "file_path", "row_index")
 
 _RENAMED = {"topic": "kafka_topic", "partition": "kafka_partition", "offset": "kafka_offset"}
-_DECIMALS = {"unit_price": S.MONEY_PRICE, "order_value": S.MONEY_VALUE}
+_MONEY = {"unit_price": S.MONEY_PRICE, "order_value": S.MONEY_VALUE}
+
+
+def _warehouse_column(field: str) -> str:
+    if field in _MONEY:
+        return f"try_cast({field} AS {_MONEY[field].simpleString()}) AS {field}"
+    return f"`{field}` AS {_RENAMED.get(field, field)}"
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -33,15 +39,8 @@ def first_deliveries(silver: DataFrame, order: Sequence[str | Column] = LOAD_ORD
 
 def to_warehouse_row(silver: DataFrame, *extra: str) -> DataFrame:
     """Silver columns under their warehouse names and money types (NULL if a value does not fit)."""
-    columns = []
-    for field in S.SILVER.fieldNames():
-        if field in ("ingestion_date", "ingestion_hour"):
-            continue
-        column = F.col(field)
-        if field in _DECIMALS:
-            column = column.try_cast(_DECIMALS[field])
-        columns.append(column.alias(_RENAMED.get(field, field)))
-    return silver.select(*columns, *extra)
+    fields = [f for f in S.SILVER.fieldNames() if f not in ("ingestion_date", "ingestion_hour")]
+    return silver.selectExpr(*[_warehouse_column(f) for f in fields], *extra)
 
 
 def insert_absent(target: DataFrame, batch: DataFrame, broadcast_batch: bool = False) -> DataFrame:

@@ -76,14 +76,14 @@ def metric_history(metrics: DataFrame, n: int = 24) -> DataFrame:
     )
 
 
-def trend_summary(history: DataFrame, metric: str) -> DataFrame:
-    """Lowest, highest and latest value of one metric and how many snapshots have it."""
-    known = F.col(metric).isNotNull()
-    return history.where(known).agg(
-        F.lit(metric).alias("metric"),
-        F.min(metric).alias("minimum"),
-        F.max(metric).alias("maximum"),
-        F.max_by(metric, "recorded_at").alias("latest"),
+def trend_summary(history: DataFrame, *metrics: str) -> DataFrame:
+    """Lowest, highest and latest value of each metric and how many snapshots have it."""
+    pairs = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("bigint").alias("value")) for m in metrics]
+    values = history.select("recorded_at", F.inline(F.array(*pairs))).where("value IS NOT NULL")
+    return values.groupBy("metric").agg(
+        F.min("value").alias("minimum"),
+        F.max("value").alias("maximum"),
+        F.max_by("value", "recorded_at").alias("latest"),
         F.count("*").alias("snapshots"),
     )
 

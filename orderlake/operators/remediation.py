@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from orderlake import schemas as S
 from orderlake.functions.rules import (
+    EVENT_COLUMNS,
     contract_rules,
-    event_columns,
     first_failure,
     payload_parses,
     quality_rules,
@@ -133,11 +133,10 @@ def repair_payloads(matched: DataFrame, strict: bool = True) -> DataFrame:
         F.coalesce(touches_identity, F.lit(False)).alias("protected"),
         F.inline(F.array(F.struct(text.alias("repaired_payload")))),
     )
-    parsed = rewritten.select("*", F.inline(payload_parses(F.col("repaired_payload"), tokens=True)))
+    parsed = rewritten.select("*", F.inline(payload_parses("repaired_payload", tokens=True)))
     # The request moves into a struct: the rules read the event's columns by name.
-    judged = parsed.select(
-        F.struct(*rewritten.columns).alias("request"), "unreadable", "first_missing", "tokens", *event_columns()
-    ).select(
+    request = f"struct({', '.join(rewritten.columns)}) AS request"
+    judged = parsed.selectExpr(request, "unreadable", "first_missing", "tokens", *EVENT_COLUMNS).select(
         "*",
         first_failure(contract_rules()).alias("new_contract_error"),
         first_failure(quality_rules(strict)).alias("new_quality_error"),

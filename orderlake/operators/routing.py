@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from orderlake import schemas as S
 from orderlake.functions.rules import (
+    EVENT_COLUMNS,
     contract_rules,
-    event_columns,
     first_failure,
     payload_parses,
     quality_rules,
@@ -22,15 +22,16 @@ _TRANSPORT = ("kafka_key", "topic", "partition", "offset", "kafka_timestamp", "i
 
 def build_bronze(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Every message untouched, stamped with the ingest time; dated by the broker's clock."""
-    return messages.select(
-        F.col("key").cast("string").alias("kafka_key"),
-        F.col("value").cast("string").alias("raw_payload"),
+    stamped = messages.withColumn("ingested_at", F.current_timestamp() if ingested_at is None else ingested_at)
+    return stamped.selectExpr(
+        "cast(key AS string) AS kafka_key",
+        "cast(value AS string) AS raw_payload",
         "topic",
-        "partition",
-        "offset",
-        F.col("timestamp").alias("kafka_timestamp"),
-        (F.current_timestamp() if ingested_at is None else ingested_at).alias("ingested_at"),
-        F.to_date("timestamp").alias("ingestion_date"),
+        "`partition`",
+        "`offset`",
+        "timestamp AS kafka_timestamp",
+        "ingested_at",
+        "to_date(timestamp) AS ingestion_date",
     )
 
 
@@ -41,10 +42,9 @@ def parse_orders(bronze: DataFrame, strict: bool = False) -> DataFrame:
     into every filter and rule that reads a field (about twenty parses per message);
     it pushes no filter through a generator, so each parse runs once per message.
     """
-    opened = bronze.select(*_TRANSPORT, F.inline(payload_parses(F.col("raw_payload"), tokens=strict)))
-    return opened.select(
-        *_TRANSPORT, "unreadable", "first_missing", *(["tokens"] if strict else []), *event_columns()
-    )
+    opened = bronze.select(*_TRANSPORT, F.inline(payload_parses("raw_payload", tokens=strict)))
+    kept = [*_TRANSPORT, "unreadable", "first_missing", *(["tokens"] if strict else [])]
+    return opened.selectExpr(*[f"`{name}`" for name in kept], *EVENT_COLUMNS)
 
 
 def add_contract_error(parsed: DataFrame) -> DataFrame:
@@ -64,34 +64,33 @@ def judge(bronze: DataFrame, strict: bool = False) -> DataFrame:
 
 def build_silver(judged: DataFrame) -> DataFrame:
     """Accepted events with their derived columns; dated by the ingest clock."""
-    accepted = judged.where(F.col("contract_error").isNull() & F.col("validation_error").isNull())
-    return accepted.select(
+    return judged.where("contract_error IS NULL AND validation_error IS NULL").selectExpr(
         "event_id",
         "event_type",
         "event_timestamp",
-        F.to_date("event_timestamp").alias("event_date"),
+        "to_date(event_timestamp) AS event_date",
         "order_id",
         "customer_id",
         "product_id",
         "category",
         "quantity",
         "unit_price",
-        F.round(F.col("quantity") * F.col("unit_price"), 2).alias("order_value"),
+        "round(quantity * unit_price, 2) AS order_value",
         "currency",
         "kafka_key",
         "topic",
-        "partition",
-        "offset",
+        "`partition`",
+        "`offset`",
         "kafka_timestamp",
         "ingested_at",
-        F.to_date("ingested_at").alias("ingestion_date"),
-        F.lpad(F.hour("ingested_at").cast("string"), 2, "0").alias("ingestion_hour"),
+        "to_date(ingested_at) AS ingestion_date",
+        "lpad(hour(ingested_at), 2, '0') AS ingestion_hour",
     )
 
 
 def build_quarantine(judged: DataFrame) -> DataFrame:
     """Refused messages with the first failing code."""
-    refused = judged.where(F.col("contract_error").isNotNull() | F.col("validation_error").isNotNull())
+    refused = judged.where("contract_error IS NOT NULL OR validation_error IS NOT NULL")
     return refused.select(*S.QUARANTINE.fieldNames())
 
 

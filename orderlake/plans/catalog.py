@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,22 +48,55 @@ WINDOWS = {
 # --- the delivery log and the lake ------------------------------------------
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_bronze(sample.messages(sample.read_lineitem(pin_utc(spark), sf_dir)), sample.ingest_time())
+class DeliveryLog:
+    """The derived deliveries of one table folder, and the layers made from them."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = pin_utc(spark), sf_dir
 
-def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(bronze(spark, sf_dir))
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        return sample.read_lineitem(self.spark, self.sf_dir)
 
+    @cached_property
+    def messages(self) -> DataFrame:
+        return sample.messages(self.lineitem)
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver as it is read back: the hour a number, with file positions."""
-    positioned = sample.with_file_position(build_silver(judged(spark, sf_dir)))
-    return positioned.withColumn("ingestion_hour", F.col("ingestion_hour").cast("int"))
+    @cached_property
+    def bronze(self) -> DataFrame:
+        return build_bronze(self.messages, sample.ingest_time())
 
+    @cached_property
+    def judged(self) -> DataFrame:
+        return judge(self.bronze)
 
-def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_quarantine(judged(spark, sf_dir))
+    @cached_property
+    def silver(self) -> DataFrame:
+        """Silver as it is read back: the hour a number, with file positions."""
+        positioned = sample.with_file_position(build_silver(self.judged))
+        return positioned.withColumn("ingestion_hour", F.col("ingestion_hour").cast("int"))
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        return build_quarantine(self.judged)
+
+    @cached_property
+    def first_rows(self) -> DataFrame:
+        return _first(self.silver)
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        """Raw orders after two loads; the second brought what the first had lost or not seen."""
+        loaded_at = F.when(_is_loaded(), F.lit(FIRST_LOAD)).otherwise(F.lit(SECOND_LOAD))
+        return to_warehouse_row(self.first_rows.withColumn("loaded_at", loaded_at), "loaded_at")
+
+
+def bronze_projection(log: DeliveryLog) -> DataFrame:
+    return log.bronze
+
+
+def quarantine_orders(log: DeliveryLog) -> DataFrame:
+    return log.quarantine
 
 
 def _first(rows: DataFrame) -> DataFrame:
@@ -75,49 +108,47 @@ def _money(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
-def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_silver(judged(spark, sf_dir))
+def silver_orders(log: DeliveryLog) -> DataFrame:
+    return build_silver(log.judged)
 
 
-def tail_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_tail(sample.messages(sample.read_lineitem(pin_utc(spark), sf_dir)))
+def tail_decode(log: DeliveryLog) -> DataFrame:
+    return decode_tail(log.messages)
 
 
-def contract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judged(spark, sf_dir).groupBy("contract_error").agg(F.count("*").alias("rows"))
+def contract_errors(log: DeliveryLog) -> DataFrame:
+    return log.judged.groupBy("contract_error").agg(F.count("*").alias("rows"))
 
 
-def quality_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    passed = judged(spark, sf_dir).where("contract_error IS NULL")
+def quality_errors(log: DeliveryLog) -> DataFrame:
+    passed = log.judged.where("contract_error IS NULL")
     return passed.groupBy("validation_error").agg(F.count("*").alias("rows"))
 
 
-def error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.error_summary(judged(spark, sf_dir))
+def error_summary(log: DeliveryLog) -> DataFrame:
+    return reconcile.error_summary(log.judged)
 
 
-def rule_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rule_parity(log: DeliveryLog) -> DataFrame:
     """Messages per code: what the faults planted should give against what the rules found."""
-    lineitem = sample.read_lineitem(pin_utc(spark), sf_dir)
     planted = reduce(
         lambda chain, item: chain.when(sample.fault() == item[0], item[1]),
         sample.EXPECTED_CODES.items(),
         F.when(F.lit(False), ""),
     ).otherwise("valid")
-    expected = lineitem.groupBy(planted.alias("code")).agg(F.count("*").alias("n"))
+    expected = log.lineitem.groupBy(planted.alias("code")).agg(F.count("*").alias("n"))
     code = F.coalesce("contract_error", "validation_error", F.lit("valid"))
-    actual = judge(build_bronze(sample.messages(lineitem), sample.ingest_time()))
-    actual = actual.groupBy(code.alias("code")).agg(F.count("*").alias("n"))
+    actual = log.judged.groupBy(code.alias("code")).agg(F.count("*").alias("n"))
     return reconcile.compare_cases(expected, actual, "code", "n")
 
 
-def route_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    verdicts = judged(spark, sf_dir)
-    return reconcile.route_check(bronze(spark, sf_dir), build_silver(verdicts), build_quarantine(verdicts))
+def route_reconciliation(log: DeliveryLog) -> DataFrame:
+    verdicts = log.judged
+    return reconcile.route_check(log.bronze, build_silver(verdicts), build_quarantine(verdicts))
 
 
-def partition_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layers = {"bronze": bronze(spark, sf_dir), "silver": silver(spark, sf_dir)}
+def partition_offsets(log: DeliveryLog) -> DataFrame:
+    layers = {"bronze": log.bronze, "silver": log.silver}
     ranges = [reconcile.offset_ranges(df).withColumn("layer", F.lit(name)) for name, df in layers.items()]
     return ranges[0].unionByName(ranges[1])
 
@@ -146,9 +177,9 @@ def _load(rows: DataFrame, window: LoadWindow) -> tuple[DataFrame, DataFrame, Da
     return files, batch, insert_absent(_raw_before(rows), batch)
 
 
-def _inserted(mode: str) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        new = _load(silver(spark, sf_dir), WINDOWS[mode])[2]
+def _inserted(mode: str) -> Callable[[DeliveryLog], DataFrame]:
+    def query(log: DeliveryLog) -> DataFrame:
+        new = _load(log.silver, WINDOWS[mode])[2]
         rows = to_warehouse_row(new, "file_path").select(
             "event_id", "order_id", "event_date", "quantity", "order_value", "kafka_offset", "file_path"
         )
@@ -157,14 +188,14 @@ def _inserted(mode: str) -> Query:
     return query
 
 
-def raw_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = to_warehouse_row(_first(silver(spark, sf_dir)))
+def raw_first_wins(log: DeliveryLog) -> DataFrame:
+    raw = to_warehouse_row(log.first_rows)
     return _money(raw, "unit_price", "order_value")
 
 
-def load_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_counters(log: DeliveryLog) -> DataFrame:
     """Counters of a load of each mode, and the watermark a normal load leaves."""
-    rows = silver(spark, sf_dir)
+    rows = log.silver
     reports = []
     for mode, window in WINDOWS.items():
         files, _, new = _load(rows, window)
@@ -191,23 +222,23 @@ def load_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.withColumn("duplicates", F.col("rows_processed") - F.col("rows_inserted"))
 
 
-def silver_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_files(silver(spark, sf_dir))
+def silver_files(log: DeliveryLog) -> DataFrame:
+    return list_files(log.silver)
 
 
-def loaded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loaded_files(log: DeliveryLog) -> DataFrame:
     """Entries a backfill adds to the file ledger."""
-    rows = silver(spark, sf_dir)
+    rows = log.silver
     files = select_files(list_files(rows), WINDOWS[BACKFILL], _file_ledger(rows))
     return files.where("selected AND NOT loaded_before").select(
         "file_path", F.lit(S.DATASET).alias("dataset_name"), "ingestion_date", "ingestion_hour", "row_count"
     )
 
 
-def current_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+def current_watermark(log: DeliveryLog) -> DataFrame:
     """Newest watermark from one ledger entry per ingested partition."""
     versions = (
-        silver(spark, sf_dir)
+        log.silver
         .groupBy("ingestion_date", "ingestion_hour")
         .agg(F.max("ingested_at").alias("updated_at"))
         .select(
@@ -223,31 +254,24 @@ def current_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- models ------------------------------------------------------------------
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw orders after two loads; the second brought what the first had lost or not seen."""
-    first = _first(silver(spark, sf_dir))
-    loaded_at = F.when(_is_loaded(), F.lit(FIRST_LOAD)).otherwise(F.lit(SECOND_LOAD))
-    return to_warehouse_row(first.withColumn("loaded_at", loaded_at), "loaded_at")
-
-
 def _fact_before(raw: DataFrame) -> DataFrame:
     """The fact as built after the first load."""
     return fact_rows(stage_orders(raw)).where(F.col("loaded_at") == F.lit(FIRST_LOAD))
 
 
-def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _money(stage_orders(_raw(spark, sf_dir)), "unit_price", "order_value")
+def stg_orders(log: DeliveryLog) -> DataFrame:
+    return _money(stage_orders(log.raw), "unit_price", "order_value")
 
 
-def fct_orders_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fct_orders_incremental(log: DeliveryLog) -> DataFrame:
     """The rows one incremental build adds."""
-    raw = _raw(spark, sf_dir)
+    raw = log.raw
     return _money(fact_rows(newer_than_fact(stage_orders(raw), _fact_before(raw))), "unit_price", "order_value")
 
 
-def fct_orders_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fct_orders_upsert(log: DeliveryLog) -> DataFrame:
     """The fact after an incremental build that also replaces stale rows of it."""
-    raw = _raw(spark, sf_dir)
+    raw = log.raw
     stale = fact_rows(stage_orders(raw)).where(
         (F.col("loaded_at") == F.lit(SECOND_LOAD)) & (F.dayofmonth("event_date") == 3)
     )
@@ -256,14 +280,14 @@ def fct_orders_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _money(fact, "unit_price", "order_value")
 
 
-def mart_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = build_fact(stage_orders(_raw(spark, sf_dir)))
+def mart_daily_sales(log: DeliveryLog) -> DataFrame:
+    fact = build_fact(stage_orders(log.raw))
     return _money(build_daily_sales(fact), "gross_revenue", "average_order_value")
 
 
-def late_event_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+def late_event_correction(log: DeliveryLog) -> DataFrame:
     """Business days the second load changed, before and after."""
-    raw = _raw(spark, sf_dir)
+    raw = log.raw
     tagged = fact_rows(stage_orders(raw))
     before = build_daily_sales(_fact_before(raw))
     after = build_daily_sales(tagged)
@@ -277,53 +301,53 @@ def late_event_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- data tests --------------------------------------------------------------
 
 
-def duplicate_business_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.duplicate_business_keys(stage_orders(_raw(spark, sf_dir)))
+def duplicate_business_keys(log: DeliveryLog) -> DataFrame:
+    return checks.duplicate_business_keys(stage_orders(log.raw))
 
 
-def data_test_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw(spark, sf_dir)
+def data_test_report(log: DeliveryLog) -> DataFrame:
+    raw = log.raw
     staged = stage_orders(raw)
     return checks.run_checks({"raw_orders": raw, "stg_orders": staged, "fct_orders": build_fact(staged)})
 
 
-def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def constraint_report(log: DeliveryLog) -> DataFrame:
     """What the raw table's constraints would refuse if all deliveries were inserted as they came."""
-    rows = to_warehouse_row(silver(spark, sf_dir)).withColumn("loaded_at", F.lit(FIRST_LOAD))
+    rows = to_warehouse_row(log.silver).withColumn("loaded_at", F.lit(FIRST_LOAD))
     return checks.run_checks({"raw_orders": rows}, {"raw_orders": checks.RAW_CONSTRAINTS})
 
 
 # --- health ------------------------------------------------------------------
 
 
-def _warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw(spark, sf_dir)
+def _warehouse(log: DeliveryLog) -> DataFrame:
+    raw = log.raw
     fact = build_fact(stage_orders(raw))
     return health.warehouse_metrics(raw, fact, build_daily_sales(fact))
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    verdicts = judged(spark, sf_dir)
-    return health.lake_metrics(bronze(spark, sf_dir), build_silver(verdicts), build_quarantine(verdicts))
+def _lake(log: DeliveryLog) -> DataFrame:
+    verdicts = log.judged
+    return health.lake_metrics(log.bronze, build_silver(verdicts), build_quarantine(verdicts))
 
 
-def pipeline_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pipeline_health(log: DeliveryLog) -> DataFrame:
     """The verdict over the whole lake and warehouse, strict."""
-    verdict = health.evaluate_health(_lake(spark, sf_dir), _warehouse(spark, sf_dir), CHECKED_AT, strict=True)
+    verdict = health.evaluate_health(_lake(log), _warehouse(log), CHECKED_AT, strict=True)
     return _flat(verdict)
 
 
-def _daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _daily_metrics(log: DeliveryLog) -> DataFrame:
     """One metrics snapshot per day: what arrived that day and how far it got.
 
     Bronze counts by the broker's day and the others by the ingest day, on some days
     the model builds ran short, and checks ran later in the month the later at night,
     so every finding occurs.
     """
-    verdicts = judged(spark, sf_dir)
+    verdicts = log.judged
     day = F.to_date("ingested_at")
     accepted = F.col("contract_error").isNull() & F.col("validation_error").isNull()
-    arrived = bronze(spark, sf_dir).groupBy(F.col("ingestion_date").alias("day")).agg(F.count("*").alias("bronze_rows"))
+    arrived = log.bronze.groupBy(F.col("ingestion_date").alias("day")).agg(F.count("*").alias("bronze_rows"))
     routed = verdicts.groupBy(day.alias("day")).agg(
         F.count_if(accepted).alias("silver_rows"),
         F.count_distinct(F.when(accepted, F.col("event_id"))).alias("silver_unique_events"),
@@ -332,7 +356,7 @@ def _daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = ~((F.dayofmonth("ingestion_date") == 13) & (F.col("partition") == 1))
     summed = built & ~((F.dayofmonth("ingestion_date") == 17) & (F.col("partition") == 2))
     loaded = (
-        _first(silver(spark, sf_dir))
+        log.first_rows
         .groupBy(F.col("ingestion_date").alias("day"))
         .agg(
             F.count("*").alias("raw_orders"),
@@ -354,8 +378,8 @@ def _daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _daily_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = _daily_metrics(spark, sf_dir)
+def _daily_verdicts(log: DeliveryLog) -> DataFrame:
+    daily = _daily_metrics(log)
     return health.evaluate_health(daily, now=F.col("recorded_at"), max_lag_rows=DAILY_LAG_ROWS)
 
 
@@ -364,13 +388,13 @@ def _flat(verdict: DataFrame) -> DataFrame:
     return verdict.withColumn("incident_types", F.array_join("incident_types", ",")).drop("issues")
 
 
-def health_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(_daily_verdicts(spark, sf_dir))
+def health_verdict(log: DeliveryLog) -> DataFrame:
+    return _flat(_daily_verdicts(log))
 
 
-def _transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _transitions(log: DeliveryLog) -> DataFrame:
     """Each day's verdict against the incidents the day before left open."""
-    verdicts = _daily_verdicts(spark, sf_dir).withColumn("run_id", F.concat(F.lit("run-"), F.col("day")))
+    verdicts = _daily_verdicts(log).withColumn("run_id", F.concat(F.lit("run-"), F.col("day")))
     kind = F.explode("incident_types").alias("incident_type")
     left_open = verdicts.select(
         F.date_add("day", 1).alias("day"),
@@ -385,18 +409,18 @@ def _transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.incident_transitions(left_open, verdicts, F.col("run_id"), F.col("recorded_at"), scope=["day"])
 
 
-def incident_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _transitions(spark, sf_dir)
+def incident_transitions(log: DeliveryLog) -> DataFrame:
+    return _transitions(log)
 
 
-def pending_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    due = health.pending_notices(_transitions(spark, sf_dir))
+def pending_notices(log: DeliveryLog) -> DataFrame:
+    due = health.pending_notices(_transitions(log))
     return due.select("day", "incident_type", "notice", "severity", "details", "changed_at")
 
 
-def sent_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sent_notices(log: DeliveryLog) -> DataFrame:
     """Transitions per type with the times their notices went out."""
-    sent = health.stamp_notices(_transitions(spark, sf_dir), F.col("changed_at") + F.expr("INTERVAL 1 MINUTE"))
+    sent = health.stamp_notices(_transitions(log), F.col("changed_at") + F.expr("INTERVAL 1 MINUTE"))
     return sent.groupBy("incident_type", "transition").agg(
         F.count("*").alias("n"),
         F.count("alert_sent_at").alias("alerts"),
@@ -409,94 +433,104 @@ def sent_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- operations --------------------------------------------------------------
 
 
-def _metrics_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _metrics_ledger(log: DeliveryLog) -> DataFrame:
     """Stored snapshots; those before 1996 predate the duplicate-aware column."""
-    rows = health.metrics_row(_daily_verdicts(spark, sf_dir), F.col("recorded_at"))
+    rows = health.metrics_row(_daily_verdicts(log), F.col("recorded_at"))
     aware = F.when(F.year("recorded_at") >= 1996, F.col("silver_unique_events"))
     return rows.withColumn("silver_unique_events", aware)
 
 
-def metrics_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metrics_ledger(spark, sf_dir)
+def metrics_ledger(log: DeliveryLog) -> DataFrame:
+    return _metrics_ledger(log)
 
 
-def latest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return operations.latest_metrics(_metrics_ledger(spark, sf_dir))
+def latest_metrics(log: DeliveryLog) -> DataFrame:
+    return operations.latest_metrics(_metrics_ledger(log))
 
 
-def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return operations.metric_history(_metrics_ledger(spark, sf_dir), LATEST_DAYS)
+def metric_history(log: DeliveryLog) -> DataFrame:
+    return operations.metric_history(_metrics_ledger(log), LATEST_DAYS)
 
 
-def trend_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = operations.metric_history(_metrics_ledger(spark, sf_dir), LATEST_DAYS)
+def trend_summary(log: DeliveryLog) -> DataFrame:
+    history = operations.metric_history(_metrics_ledger(log), LATEST_DAYS)
     metrics = ("silver_raw_lag", "silver_duplicate_deliveries", "freshness_minutes")
-    return reduce(lambda a, b: a.unionByName(b), [operations.trend_summary(history, m) for m in metrics])
+    return operations.trend_summary(history, *metrics)
 
 
-def open_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = current_state(_transitions(spark, sf_dir), "incident_type", "changed_at")
+def open_incidents(log: DeliveryLog) -> DataFrame:
+    newest = current_state(_transitions(log), "incident_type", "changed_at")
     return operations.open_incidents(newest)
 
 
-def _run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _run_events(log: DeliveryLog) -> DataFrame:
     """Run ledger: one run per day; a run on the tenth failed at first and was started again."""
-    daily = _daily_verdicts(spark, sf_dir).withColumn("run_id", F.concat(F.lit("run-"), F.col("day")))
-    retried = daily.where(F.dayofmonth("day") == 10)
-
-    def event(df: DataFrame, kind: str, minutes: int, **columns: Column) -> DataFrame:
-        at = F.col("recorded_at") + F.expr(f"INTERVAL {minutes} MINUTES")
-        given = {**columns, **({"finished_at": at} if "error_message" in columns or "dbt_status" in columns else {})}
-        typed = [
-            given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in S.RUN_COLUMNS
+    daily = _daily_verdicts(log).withColumn("run_id", F.concat(F.lit("run-"), F.col("day")))
+    retried, degraded = "dayofmonth(day) = 10", "status = 'DEGRADED'"
+
+    def event(kind: str, minutes: int, only: str = "true", **columns: str) -> str:
+        at = f"recorded_at + INTERVAL {minutes} MINUTES"
+        if "error_message" in columns or "dbt_status" in columns:
+            columns["finished_at"] = at
+        values = [
+            f"cast({columns.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in S.RUN_COLUMNS
         ]
-        return df.select("run_id", F.lit(kind).alias("event"), at.alias("event_at"), *typed)
+        return f"if({only}, struct(run_id, '{kind}' AS event, {at} AS event_at, {', '.join(values)}), NULL)"
 
-    degraded = F.col("status") == "DEGRADED"
-    failed = F.lit("Pipeline failed. Failed tasks: health")
     events = [
-        event(retried, operations.STARTED, -30, status=F.lit("RUNNING")),
-        event(retried, operations.UPDATED, -28, loader_files_skipped=F.lit(9), loader_files_loaded=F.lit(9)),
-        event(retried, operations.UPDATED, -25, status=F.lit("FAILED"), error_message=F.lit("Pipeline failed. Failed tasks: load")),
-        event(daily, operations.STARTED, 0, status=F.lit("RUNNING")),
+        event(operations.STARTED, -30, retried, status="'RUNNING'"),
+        event(operations.UPDATED, -28, retried, loader_files_skipped="9", loader_files_loaded="9"),
+        event(
+            operations.UPDATED,
+            -25,
+            retried,
+            status="'FAILED'",
+            error_message="'Pipeline failed. Failed tasks: load'",
+        ),
+        event(operations.STARTED, 0, status="'RUNNING'"),
         event(
-            daily,
             operations.UPDATED,
             2,
-            loader_files_loaded=F.lit(1),
-            loader_rows_processed=F.col("silver_rows"),
-            loader_rows_inserted=F.col("raw_orders"),
-            loader_duplicates=F.col("silver_rows") - F.col("raw_orders"),
+            loader_files_loaded="1",
+            loader_rows_processed="silver_rows",
+            loader_rows_inserted="raw_orders",
+            loader_duplicates="silver_rows - raw_orders",
+        ),
+        event(
+            operations.UPDATED,
+            5,
+            degraded,
+            status="'FAILED'",
+            error_message="'Pipeline failed. Failed tasks: health'",
         ),
-        event(daily.where(degraded), operations.UPDATED, 5, status=F.lit("FAILED"), error_message=failed),
         event(
-            daily.where(~degraded),
             operations.UPDATED,
             6,
-            status=F.lit("SUCCEEDED"),
-            dbt_status=F.lit("SUCCEEDED"),
-            health_status=F.col("status"),
-            raw_orders=F.col("raw_orders"),
-            latest_load=F.col("latest_loaded_at"),
+            f"NOT ({degraded})",
+            status="'SUCCEEDED'",
+            dbt_status="'SUCCEEDED'",
+            health_status="status",
+            raw_orders="raw_orders",
+            latest_load="latest_loaded_at",
         ),
     ]
-    return reduce(lambda a, b: a.unionByName(b), events)
+    return daily.selectExpr(f"inline(array_compact(array({', '.join(events)})))")
 
 
-def run_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return operations.current_runs(_run_events(spark, sf_dir))
+def run_state(log: DeliveryLog) -> DataFrame:
+    return operations.current_runs(_run_events(log))
 
 
-def recent_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return operations.recent_runs(operations.current_runs(_run_events(spark, sf_dir)), 5)
+def recent_runs(log: DeliveryLog) -> DataFrame:
+    return operations.recent_runs(operations.current_runs(_run_events(log)), 5)
 
 
 # --- remediation and repair --------------------------------------------------
 
 
-def _repair_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _repair_requests(log: DeliveryLog) -> DataFrame:
     """One request per event with a repairable fault, and some that must be refused."""
-    lineitem = sample.read_lineitem(pin_utc(spark), sf_dir)
+    lineitem = log.lineitem
     f, line = sample.fault(), F.col("l_linenumber")
     order_id = F.concat(F.lit("ORD-"), F.col("l_orderkey"))
 
@@ -527,14 +561,14 @@ def _repair_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _remediation(spark: SparkSession, sf_dir: str) -> remediation.Remediation:
+def _remediation(log: DeliveryLog) -> remediation.Remediation:
     return remediation.remediate(
-        quarantine(spark, sf_dir), _repair_requests(spark, sf_dir), "batch-1", CHECKED_AT, publish=True
+        log.quarantine, _repair_requests(log), "batch-1", CHECKED_AT, publish=True
     )
 
 
-def quarantine_remediation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = _remediation(spark, sf_dir).report
+def quarantine_remediation(log: DeliveryLog) -> DataFrame:
+    report = _remediation(log).report
     field = lambda name: F.get_json_object("repaired_payload", f"$.{name}")
     return report.select(
         "event_id",
@@ -550,9 +584,9 @@ def quarantine_remediation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def repaired_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def repaired_messages(log: DeliveryLog) -> DataFrame:
     """The repairs judged again as new deliveries: how the stream would route them."""
-    repaired = _remediation(spark, sf_dir).repaired
+    repaired = _remediation(log).repaired
     again = judge(
         repaired.select(
             F.col("repaired_order_id").alias("kafka_key"),
@@ -568,20 +602,20 @@ def repaired_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select("event_id", "order_id", "kafka_key", "event_date", "quantity", "unit_price", "order_value")
 
 
-def remediation_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _remediation(spark, sf_dir).audit
+def remediation_audit(log: DeliveryLog) -> DataFrame:
+    return _remediation(log).audit
 
 
-def remediation_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def remediation_history(log: DeliveryLog) -> DataFrame:
     """Audit newest first, each row dated by its message."""
-    audit = _remediation(spark, sf_dir).audit.withColumn("created_at", F.col("original_kafka_timestamp"))
+    audit = _remediation(log).audit.withColumn("created_at", F.col("original_kafka_timestamp"))
     history = operations.remediation_history(audit)
     return history.select("created_at", "event_id", "action", "status", "corrections")
 
 
-def _order_key_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_key_map(log: DeliveryLog) -> DataFrame:
     """First lines of every seventh order get a new id; every third of these names a wrong old one."""
-    lineitem = sample.read_lineitem(pin_utc(spark), sf_dir)
+    lineitem = log.lineitem
     order_id = F.concat(F.lit("ORD-"), F.col("l_orderkey"))
     chosen = lineitem.where((F.col("l_orderkey") % 7 == 0) & (F.col("l_linenumber") == 1)).groupBy("l_orderkey")
     return chosen.agg(F.count("*").alias("n")).select(
@@ -591,31 +625,31 @@ def _order_key_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_key_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return key_repair.repair_order_ids(silver(spark, sf_dir), _order_key_map(spark, sf_dir)).report
+def order_key_repair(log: DeliveryLog) -> DataFrame:
+    return key_repair.repair_order_ids(log.silver, _order_key_map(log)).report
 
 
-def order_key_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return key_repair.repair_order_ids(silver(spark, sf_dir), _order_key_map(spark, sf_dir)).files
+def order_key_files(log: DeliveryLog) -> DataFrame:
+    return key_repair.repair_order_ids(log.silver, _order_key_map(log)).files
 
 
-def order_key_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_key_overlay(log: DeliveryLog) -> DataFrame:
     """All of Silver with the accepted repairs laid over it."""
-    rows = silver(spark, sf_dir)
-    report = key_repair.repair_order_ids(rows, _order_key_map(spark, sf_dir)).report
+    rows = log.silver
+    report = key_repair.repair_order_ids(rows, _order_key_map(log)).report
     return key_repair.apply_overlay(rows, report).select("event_id", "order_id", "partition", "offset")
 
 
 # --- streaming ---------------------------------------------------------------
 
 
-def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_equals_batch(log: DeliveryLog) -> DataFrame:
     """Stream the deliveries into a lake and compare each layer, row for row, with the batch.
 
     Messages arrive on the first day of their year here, as a topic's backlog arrives
     in few hours: every day of seven years would be a folder of its own per layer.
     """
-    pin_utc(spark)
+    spark, sf_dir = log.spark, log.sf_dir
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     paths = Paths(f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}")
     source = spark.readStream.schema(lineitem.schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
@@ -625,7 +659,7 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for query in start_lake(arriving(source), paths, {"availableNow": True}, sample.ingest_time()):
         query.awaitTermination()
-    bronze_rows = build_bronze(arriving(sample.read_lineitem(spark, sf_dir)), sample.ingest_time())
+    bronze_rows = build_bronze(arriving(log.lineitem), sample.ingest_time())
     verdicts = judge(bronze_rows)
     pairs = {
         "bronze": (read_bronze(spark, paths), bronze_rows),
@@ -654,15 +688,15 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), reports)
 
 
-QUERIES: dict[str, Query] = {
-    "bronze_projection": bronze,
+_ON_LOG: dict[str, Callable[[DeliveryLog], DataFrame]] = {
+    "bronze_projection": bronze_projection,
     "tail_decode": tail_decode,
     "contract_errors": contract_errors,
     "quality_errors": quality_errors,
     "error_summary": error_summary,
     "rule_parity": rule_parity,
     "silver_orders": silver_orders,
-    "quarantine_orders": quarantine,
+    "quarantine_orders": quarantine_orders,
     "route_reconciliation": route_reconciliation,
     "partition_offsets": partition_offsets,
     "raw_first_wins": raw_first_wins,
@@ -704,3 +738,10 @@ QUERIES: dict[str, Query] = {
     "order_key_overlay": order_key_overlay,
     "stream_equals_batch": stream_equals_batch,
 }
+
+
+def _bind(query: Callable[[DeliveryLog], DataFrame]) -> Query:
+    return lambda spark, sf_dir: query(DeliveryLog(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {name: _bind(query) for name, query in _ON_LOG.items()}

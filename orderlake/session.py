@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # A committed file that vanished is an error, never a smaller count.
     "spark.sql.files.ignoreMissingFiles": "false",
+    # Recording the call site of every column expression doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

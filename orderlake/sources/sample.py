@@ -65,52 +65,34 @@ def fault() -> Column:
     return F.col("l_orderkey") % 29
 
 
-def _event_id() -> Column:
-    return F.concat(F.lit("evt-"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber"))
+# The payload of a line item, its fault at the place the remainder says.
+_PAYLOAD = f"""
+CASE WHEN l_orderkey % 29 = {NOT_JSON} THEN 'not json' ELSE concat(
+  '{{',
+  CASE l_orderkey % 29
+    WHEN {NO_VERSION} THEN ''
+    WHEN {VERSION_99} THEN '"schema_version":99,'
+    WHEN {TEXT_VERSION} THEN '"schema_version":"x",'
+    ELSE '"schema_version":1,' END,
+  '"event_id":"', if(l_orderkey % 29 = {BLANK_EVENT_ID}, ' ', concat('evt-', l_orderkey, '-', l_linenumber)),
+  '","event_type":"', if(l_orderkey % 29 = {BAD_TYPE}, 'order_deleted', 'order_created'),
+  '","event_timestamp":"', if(l_orderkey % 29 = {BAD_TIME}, 'not-a-timestamp',
+                              concat(cast(l_shipdate AS date), 'T00:00:00+00:00')),
+  '",', if(l_orderkey % 29 = {NO_ORDER_ID}, '', concat('"order_id":"ORD-', l_orderkey, '",')),
+  '"product_id":"PRD-', l_partkey,
+  '","category":"', if(l_orderkey % 29 = {BAD_CATEGORY}, 'automotive', 'home'),
+  '","quantity":', if(l_orderkey % 29 = {ZERO_QUANTITY}, '0', cast(cast(l_quantity AS int) AS string)),
+  ',"unit_price":', if(l_orderkey % 29 = {ZERO_PRICE}, '0', cast(cast(l_extendedprice AS decimal(12,2)) AS string)),
+  ',"currency":"', if(l_orderkey % 29 = {USD}, 'USD', 'GBP'), '"',
+  if(l_orderkey % 29 = {EXTRA_FIELD}, ',"promotion_code":"SPRING"', ''),
+  '}}') END
+"""
 
+_INGESTED = """
+cast(l_shipdate AS timestamp) + make_dt_interval(0, dayofmonth(l_shipdate) % 24, 0, l_suppkey % 60)
+"""
 
-def _payload() -> Column:
-    f = fault()
-
-    def pick(remainder: int, changed: Column | str, usual: Column | str) -> Column:
-        as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
-        return F.when(f == remainder, as_col(changed)).otherwise(as_col(usual))
-
-    version = (
-        F.when(f == NO_VERSION, F.lit(""))
-        .when(f == VERSION_99, F.lit('"schema_version":99,'))
-        .when(f == TEXT_VERSION, F.lit('"schema_version":"x",'))
-        .otherwise(F.lit('"schema_version":1,'))
-    )
-    order_id = F.concat(F.lit('"order_id":"ORD-'), F.col("l_orderkey"), F.lit('",'))
-    time = F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T00:00:00+00:00"))
-    price = F.col("l_extendedprice").cast("decimal(12,2)").cast("string")
-    body = F.concat(
-        F.lit("{"),
-        version,
-        F.lit('"event_id":"'),
-        pick(BLANK_EVENT_ID, " ", _event_id()),
-        F.lit('","event_type":"'),
-        pick(BAD_TYPE, "order_deleted", "order_created"),
-        F.lit('","event_timestamp":"'),
-        pick(BAD_TIME, "not-a-timestamp", time),
-        F.lit('",'),
-        pick(NO_ORDER_ID, "", order_id),
-        F.lit('"product_id":"PRD-'),
-        F.col("l_partkey"),
-        F.lit('","category":"'),
-        pick(BAD_CATEGORY, "automotive", "home"),
-        F.lit('","quantity":'),
-        pick(ZERO_QUANTITY, "0", F.col("l_quantity").cast("int").cast("string")),
-        F.lit(',"unit_price":'),
-        pick(ZERO_PRICE, "0", price),
-        F.lit(',"currency":"'),
-        pick(USD, "USD", "GBP"),
-        F.lit('"'),
-        pick(EXTRA_FIELD, ',"promotion_code":"SPRING"', ""),
-        F.lit("}"),
-    )
-    return F.when(f == NOT_JSON, F.lit("not json")).otherwise(body)
+_OFFSET = "((l_partkey * 100000 + l_suppkey) * 8 + l_linenumber) * 1000 + l_orderkey % 1000"
 
 
 def messages(lineitem: DataFrame) -> DataFrame:
@@ -119,42 +101,27 @@ def messages(lineitem: DataFrame) -> DataFrame:
     A message reaches the broker half an hour before it is ingested; it is ingested
     on its ship date, in the hour given by the day of the month.
     """
-    ingested = F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(
-        hours=F.dayofmonth("l_shipdate") % 24, secs=F.col("l_suppkey") % 60
-    )
-    offset = (
-        (F.col("l_partkey") * 100_000 + F.col("l_suppkey")) * 8 + F.col("l_linenumber")
-    ) * 1000 + F.col("l_orderkey") % 1000
-    return lineitem.select(
-        F.concat(F.lit("ORD-"), F.col("l_orderkey")).cast("binary").alias("key"),
-        _payload().cast("binary").alias("value"),
-        F.lit(S.TOPIC).alias("topic"),
-        (F.col("l_suppkey") % 3).cast("int").alias("partition"),
-        offset.alias("offset"),
-        (ingested - F.make_dt_interval(mins=F.lit(30))).alias("timestamp"),
+    return lineitem.selectExpr(
+        "cast(concat('ORD-', l_orderkey) AS binary) AS key",
+        f"cast({_PAYLOAD} AS binary) AS value",
+        f"'{S.TOPIC}' AS topic",
+        "cast(l_suppkey % 3 AS int) AS `partition`",
+        f"{_OFFSET} AS `offset`",
+        f"{_INGESTED} - INTERVAL 30 MINUTES AS timestamp",
     )
 
 
 def ingest_time() -> Column:
     """Ingest time of a derived message, over a frame of messages."""
-    return F.col("timestamp") + F.make_dt_interval(mins=F.lit(30))
+    return F.expr("timestamp + INTERVAL 30 MINUTES")
 
 
 def with_file_position(silver: DataFrame) -> DataFrame:
     """Stand-in for the file path and row index a real Silver table has."""
-    file_number = F.expr(f"`offset` div {_OFFSETS_PER_PART * PARTS_PER_FILE}")
-    return silver.select(
-        "*",
-        F.concat(
-            F.lit("silver/ingestion_date="),
-            F.col("ingestion_date").cast("string"),
-            F.lit("/ingestion_hour="),
-            F.col("ingestion_hour"),
-            F.lit("/part-"),
-            F.lpad(file_number.cast("string"), 5, "0"),
-            F.lit(".parquet"),
-        ).alias("file_path"),
-        F.col("offset").alias("row_index"),
+    file_number = f"lpad(`offset` div {_OFFSETS_PER_PART * PARTS_PER_FILE}, 5, '0')"
+    folder = "'silver/ingestion_date=', ingestion_date, '/ingestion_hour=', ingestion_hour"
+    return silver.selectExpr(
+        "*", f"concat({folder}, '/part-', {file_number}, '.parquet') AS file_path", "`offset` AS row_index"
     )
 
 
