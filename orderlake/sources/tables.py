@@ -52,16 +52,21 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, *partitions
         return spark.createDataFrame([], full)
 
 
+def _read_layer(spark: SparkSession, paths: Paths, layer: str, schema: T.StructType) -> DataFrame:
+    # The single-pass stream adds a batch_id folder level; it is no column of the layer.
+    return read_table(spark, paths.lake(layer), schema).select(*schema.fieldNames())
+
+
 def read_bronze(spark: SparkSession, paths: Paths) -> DataFrame:
-    return read_table(spark, paths.lake("bronze"), S.BRONZE)
+    return _read_layer(spark, paths, "bronze", S.BRONZE)
 
 
 def read_silver(spark: SparkSession, paths: Paths) -> DataFrame:
-    return read_table(spark, paths.lake("silver"), S.SILVER)
+    return _read_layer(spark, paths, "silver", S.SILVER)
 
 
 def read_quarantine(spark: SparkSession, paths: Paths) -> DataFrame:
-    return read_table(spark, paths.lake("quarantine"), S.QUARANTINE)
+    return _read_layer(spark, paths, "quarantine", S.QUARANTINE)
 
 
 def with_metadata_position(silver: DataFrame) -> DataFrame:
