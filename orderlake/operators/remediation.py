@@ -75,8 +75,8 @@ def overlay(payload: Column, corrections: Column) -> Column:
     return F.map_concat(kept, added)
 
 
-def _string_token(fields: Column, name: str) -> Column:
-    token = F.try_element_at(fields, F.lit(name))
+def _string_value(token: Column) -> Column:
+    """The text of a JSON string; NULL for any other JSON value."""
     return F.when(F.schema_of_variant(token) == "STRING", F.try_variant_get(token, "$", "string"))
 
 
@@ -92,12 +92,15 @@ def match_requests(quarantine: DataFrame, requests: DataFrame) -> DataFrame:
         "contract_error",
         "validation_error",
         "kafka_timestamp",
-        F.inline(F.array(F.struct(F.from_json("raw_payload", _ANY_FIELDS).alias("payload")))),
-    ).withColumn("event_id", _string_token(F.col("payload"), "event_id"))
+        F.inline(F.array(F.from_json("raw_payload", "event_id variant"))),
+    ).withColumn("event_id", _string_value(F.col("event_id")))
+    # Opening and rewriting JSON is work per row, not per byte: a fixed partitioning, which the
+    # join shares, keeps adaptive execution from merging small partitions into few long tasks.
+    tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    requests = requests.repartition(tasks, "event_id")
     wanted = requests.select("event_id").distinct()
     candidates = (
-        keyed.drop("payload")
-        .where(F.col("event_id").isNotNull())
+        keyed.where(F.col("event_id").isNotNull())
         .join(wanted, "event_id", "left_semi")
         .groupBy("event_id")
         .agg(
@@ -154,7 +157,7 @@ def repair_payloads(matched: DataFrame, strict: bool = True) -> DataFrame:
     )
     return judged.withColumn("outcome", outcome).select(
         *[F.col(f"request.{c}").alias(c) for c in matched.columns],
-        _string_token(F.col("request.original"), "order_id").alias("original_order_id"),
+        _string_value(F.try_element_at("request.original", F.lit("order_id"))).alias("original_order_id"),
         "outcome",
         error.alias("outcome_error"),
         F.when(F.col("outcome") == REPAIRED, F.col("order_id")).alias("repaired_order_id"),

@@ -7,6 +7,7 @@ runs, incidents, repair requests) are derived from the same deliveries.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
@@ -22,7 +23,7 @@ from orderlake.operators.routing import build_bronze, build_quarantine, build_si
 from orderlake.operators.windows import BACKFILL, NORMAL, REPLAY, LoadWindow, list_files, load_window, select_files
 from orderlake.plans.load import count_load
 from orderlake.plans.models import build_daily_sales, build_fact, fact_rows, newer_than_fact, stage_orders
-from orderlake.session import pin_utc, scratch_root
+from orderlake.session import pin_utc, scratch_root, stage
 from orderlake.sources import sample
 from orderlake.sources.tables import Paths, read_bronze, read_quarantine, read_silver
 from orderlake.streaming.lake import start_lake
@@ -48,8 +49,16 @@ WINDOWS = {
 # --- the delivery log and the lake ------------------------------------------
 
 
+# Tables written by this process: (application, table folder, name) -> DataFrame.
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class DeliveryLog:
-    """The derived deliveries of one table folder, and the layers made from them."""
+    """The derived deliveries of one table folder, and the layers made from them.
+
+    A query that passes over a layer several times reads it as a stored table, as
+    the real jobs do; the table is written once per application.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = pin_utc(spark), sf_dir
@@ -84,6 +93,26 @@ class DeliveryLog:
     def first_rows(self) -> DataFrame:
         return _first(self.silver)
 
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        application = self.spark.sparkContext.applicationId
+        key = (application, self.sf_dir, name)
+        if key not in _STORED:
+            folder = hashlib.sha256(self.sf_dir.encode()).hexdigest()[:12]
+            _STORED[key] = stage(df, f"catalog-{application}-{folder}-{name}")
+        return _STORED[key]
+
+    @cached_property
+    def stored_silver(self) -> DataFrame:
+        return self._stored("silver", self.silver)
+
+    @cached_property
+    def stored_raw(self) -> DataFrame:
+        return self._stored("raw", self.raw)
+
+    @cached_property
+    def stored_verdicts(self) -> DataFrame:
+        return self._stored("verdicts", _daily_verdicts(self))
+
     @cached_property
     def raw(self) -> DataFrame:
         """Raw orders after two loads; the second brought what the first had lost or not seen."""
@@ -179,7 +208,7 @@ def _load(rows: DataFrame, window: LoadWindow) -> tuple[DataFrame, DataFrame, Da
 
 def _inserted(mode: str) -> Callable[[DeliveryLog], DataFrame]:
     def query(log: DeliveryLog) -> DataFrame:
-        new = _load(log.silver, WINDOWS[mode])[2]
+        new = _load(log.stored_silver, WINDOWS[mode])[2]
         rows = to_warehouse_row(new, "file_path").select(
             "event_id", "order_id", "event_date", "quantity", "order_value", "kafka_offset", "file_path"
         )
@@ -195,7 +224,7 @@ def raw_first_wins(log: DeliveryLog) -> DataFrame:
 
 def load_counters(log: DeliveryLog) -> DataFrame:
     """Counters of a load of each mode, and the watermark a normal load leaves."""
-    rows = log.silver
+    rows = log.stored_silver
     reports = []
     for mode, window in WINDOWS.items():
         files, _, new = _load(rows, window)
@@ -228,7 +257,7 @@ def silver_files(log: DeliveryLog) -> DataFrame:
 
 def loaded_files(log: DeliveryLog) -> DataFrame:
     """Entries a backfill adds to the file ledger."""
-    rows = log.silver
+    rows = log.stored_silver
     files = select_files(list_files(rows), WINDOWS[BACKFILL], _file_ledger(rows))
     return files.where("selected AND NOT loaded_before").select(
         "file_path", F.lit(S.DATASET).alias("dataset_name"), "ingestion_date", "ingestion_hour", "row_count"
@@ -265,13 +294,13 @@ def stg_orders(log: DeliveryLog) -> DataFrame:
 
 def fct_orders_incremental(log: DeliveryLog) -> DataFrame:
     """The rows one incremental build adds."""
-    raw = log.raw
+    raw = log.stored_raw
     return _money(fact_rows(newer_than_fact(stage_orders(raw), _fact_before(raw))), "unit_price", "order_value")
 
 
 def fct_orders_upsert(log: DeliveryLog) -> DataFrame:
     """The fact after an incremental build that also replaces stale rows of it."""
-    raw = log.raw
+    raw = log.stored_raw
     stale = fact_rows(stage_orders(raw)).where(
         (F.col("loaded_at") == F.lit(SECOND_LOAD)) & (F.dayofmonth("event_date") == 3)
     )
@@ -287,7 +316,7 @@ def mart_daily_sales(log: DeliveryLog) -> DataFrame:
 
 def late_event_correction(log: DeliveryLog) -> DataFrame:
     """Business days the second load changed, before and after."""
-    raw = log.raw
+    raw = log.stored_raw
     tagged = fact_rows(stage_orders(raw))
     before = build_daily_sales(_fact_before(raw))
     after = build_daily_sales(tagged)
@@ -306,14 +335,14 @@ def duplicate_business_keys(log: DeliveryLog) -> DataFrame:
 
 
 def data_test_report(log: DeliveryLog) -> DataFrame:
-    raw = log.raw
+    raw = log.stored_raw
     staged = stage_orders(raw)
     return checks.run_checks({"raw_orders": raw, "stg_orders": staged, "fct_orders": build_fact(staged)})
 
 
 def constraint_report(log: DeliveryLog) -> DataFrame:
     """What the raw table's constraints would refuse if all deliveries were inserted as they came."""
-    rows = to_warehouse_row(log.silver).withColumn("loaded_at", F.lit(FIRST_LOAD))
+    rows = to_warehouse_row(log.stored_silver).withColumn("loaded_at", F.lit(FIRST_LOAD))
     return checks.run_checks({"raw_orders": rows}, {"raw_orders": checks.RAW_CONSTRAINTS})
 
 
@@ -321,7 +350,7 @@ def constraint_report(log: DeliveryLog) -> DataFrame:
 
 
 def _warehouse(log: DeliveryLog) -> DataFrame:
-    raw = log.raw
+    raw = log.stored_raw
     fact = build_fact(stage_orders(raw))
     return health.warehouse_metrics(raw, fact, build_daily_sales(fact))
 
@@ -394,7 +423,7 @@ def health_verdict(log: DeliveryLog) -> DataFrame:
 
 def _transitions(log: DeliveryLog) -> DataFrame:
     """Each day's verdict against the incidents the day before left open."""
-    verdicts = _daily_verdicts(log).withColumn("run_id", F.concat(F.lit("run-"), F.col("day")))
+    verdicts = log.stored_verdicts.withColumn("run_id", F.concat(F.lit("run-"), F.col("day")))
     kind = F.explode("incident_types").alias("incident_type")
     left_open = verdicts.select(
         F.date_add("day", 1).alias("day"),
@@ -465,7 +494,7 @@ def open_incidents(log: DeliveryLog) -> DataFrame:
 
 def _run_events(log: DeliveryLog) -> DataFrame:
     """Run ledger: one run per day; a run on the tenth failed at first and was started again."""
-    daily = _daily_verdicts(log).withColumn("run_id", F.concat(F.lit("run-"), F.col("day")))
+    daily = log.stored_verdicts.withColumn("run_id", F.concat(F.lit("run-"), F.col("day")))
     retried, degraded = "dayofmonth(day) = 10", "status = 'DEGRADED'"
 
     def event(kind: str, minutes: int, only: str = "true", **columns: str) -> str:
@@ -626,16 +655,16 @@ def _order_key_map(log: DeliveryLog) -> DataFrame:
 
 
 def order_key_repair(log: DeliveryLog) -> DataFrame:
-    return key_repair.repair_order_ids(log.silver, _order_key_map(log)).report
+    return key_repair.repair_order_ids(log.stored_silver, _order_key_map(log)).report
 
 
 def order_key_files(log: DeliveryLog) -> DataFrame:
-    return key_repair.repair_order_ids(log.silver, _order_key_map(log)).files
+    return key_repair.repair_order_ids(log.stored_silver, _order_key_map(log)).files
 
 
 def order_key_overlay(log: DeliveryLog) -> DataFrame:
     """All of Silver with the accepted repairs laid over it."""
-    rows = log.silver
+    rows = log.stored_silver
     report = key_repair.repair_order_ids(rows, _order_key_map(log)).report
     return key_repair.apply_overlay(rows, report).select("event_id", "order_id", "partition", "offset")
 
@@ -644,22 +673,15 @@ def order_key_overlay(log: DeliveryLog) -> DataFrame:
 
 
 def stream_equals_batch(log: DeliveryLog) -> DataFrame:
-    """Stream the deliveries into a lake and compare each layer, row for row, with the batch.
-
-    Messages arrive on the first day of their year here, as a topic's backlog arrives
-    in few hours: every day of seven years would be a folder of its own per layer.
-    """
+    """Stream the deliveries into a lake and compare each layer, row for row, with the batch."""
     spark, sf_dir = log.spark, log.sf_dir
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     paths = Paths(f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}")
     source = spark.readStream.schema(lineitem.schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
-
-    def arriving(table: DataFrame) -> DataFrame:
-        return sample.messages(table).withColumn("timestamp", F.date_trunc("year", "timestamp"))
-
-    for query in start_lake(arriving(source), paths, {"availableNow": True}, sample.ingest_time()):
+    topic = sample.as_backlog(sample.messages(source))
+    for query in start_lake(topic, paths, {"availableNow": True}, sample.ingest_time()):
         query.awaitTermination()
-    bronze_rows = build_bronze(arriving(log.lineitem), sample.ingest_time())
+    bronze_rows = build_bronze(sample.as_backlog(log.messages), sample.ingest_time())
     verdicts = judge(bronze_rows)
     pairs = {
         "bronze": (read_bronze(spark, paths), bronze_rows),
