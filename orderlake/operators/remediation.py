@@ -80,13 +80,18 @@ def _string_value(token: Column) -> Column:
     return F.when(F.schema_of_variant(token) == "STRING", F.try_variant_get(token, "$", "string"))
 
 
-def match_requests(quarantine: DataFrame, requests: DataFrame) -> DataFrame:
+def match_requests(quarantine: DataFrame, requests: DataFrame, few_requests: bool = False) -> DataFrame:
     """Requests with the one quarantined message of their event and the number of matches.
 
-    Only quarantined rows some request names are kept, and they are combined to one
-    row per event before they meet the requests: an event quarantined a million
-    times sends one row per task.
+    Quarantined messages are combined to one row per event in the map tasks before
+    they meet the requests: an event quarantined a million times sends one row per
+    task. With ``few_requests`` (only for a counted, small batch) its event ids are
+    broadcast first, so that other messages are not shuffled at all.
     """
+    # Opening and rewriting JSON is work per row, not per byte: a fixed partitioning, which the
+    # join shares, keeps adaptive execution from merging small partitions into few long tasks.
+    tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    requests = requests.repartition(tasks, "event_id")
     keyed = quarantine.select(
         "raw_payload",
         "contract_error",
@@ -94,20 +99,13 @@ def match_requests(quarantine: DataFrame, requests: DataFrame) -> DataFrame:
         "kafka_timestamp",
         F.inline(F.array(F.from_json("raw_payload", "event_id variant"))),
     ).withColumn("event_id", _string_value(F.col("event_id")))
-    # Opening and rewriting JSON is work per row, not per byte: a fixed partitioning, which the
-    # join shares, keeps adaptive execution from merging small partitions into few long tasks.
-    tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    requests = requests.repartition(tasks, "event_id")
-    wanted = requests.select("event_id").distinct()
-    candidates = (
-        keyed.where(F.col("event_id").isNotNull())
-        .join(wanted, "event_id", "left_semi")
-        .groupBy("event_id")
-        .agg(
-            F.count("*").alias("matches"),
-            # With one match it is that row; with several none is used.
-            F.min(F.struct("raw_payload", "contract_error", "validation_error", "kafka_timestamp")).alias("found"),
-        )
+    keyed = keyed.where(F.col("event_id").isNotNull())
+    if few_requests:
+        keyed = keyed.join(F.broadcast(requests.select("event_id").distinct()), "event_id", "left_semi")
+    candidates = keyed.groupBy("event_id").agg(
+        F.count("*").alias("matches"),
+        # With one match it is that row; with several none is used.
+        F.min(F.struct("raw_payload", "contract_error", "validation_error", "kafka_timestamp")).alias("found"),
     )
     return requests.join(candidates, "event_id", "left").select(
         *requests.columns, F.coalesce("matches", F.lit(0)).alias("matches"), "found.*"
@@ -205,8 +203,11 @@ def locate_republished(audit: DataFrame, repaired: DataFrame, bronze: DataFrame)
     """Fill partition and offset of published repairs from the Bronze row they arrived as.
 
     The bulk sink returns no positions; the message itself does, once it is in Bronze.
+    Only Bronze days from the first audit row on are read.
     """
-    arrivals = bronze.groupBy(F.sha2("raw_payload", 256).alias("_digest")).agg(
+    since = audit.agg(F.to_date(F.min("created_at")).alias("since"))
+    arrivals = bronze.where(F.col("ingestion_date") >= since.scalar())
+    arrivals = arrivals.groupBy(F.sha2("raw_payload", 256).alias("_digest")).agg(
         F.max(F.struct("kafka_timestamp", "topic", "partition", "offset")).alias("at")
     )
     sent = repaired.select(
@@ -231,8 +232,9 @@ def remediate(
     now: Column | datetime,
     publish: bool = False,
     strict: bool = True,
+    few_requests: bool = False,
 ) -> Remediation:
     """Report for all requests, the repaired payloads, and the audit rows of the repaired ones."""
-    report = repair_payloads(match_requests(quarantine, requests), strict)
+    report = repair_payloads(match_requests(quarantine, requests, few_requests), strict)
     repaired = report.where(F.col("outcome") == REPAIRED)
     return Remediation(report, repaired, audit_rows(repaired, batch_id, now, publish))

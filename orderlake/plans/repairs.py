@@ -25,6 +25,9 @@ from orderlake.sources.tables import (
 from orderlake.sources.topic import publish as publish_messages
 from orderlake.sources.topic import to_messages
 
+# Batches of at most this many requests have their event ids broadcast.
+FEW_REQUESTS = 100_000
+
 
 def run_remediation(
     spark: SparkSession,
@@ -40,7 +43,8 @@ def run_remediation(
     The repaired payloads are staged first, so what is published is what was judged.
     A failed publish is audited as such and raised. Returns the report.
     """
-    result = remediate(read_quarantine(spark, paths), requests, batch_id, now, publish)
+    few = requests.limit(FEW_REQUESTS + 1).count() <= FEW_REQUESTS
+    result = remediate(read_quarantine(spark, paths), requests, batch_id, now, publish, few_requests=few)
     report = stage(result.report, f"remediation-{batch_id}")
     repaired = report.where(F.col("outcome") == "REPAIRED")
     log = paths.ledger("event_reprocessing_log")

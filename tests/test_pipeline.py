@@ -139,6 +139,7 @@ def test_shuffled_insert_equals_broadcast_insert(spark, paths, deliver, monkeypa
     deliver(orders(2, 3), T0 + timedelta(hours=1))
     monkeypatch.setattr(load, "BROADCAST_EVENTS", -1)
     monkeypatch.setattr(load, "NAMED_FILES", -1)
+    monkeypatch.setattr(load, "BROADCAST_FILES", -1)
     counters = run_load(spark, paths, normal(spark, paths), "load-2", T0)
     assert (counters.files_loaded, counters.rows_processed, counters.rows_inserted) == (1, 2, 1)
 
