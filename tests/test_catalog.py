@@ -1,6 +1,7 @@
 """Every catalog query against its SQL on the smallest tables, and the plans behind them."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -53,10 +54,8 @@ def test_entry_points(spark):
 
 
 def test_each_payload_is_parsed_once_per_question(spark):
-    frame = spark.createDataFrame([], S.BRONZE)
     for route in (build_silver, build_quarantine):
         assert plan_of(route(judge(spark.createDataFrame([(None,) * 8], S.BRONZE)))).count("from_json(") == 2
-    assert frame.isEmpty()
 
 
 def test_first_wins_reduces_before_the_shuffle(spark):
@@ -92,4 +91,4 @@ def test_increment_is_filtered_in_the_scan(spark, tmp_path):
     spark.createDataFrame([], S.RAW_ORDERS).write.parquet(path)
     staged = read_table(spark, path, S.RAW_ORDERS)
     plan = plan_of(newer_than_fact(staged, staged))
-    assert "loaded_at" in plan.split("DataFilters: [", 1)[1].split("]", 1)[0]
+    assert re.search(r"loaded_at#\d+\] Batched: true, DataFilters: \[\s*\+- Subquery", plan)
