@@ -16,7 +16,11 @@ from orderlake import schemas as S
 
 
 class Check(NamedTuple):
-    """``kind``: not_null, unique, accepted_values, positive, one_event_per_key, or in_range."""
+    """A rule about one column.
+
+    ``kind`` is not_null, positive, in_range or allowed (judged row by row), unique or
+    one_event_per_key (judged per key), or accepted_values (judged per value).
+    """
 
     kind: str
     column: str
@@ -71,13 +75,18 @@ LOADED_FILE_CONSTRAINTS = [
     *_not_null("file_path", "dataset_name", "row_count", "loaded_at"),
 ]
 METRIC_CONSTRAINTS = _not_null("metric_id", "recorded_at", "status")
-RUN_CONSTRAINTS = [
-    Check("unique", "run_id"),
-    *_not_null("run_id", "started_at", "status"),
+# Of a ledger entry, and of the current state of the runs.
+RUN_EVENT_CONSTRAINTS = [
+    *_not_null("run_id", "event", "event_at"),
     Check("allowed", "status", S.RUN_STATUSES),
     Check("allowed", "dbt_status", S.MODEL_STATUSES),
     Check("allowed", "health_status", S.HEALTH_STATUSES),
 ]
+RUN_CONSTRAINTS = [
+    Check("unique", "run_id"),
+    *_not_null("run_id", "started_at", "status"),
+    *RUN_EVENT_CONSTRAINTS[3:],
+]
 INCIDENT_CONSTRAINTS = [
     Check("unique", "incident_id"),
     *_not_null("incident_type", "severity", "details", "opened_at"),

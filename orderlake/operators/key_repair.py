@@ -21,18 +21,25 @@ class KeyRepair(NamedTuple):
     rows: DataFrame
 
 
-def _copies(silver: DataFrame, key_map: DataFrame) -> DataFrame:
-    """Silver copies of the named events with the id they should have had before."""
-    return silver.join(key_map, "event_id", "inner")
+def match_files(silver: DataFrame, key_map: DataFrame, few_keys: bool = False) -> DataFrame:
+    """Copies per event and file, and the lowest and highest order id among them.
 
-
-def match_files(silver: DataFrame, key_map: DataFrame) -> DataFrame:
-    """Copies per event and file, and the lowest and highest order id among them."""
-    return _copies(silver, key_map).groupBy("event_id", "file_path").agg(
-        F.count("*").alias("copies"),
+    With ``few_keys`` (only for a counted, small map) the map is broadcast and only
+    matching rows go on. Otherwise Silver is combined per event, file and order id in
+    the map tasks before the join, so an event of very many copies stays small.
+    """
+    if few_keys:
+        named = silver.select("event_id", "file_path", "order_id").join(F.broadcast(key_map), "event_id")
+        named = named.withColumn("n", F.lit(1).cast("bigint"))
+    else:
+        combined = silver.groupBy("event_id", "file_path", "order_id").agg(F.count("*").alias("n"))
+        named = combined.join(key_map, "event_id")
+    expected = F.col("order_id").eqNullSafe(F.col("old_order_id"))
+    return named.groupBy("event_id", "file_path").agg(
+        F.sum("n").alias("copies"),
         F.min("order_id").alias("lowest_order_id"),
         F.max("order_id").alias("highest_order_id"),
-        F.count_if(~F.col("order_id").eqNullSafe(F.col("old_order_id"))).alias("unexpected_copies"),
+        F.sum(F.when(expected, F.lit(0)).otherwise(F.col("n"))).alias("unexpected_copies"),
     )
 
 
@@ -65,17 +72,16 @@ def apply_overlay(silver: DataFrame, repairs: DataFrame) -> DataFrame:
     return repaired.select(*columns)
 
 
-def repair_order_ids(silver: DataFrame, key_map: DataFrame) -> KeyRepair:
+def repair_order_ids(silver: DataFrame, key_map: DataFrame, few_keys: bool = False) -> KeyRepair:
     """Dry run: the verdict per event, the matches per file, and the rows as they would become.
 
     ``silver`` carries ``file_path``; ``key_map`` has one row per event
-    (``schemas.ORDER_KEY_MAP``). Copies of one event may be many: they are counted
-    in the map tasks, and joined as the large side, which Spark splits when skewed.
+    (``schemas.ORDER_KEY_MAP``). ``few_keys`` as in ``match_files``.
     """
-    files = match_files(silver, key_map)
+    files = match_files(silver, key_map, few_keys)
     report = repair_report(files, key_map)
     ready = report.where(F.col("outcome") == READY).select("event_id", "new_order_id")
-    matching = silver.join(ready, "event_id", "inner")
+    matching = silver.join(F.broadcast(ready) if few_keys else ready, "event_id", "inner")
     columns = [F.col("new_order_id").alias("order_id") if c == "order_id" else c for c in silver.columns]
     return KeyRepair(report, files, matching.select(*columns))
 

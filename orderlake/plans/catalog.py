@@ -468,7 +468,7 @@ def sent_notices(log: DeliveryLog) -> DataFrame:
 
 def _metrics_ledger(log: DeliveryLog) -> DataFrame:
     """Stored snapshots; those before 1996 predate the duplicate-aware column."""
-    rows = health.metrics_row(_daily_verdicts(log), F.col("recorded_at"))
+    rows = health.metrics_row(log.stored_verdicts, F.col("recorded_at"))
     aware = F.when(F.year("recorded_at") >= 1996, F.col("silver_unique_events"))
     return rows.withColumn("silver_unique_events", aware)
 
@@ -558,6 +558,21 @@ def recent_runs(log: DeliveryLog) -> DataFrame:
     return operations.recent_runs(operations.current_runs(_run_events(log)), 5)
 
 
+def control_constraints(log: DeliveryLog) -> DataFrame:
+    """The control tables' constraints over their current state."""
+    tables = {
+        "pipeline_runs": operations.current_runs(_run_events(log)),
+        "pipeline_incidents": _transitions(log),
+        "pipeline_metrics": _metrics_ledger(log),
+    }
+    rules = {
+        "pipeline_runs": checks.RUN_CONSTRAINTS,
+        "pipeline_incidents": [c for c in checks.INCIDENT_CONSTRAINTS if c.kind != "unique"],
+        "pipeline_metrics": checks.METRIC_CONSTRAINTS,
+    }
+    return checks.run_checks(tables, rules)
+
+
 # --- remediation and repair --------------------------------------------------
 
 
@@ -755,6 +770,7 @@ _ON_LOG: dict[str, Callable[[DeliveryLog], DataFrame]] = {
     "open_incidents": open_incidents,
     "run_state": run_state,
     "recent_runs": recent_runs,
+    "control_constraints": control_constraints,
     "quarantine_remediation": quarantine_remediation,
     "repaired_messages": repaired_messages,
     "remediation_audit": remediation_audit,

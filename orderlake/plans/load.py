@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import schemas as S
-from orderlake.operators.checks import RAW_CONSTRAINTS, assert_constraints
+from orderlake.operators.checks import (
+    LOADED_FILE_CONSTRAINTS,
+    RAW_CONSTRAINTS,
+    WATERMARK_CONSTRAINTS,
+    assert_constraints,
+)
 from orderlake.operators.delivery import current_state, first_deliveries, insert_absent, to_warehouse_row
 from orderlake.operators.key_repair import apply_overlay
 from orderlake.operators.windows import LoadWindow, Partition, list_files, select_files
@@ -115,12 +120,14 @@ def run_load(
         "row_count",
         F.lit(loaded_at).alias("loaded_at"),
     )
+    assert_constraints(entries, "loaded_files", LOADED_FILE_CONSTRAINTS)
     write_run(entries, paths.ledger("loaded_files"), "load_id", load_id)
     if window.advances_watermark:
         last = found.last_partition
         mark = spark.createDataFrame(
             [(S.DATASET, last.ingestion_date, last.ingestion_hour, loaded_at)], S.WATERMARKS
         )
+        assert_constraints(mark, "loader_watermarks", WATERMARK_CONSTRAINTS)
         write_run(mark, paths.ledger("loader_watermarks"), "load_id", load_id)
     return LoadCounters(
         found.files_discovered, found.files_skipped, found.files_loaded, found.rows_processed, inserted

@@ -400,6 +400,31 @@ _DATA_TESTS = " union all ".join(
     ]
 )
 
+_CONTROL_TESTS = " union all ".join(
+    [
+        _rule("pipeline_runs", "unique_run_id", _unique("runs", "run_id")),
+        *[_rule("pipeline_runs", f"not_null_{c}", _nulls("runs", c)) for c in ("run_id", "started_at", "status")],
+        *[
+            _rule("pipeline_runs", f"allowed_{c}", f"select count(*) from runs where {c} not in ({allowed})")
+            for c, allowed in (
+                ("status", "'RUNNING', 'SUCCEEDED', 'FAILED'"),
+                ("dbt_status", "'SUCCEEDED', 'FAILED'"),
+                ("health_status", "'HEALTHY', 'WARNING', 'DEGRADED'"),
+            )
+        ],
+        *[
+            _rule("pipeline_incidents", f"not_null_{c}", _nulls("transitions", c))
+            for c in ("incident_type", "severity", "details", "opened_at")
+        ],
+        _rule(
+            "pipeline_incidents",
+            "allowed_severity",
+            "select count(*) from transitions where severity not in ('WARNING', 'DEGRADED')",
+        ),
+        *[_rule("pipeline_metrics", f"not_null_{c}", _nulls("metrics", c)) for c in ("metric_id", "recorded_at", "status")],
+    ]
+)
+
 _NOT_NULL_RAW = (
     "event_id event_type event_timestamp event_date order_id product_id category quantity unit_price order_value "
     "currency kafka_topic kafka_partition kafka_offset loaded_at"
@@ -573,6 +598,7 @@ where n = 1 and resolved_at is null""",
         """select *, date_diff('microsecond', started_at, finished_at) / 1000000.0::double as duration_seconds
 from runs order by started_at desc, run_id desc limit 5""",
     ),
+    "control_constraints": (["runs", "transitions", "metrics"], _CONTROL_TESTS),
     "quarantine_remediation": (
         ["remedied"],
         """select event_id, matches, outcome,

@@ -15,6 +15,7 @@ from orderlake.operators.checks import (
     INCIDENT_CONSTRAINTS,
     METRIC_CONSTRAINTS,
     OPEN_INCIDENT_CONSTRAINTS,
+    RUN_EVENT_CONSTRAINTS,
     assert_constraints,
     require,
     run_checks,
@@ -116,6 +117,7 @@ def check_health(
 
 def record_run(spark: SparkSession, paths: Paths, step: str, event: DataFrame) -> None:
     """Append one entry to the run ledger; the same step written again replaces itself."""
+    assert_constraints(event, "pipeline_runs", RUN_EVENT_CONSTRAINTS)
     run_id = event.first().run_id
     write_run(event, paths.ledger("pipeline_runs"), "entry", f"{run_id}-{step}")
 

@@ -25,8 +25,12 @@ from orderlake.sources.tables import (
 from orderlake.sources.topic import publish as publish_messages
 from orderlake.sources.topic import to_messages
 
-# Batches of at most this many requests have their event ids broadcast.
-FEW_REQUESTS = 100_000
+# At most this many requests or repairs are broadcast by their event ids.
+FEW_KEYS = 100_000
+
+
+def _are_few(df: DataFrame) -> bool:
+    return df.limit(FEW_KEYS + 1).count() <= FEW_KEYS
 
 
 def run_remediation(
@@ -43,8 +47,9 @@ def run_remediation(
     The repaired payloads are staged first, so what is published is what was judged.
     A failed publish is audited as such and raised. Returns the report.
     """
-    few = requests.limit(FEW_REQUESTS + 1).count() <= FEW_REQUESTS
-    result = remediate(read_quarantine(spark, paths), requests, batch_id, now, publish, few_requests=few)
+    result = remediate(
+        read_quarantine(spark, paths), requests, batch_id, now, publish, few_requests=_are_few(requests)
+    )
     report = stage(result.report, f"remediation-{batch_id}")
     repaired = report.where(F.col("outcome") == "REPAIRED")
     log = paths.ledger("event_reprocessing_log")
@@ -79,7 +84,7 @@ def run_order_key_repair(
     stops the whole repair.
     """
     assert_constraints(key_map, "order_key_map", [Check("unique", "event_id"), Check("not_null", "new_order_id")])
-    repair = repair_order_ids(with_metadata_position(read_silver(spark, paths)), key_map)
+    repair = repair_order_ids(with_metadata_position(read_silver(spark, paths)), key_map, _are_few(key_map))
     if not apply:
         return repair
     report = stage(repair.report, f"order-keys-{repair_id}")

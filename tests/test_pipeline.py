@@ -1,5 +1,6 @@
 """The lake and the warehouse on real files: streams, loads, models, health, repairs."""
 
+import os
 from datetime import date, timedelta
 
 import pytest
@@ -70,6 +71,24 @@ def test_stray_files_do_not_count(spark, paths, deliver):
     assert read_silver(spark, paths).count() == 2
 
 
+def test_a_missing_committed_file_is_an_error(spark, paths, deliver):
+    deliver(orders(1, 2), T0)
+    silver = read_silver(spark, paths)
+    os.remove(silver.inputFiles()[0].removeprefix("file://"))
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        read_silver(spark, paths).agg(F.count_distinct("event_id")).collect()
+
+
+def test_older_files_may_lack_columns(spark, paths):
+    path = paths.ledger("pipeline_metrics")
+    whole = spark.createDataFrame([("m1", T0, 1, 1, 1, 0, 1, 1, 1, T0, "HEALTHY", None)], S.METRICS)
+    whole.drop("silver_unique_events").write.parquet(path)
+    whole.write.mode("append").parquet(path)
+    rows = read_table(spark, path, S.METRICS).collect()
+    assert sorted(r.silver_unique_events or 0 for r in rows) == [0, 1]
+    assert metric_history(read_table(spark, path, S.METRICS)).count() == 1
+
+
 def test_single_pass_stream_writes_each_batch_once(spark, paths, deliver):
     deliver(["not json", *orders(1, 2)], T0)
     other = type(paths)(paths.root + "-single")
