@@ -52,13 +52,12 @@ PARTS_PER_FILE = 1000
 def read_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns deliveries need.
 
-    A table of fewer files than there are task slots (the small test tables are one
-    file of one row group) is spread over the slots; a large table comes in enough
-    splits and is read as it is.
+    A table of fewer splits than task slots (the small test tables are one row group)
+    is spread over the slots; a large one is read as it is, without a shuffle.
     """
     table = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*_COLUMNS)
     slots = spark.sparkContext.defaultParallelism
-    return table.repartition(slots) if len(table.inputFiles()) < slots else table
+    return table.repartition(slots) if table.rdd.getNumPartitions() < slots else table
 
 
 def fault() -> Column:
