@@ -71,11 +71,17 @@ def read_quarantine(spark: SparkSession, paths: Paths) -> DataFrame:
 
 def with_metadata_position(silver: DataFrame) -> DataFrame:
     """Silver rows with the file they sit in and their place in it."""
-    return silver.select(
-        "*",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.row_index").alias("row_index"),
-    )
+    try:
+        return silver.select(
+            "*",
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.row_index").alias("row_index"),
+        )
+    except AnalysisException as error:
+        if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            raise
+        # Nothing was written yet, so the frame is empty and comes from no file.
+        return silver.selectExpr("*", "cast(NULL AS string) AS file_path", "cast(NULL AS bigint) AS row_index")
 
 
 def write_run(df: DataFrame, path: str, partition: str, value: str) -> None:

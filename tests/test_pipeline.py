@@ -124,6 +124,12 @@ def test_load_counts_duplicates_and_is_idempotent(spark, paths, deliver):
     assert raw.count() == raw.select("event_id").distinct().count() == 3
 
 
+def test_load_without_a_lake_finds_nothing(spark, paths):
+    counters = run_load(spark, paths, load_window(), "load-1", T0)
+    assert (counters.files_discovered, counters.rows_processed, counters.duplicates) == (0, 0, 0)
+    assert current_watermark(spark, paths) is None
+
+
 def test_first_delivery_wins_in_load_order(spark, paths, deliver):
     deliver(orders(1, quantity=5), T0)
     deliver(orders(1, quantity=9), T0 + timedelta(hours=1))
