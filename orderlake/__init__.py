@@ -34,7 +34,7 @@ from orderlake.operators.routing import (
 from orderlake.operators.windows import load_window, select_files
 from orderlake.plans.load import run_load
 from orderlake.plans.models import build_daily_sales, build_fact, stage_orders
-from orderlake.plans.pipeline import record_run, run_pipeline
+from orderlake.plans.pipeline import record_run, register_models, run_pipeline
 from orderlake.session import build_session
 from orderlake.sources.tables import Paths
 from orderlake.sources.topic import read_orders_stream
@@ -74,6 +74,7 @@ __all__ = [
     "read_orders_stream",
     "recent_runs",
     "record_run",
+    "register_models",
     "remediate",
     "remediation_history",
     "repair_order_ids",

@@ -72,6 +72,12 @@ def read_models(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
     }
 
 
+def register_models(spark: SparkSession, paths: Paths) -> None:
+    """The models as views for SQL, the staging model among them only a view."""
+    for name, model in read_models(spark, paths).items():
+        model.createOrReplaceTempView(name)
+
+
 def incident_ledger(spark: SparkSession, paths: Paths) -> DataFrame:
     return read_table(spark, paths.ledger("pipeline_incidents"), S.INCIDENTS, "run_id")
 

@@ -15,7 +15,7 @@ from orderlake.operators.remediation import locate_republished
 from orderlake.operators.windows import load_window
 from orderlake.plans.load import current_watermark, run_load
 from orderlake.plans.models import refresh_daily_sales, refresh_fact
-from orderlake.plans.pipeline import HealthDegraded, check_health, read_models, read_runs, run_pipeline
+from orderlake.plans.pipeline import HealthDegraded, check_health, read_models, read_runs, register_models, run_pipeline
 from orderlake.plans.repairs import run_order_key_repair, run_remediation
 from orderlake.session import stage
 from orderlake.sources.tables import read_bronze, read_quarantine, read_silver, read_table, write_run
@@ -134,8 +134,10 @@ def test_first_delivery_wins_in_load_order(spark, paths, deliver):
     deliver(orders(1, quantity=5), T0)
     deliver(orders(1, quantity=9), T0 + timedelta(hours=1))
     run_load(spark, paths, load_window(), "load-1", T0)
-    row = read_models(spark, paths)["raw_orders"].first()
+    register_models(spark, paths)
+    row = spark.sql("SELECT * FROM stg_orders").first()
     assert (row.quantity, float(row.order_value), row.kafka_topic) == (5, 127.5, "orders")
+    assert spark.table("stg_orders").columns == S.RAW_ORDERS.fieldNames()
 
 
 def test_replay_and_backfill(spark, paths, deliver):
