@@ -9,7 +9,13 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.llm.piece_codec import decode, encode
+from orderlake.llm.quality_rules import BASE, STANDARD, judge, ledger, passes
 from orderlake.llm.substring_dedup import remove_repeats
+from orderlake.llm.token_counts import count_tokens
+
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -46,8 +52,39 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and the text decoded from them, as digests."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = decode(encode(docs, PIECE_MODEL).drop("text"), PIECE_MODEL)
+    ids = F.col("piece_ids")
+    return coded.select(
+        "doc_id",
+        F.size(ids).cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text, and whether they pass the context limit."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, PIECE_MODEL, limit=4096).drop("text")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements, failure bits and verdict of every text."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge(ledger(docs), STANDARD).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~passes(BASE)).alias("base_failed"), "kept", F.col("failures").cast("bigint").alias("failures"),
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op4_piece_codec": op4_piece_codec,
+    "op5_token_counts": op5_token_counts,
+    "op7_quality_rules": op7_quality_rules,
 }
 
 ORACLE_SQL = {
@@ -69,5 +106,39 @@ SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS B
     list_filter(list_zip(words, range(0, len(words))), lambda x: NOT list_contains(ps, x[2])),
     lambda x: x[1]) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN gone USING (doc_id)
+""",
+    "op7_quality_rules": r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM t
+), win AS (
+  SELECT doc_id, i, array_to_string(words[i + 1:i + 3], ' ') AS g
+  FROM (SELECT doc_id, words, unnest(range(0, len(words) - 2)) AS i FROM w WHERE len(words) >= 3)
+), twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1
+), rep AS (
+  SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, i + unnest([0, 1, 2]) AS p FROM twice) GROUP BY doc_id
+), m AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(length(text) - length(translate(text, '!', '')) AS BIGINT) AS n_exclaims,
+    CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN rep USING (doc_id)
+), b AS (
+  SELECT *, CAST(
+      CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 4 * n_exclaims > n_words THEN 8 ELSE 0 END
+    + CASE WHEN n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines THEN 16 ELSE 0 END
+    + CASE WHEN word_chars > 15 * n_words OR word_chars < 2 * n_words THEN 32 ELSE 0 END AS BIGINT) AS failures
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures,
+  failures % 4 > 0 AS base_failed, failures = 0 AS kept
+FROM b
 """,
 }
