@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from orderlake.llm.piece_codec import decode, encode
 from orderlake.llm.quality_rules import BASE, STANDARD, judge, ledger, passes
+from orderlake.llm.quartile_digest import compare_neighbours
 from orderlake.llm.substring_dedup import remove_repeats
 from orderlake.llm.token_counts import count_tokens
+from orderlake.llm.warc import read_records, write_archives
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
@@ -80,11 +82,26 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every text, of its edited text, and their likeness."""
+    return compare_neighbours(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back."""
+    index, root = write_archives(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return read_records(index, root, payloads=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op4_piece_codec": op4_piece_codec,
     "op5_token_counts": op5_token_counts,
     "op7_quality_rules": op7_quality_rules,
+    "op9_quartile_digest": op9_quartile_digest,
+    "op10_warc": op10_warc,
 }
 
 ORACLE_SQL = {
@@ -140,5 +157,16 @@ WITH t AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures,
   failures % 4 > 0 AS base_failed, failures = 0 AS kept
 FROM b
+""",
+    "op10_warc": r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
+), g AS (
+  SELECT html, max(page_id) AS best FROM p WHERE payload_bytes >= 1000 GROUP BY html
+)
+SELECT page_id, payload_bytes, sha1(p.html) AS payload_digest,
+  CASE WHEN best <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN best <> page_id THEN best END AS refers_to
+FROM p LEFT JOIN g ON p.html = g.html AND payload_bytes >= 1000
 """,
 }
