@@ -9,7 +9,11 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.llm.license_scan import scan_licenses
+from orderlake.llm.lm_scoring import train_and_score
+from orderlake.llm.mixing import mix_sources
 from orderlake.llm.piece_codec import decode, encode
+from orderlake.llm.prob_minhash import near_duplicates
 from orderlake.llm.quality_rules import BASE, STANDARD, judge, ledger, passes
 from orderlake.llm.quartile_digest import compare_neighbours
 from orderlake.llm.substring_dedup import remove_repeats
@@ -54,6 +58,19 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of the sources at 0.95 of the largest entropy, and the copies of every document in the mixture."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mix_sources(docs, target_entropy=0.95)
+    return mixed.select("doc_id", "source", "n_tokens", F.round("weight", 6).alias("weight"), "copies")
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every text."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_licenses(docs, coverage=0.8).drop("text")
+
+
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text decoded from them, as digests."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -73,6 +90,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, PIECE_MODEL, limit=4096).drop("text")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and model scores of every text."""
+    return train_and_score(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, failure bits and verdict of every text."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -82,6 +104,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document, its first equal copy, and the links of its text to other texts."""
+    return near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), threshold=0.8).drop("text")
+
+
 def op9_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every text, of its edited text, and their likeness."""
     return compare_neighbours(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -96,13 +123,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_substring_dedup": op1_substring_dedup,
-    "op4_piece_codec": op4_piece_codec,
-    "op5_token_counts": op5_token_counts,
-    "op7_quality_rules": op7_quality_rules,
-    "op9_quartile_digest": op9_quartile_digest,
-    "op10_warc": op10_warc,
-}
+    query.__name__: query
+    for query in (
+        op1_substring_dedup, op2_mixing, op3_license_scan, op4_piece_codec, op5_token_counts, op6_lm_scoring,
+        op7_quality_rules, op8_prob_minhash, op9_quartile_digest, op10_warc,
+    )
+}
 
 ORACLE_SQL = {
     "op1_substring_dedup": r"""
@@ -168,5 +194,41 @@ SELECT page_id, payload_bytes, sha1(p.html) AS payload_digest,
   CASE WHEN best <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN best <> page_id THEN best END AS refers_to
 FROM p LEFT JOIN g ON p.html = g.html AND payload_bytes >= 1000
+""",
+    "op2_mixing": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens,
+    md5(concat('mix-1:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS ord
+  FROM documents
+), t AS (
+  SELECT source, sum(n_tokens) AS tokens, sum(n_tokens) / sum(sum(n_tokens)) OVER () AS share FROM d GROUP BY source
+), s AS (
+  SELECT list(share) AS shares, ln(count(*)) * 0.95 AS target FROM t WHERE share > 0
+), b AS (
+  SELECT 0 AS i, CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high, shares, target FROM s
+  UNION ALL
+  SELECT i + 1, CASE WHEN ln(z) - mid * w / z < target THEN low ELSE mid END,
+    CASE WHEN ln(z) - mid * w / z < target THEN mid ELSE high END, shares, target
+  FROM (SELECT *, (low + high) / 2 AS mid, list_sum(list_transform(shares, lambda x: pow(x, (low + high) / 2))) AS z,
+      list_sum(list_transform(shares, lambda x: pow(x, (low + high) / 2) * ln(x))) AS w FROM b WHERE i < 20)
+), e AS (
+  SELECT CASE WHEN -list_sum(list_transform(shares, lambda x: x * ln(x))) >= target THEN 1 ELSE low END AS a, shares
+  FROM b WHERE i = 20
+), q AS (
+  SELECT source, tokens, pow(share, a) / list_sum(list_transform(shares, lambda x: pow(x, a))) AS weight,
+    floor(pow(share, a) / list_sum(list_transform(shares, lambda x: pow(x, a))) * (SELECT sum(tokens) FROM t)) AS quota,
+    greatest(1, ceil(tokens / greatest(100000, ceil(tokens / 65536)))) AS blocks
+  FROM t CROSS JOIN e
+), p AS (
+  SELECT d.*, weight, quota, tokens, CAST(concat('0x', substr(ord, 1, 8)) AS BIGINT) % blocks AS block
+  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
+), c AS (
+  SELECT *, quota - floor(quota / tokens) * tokens AS rest,
+    sum(n_tokens) OVER (PARTITION BY source ORDER BY block, ord) AS upto
+  FROM p
+)
+SELECT doc_id, source, n_tokens, round(weight, 6) AS weight,
+  CAST(floor(quota / tokens) + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies
+FROM c
 """,
 }
