@@ -1,15 +1,74 @@
-"""A corpus cleaned, deduplicated, mixed and tokenised: five stages over ``documents``."""
+"""A corpus cleaned, deduplicated, mixed and tokenised: five stages over ``documents``.
+
+Each stage takes the documents its predecessor kept, as a Parquet table, and returns those it keeps; all but the last
+return the columns they were given.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orderlake.llm.frames import table
+from orderlake.llm.mixing import mix_sources, realise
+from orderlake.llm.piece_codec import encode
+from orderlake.llm.prob_minhash import near_duplicates
+from orderlake.llm.quality_rules import STANDARD, judge, ledger
+from orderlake.llm.queries import PIECE_MODEL, ship_package
+from orderlake.llm.substring_dedup import remove_repeats
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a rule of the standard policy go."""
+    return judge(ledger(docs), STANDARD).where("kept").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the smallest id stays; rows without an id stay."""
+    ship_package(spark)
+    classes = near_duplicates(docs.where("doc_id IS NOT NULL"), threshold=0.8)
+    first = classes.where("doc_id = class_id").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return first.unionByName(docs.where("doc_id IS NULL"))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 13 words and more that an earlier document has are cut out; what is emptied goes.
+
+    Texts that lose nothing are left as they are; of the others the kept words are joined by one space.
+    """
+    ship_package(spark)
+    cut = remove_repeats(docs, window=13).where("n_removed = 0 OR n_removed < n_words")
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    changed = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col("n_chars"))}
+    return cut.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Smaller sources are repeated, up to one and a half times; every document stays."""
+    return realise(mix_sources(docs, max_repetition=1.5, keep_all=True))
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of every text."""
+    ship_package(spark)
+    coded = encode(docs.select("doc_id", "lang", "source", "text"), PIECE_MODEL)
+    return coded.select("doc_id", "lang", "source", F.size("piece_ids").cast("bigint").alias("n_tokens"), "piece_ids")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("mix", mix),
+    ("tokenise", tokenise),
+]
 
-STAGES: list = []
+#: Near duplicates by signatures, and pieces, cannot be said in SQL; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = table(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
