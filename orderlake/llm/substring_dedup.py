@@ -7,15 +7,17 @@ anchor of a window is the smallest hash of its five-word grams: equal windows ha
 one anchor meet in one shard wherever they stand, and a shard knows every document that matters to it.
 
 1. Anchors of every document; those found in one document only are put aside (most of them).
-2. For the others each document sends the stretch of words whose windows have that anchor.
+2. For the others each document has stretches: the words whose windows have that anchor. Equal stretches of a task
+   are sent once, with the smallest and largest document that has them.
 3. A shard is a range of anchors. Its suffix automaton is built over its stretches, every state with the smallest
    document id it occurs in; the stretches are streamed through it for their matching statistics, cut off at
-   the window length, and give the spans to remove.
-4. An anchor found in more than ``hot`` documents is not sent to one shard: its windows are reduced to the smallest
-   document id before the shuffle, and documents look theirs up in a join that adaptive execution can split.
+   the window length, which gives the first document of each window.
+4. Documents look up their stretches in a join that adaptive execution can split, and lose the words of windows with
+   an earlier document.
 
-Results are exact: hashes choose where texts meet, the automaton compares words. Only windows of hot anchors are
-compared by hash, of 128 bits.
+An anchor found in more than ``hot`` documents would make too large a shard: its windows are stretches of their own
+there, and meet by the hash of the whole window. Hashes choose where texts meet and name the stretches in the join (128
+bits); words are compared by the automaton.
 
 Null text: no words. Null id: neither removes nor loses words. Rows of equal id do not remove each other's words;
 repeated rows each come back. Empty tables give empty tables. Existing columns of the added names are replaced.
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,8 +38,9 @@ from orderlake.llm.frames import table, without
 from orderlake.llm.text import Words, grams, mix, slices, sliding_min, words_of
 
 GRAM = 5  # words of an anchor
-HOT = 1000  # occurrences of an anchor beyond which its windows are pre-aggregated
+HOT = 5000  # occurrences of an anchor beyond which its windows go to shards of their own
 SHARD_WORDS = 20_000  # words of one automaton, more only if one anchor has more
+COMBINE_BYTES = 32 << 20  # stretches a task holds back to send equal ones once
 ADDED = "n_words bigint, n_removed bigint, kept_text string"
 
 
@@ -136,138 +140,176 @@ def _emit_anchors(window: int):
     return run
 
 
-def _wanted(words: Words, window: int, keys: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows whose anchor is among the keys listed for their text."""
-    key, at, text = _anchors(words, window)
+def _among(key: np.ndarray, text: np.ndarray, keys: pa.Array) -> np.ndarray:
+    """Whether each key is in the list of its text."""
     lists = keys.fill_null([])
     flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
     owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
     salt = mix(np.arange(len(lists), dtype=np.uint64))
-    found = np.isin(key ^ salt[text], flat ^ salt[owner])
-    return key[found], at[found], text[found]
+    return np.isin(key ^ salt[text], flat ^ salt[owner])
+
+
+def _stretches(words: Words, window: int, cold: pa.Array, hot: pa.Array) -> tuple[np.ndarray, ...]:
+    """Key, text, first window and last window of each stretch."""
+    key, at, text = _anchors(words, window)
+    found = _among(key, text, cold)
+    k, i, t = key[found], at[found], text[found]
+    new = np.ones(len(k), dtype=bool)
+    new[1:] = (k[1:] != k[:-1]) | (t[1:] != t[:-1]) | (i[1:] != i[:-1] + 1)
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(k)) - 1
+    single = _among(key, text, hot)
+    j = at[single]
+    whole = grams(words.hashes, window, 2)[j] if len(j) else np.zeros(0, dtype=np.uint64)
+    return (
+        np.concatenate([k[begin], whole]),
+        np.concatenate([t[begin], text[single]]),
+        np.concatenate([i[begin], j]),
+        np.concatenate([i[end] if len(end) else end, j]),
+    )
 
 
-def _emit_stretches(window: int):
+def _each_stretch(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple]:
+    """(doc, row) columns, key, text number, first word in the text, and bytes, of the stretches of each slice."""
+    for batch in slices(batches, "text"):
+        doc, row, column, cold, hot = batch.columns
+        words = words_of(column)
+        key, text, first, last = _stretches(words, window, cold, hot)
+        data = words.data.tobytes()
+        low, high = words.starts[first].tolist(), words.ends[last + window - 1].tolist()
+        parts = [data[a:b] for a, b in zip(low, high, strict=True)]
+        yield doc, row, key.view(np.int64), text, first - words.first[text], parts
+
+
+def _emit_references(window: int):
+    """Each stretch once a task, or once in ``COMBINE_BYTES`` of them, with the range of documents that have it."""
+
+    def flush(seen: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([k for k, _ in seen], pa.int64()),
+                pa.array([x for _, x in seen], pa.binary()),
+                pa.array([v[0] for v in seen.values()], pa.int64()),
+                pa.array([v[1] for v in seen.values()], pa.int64()),
+            ],
+            ["key", "stretch", "low", "high"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            doc, row, column, keys = (batch.column(i) for i in range(4))
-            words = words_of(column)
-            key, at, text = _wanted(words, window, keys)
-            if not len(key):
-                continue
-            new = np.ones(len(key), dtype=bool)
-            new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1]) | (at[1:] != at[:-1] + 1)
-            begin = np.flatnonzero(new)
-            end = np.append(begin[1:], len(key)) - 1
-            low, high = words.starts[at[begin]], words.ends[at[end] + window - 1]
-            data = words.data.tobytes()
-            owner = text[begin]
+        seen: dict[tuple, tuple] = {}
+        size = 0
+        for doc, _, key, text, _, parts in _each_stretch(batches, window):
+            ids = doc.take(pa.array(text)).to_pylist()
+            for found in zip(ids, key.tolist(), parts, strict=True):
+                i, name = found[0], found[1:]
+                known = seen.get(name)
+                if known is None:
+                    seen[name] = (i, i)
+                    size += len(name[1]) + 200
+                elif not known[0] <= i <= known[1]:
+                    seen[name] = (min(i, known[0]), max(i, known[1]))
+            if size > COMBINE_BYTES:
+                yield flush(seen)
+                seen, size = {}, 0
+        if seen:
+            yield flush(seen)
+
+    return run
+
+
+def _emit_places(window: int):
+    """Where each stretch stands: key, hash of its bytes, document, row and first word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, row, key, text, at, parts in _each_stretch(batches, window):
+            owner = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(key[begin].view(np.int64)),
-                    doc.take(pa.array(owner)),
-                    row.take(pa.array(owner)),
-                    pa.array(at[begin] - words.first[owner]),
-                    pa.array([data[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)], pa.binary()),
-                ],
-                ["key", "doc", "row", "at", "stretch"],
-            )
+                [pa.array(key), pa.array([_name(x) for x in parts], pa.int64()), doc.take(owner), row.take(owner),
+                 pa.array(at)],
+                ["key", "name", "doc", "row", "at"],
+            )
 
     return run
 
 
-def _runs(least: list, doc: int, window: int) -> Iterator[tuple[int, int]]:
-    """Word spans covered by the windows first seen in a document before ``doc``."""
-    begin = end = None
-    for i, first in enumerate(least):
-        if first < doc:
-            if begin is not None and i > end:
-                yield begin, end
-                begin = None
-            begin = i if begin is None else begin
-            end = i + window
-    if begin is not None:
-        yield begin, end
+def _name(stretch: bytes) -> int:
+    return xxhash.xxh64_intdigest(stretch) - (1 << 63)
 
 
-def _match_shard(rows: list[tuple], window: int) -> Iterator[tuple]:
-    """Spans to remove of (key, document, row, place, stretch) rows; whole anchors only."""
-    places: dict[bytes, list] = {}
-    for _, doc, row, at, stretch in rows:
-        places.setdefault(b" ".join(stretch.split()), []).append((doc, row, at))
+def _match_shard(rows: dict[tuple[int, bytes], tuple[int, int]], window: int) -> Iterator[tuple]:
+    """(key, name, first document of each window) of stretches that some document loses words of."""
+    tokens = {name: name[1].split() for name in rows}
     automaton = SuffixAutomaton()
-    for stretch, found in places.items():
-        automaton.add(stretch.split(), min(doc for doc, _, _ in found))
+    for name, (low, _) in rows.items():
+        automaton.add(tokens[name], low)
     automaton.finish()
-    for stretch, found in places.items():
-        least = automaton.first_documents(stretch.split(), window)
-        for doc, row, at in found:
-            for a, b in _runs(least, doc, window):
-                yield doc, row, at + a, at + b
+    for name, (_, high) in rows.items():
+        least = automaton.first_documents(tokens[name], window)
+        if min(least) < high:
+            yield name[0], _name(name[1]), least
 
 
-def _emit_spans(window: int):
-    names = ["doc", "row", "a", "b"]
+def _match(window: int):
+    """Shards of consecutive keys, each matched against its own automaton."""
 
-    def shard(rows: list[tuple]) -> pa.RecordBatch:
-        spans = list(_match_shard(rows, window))
-        return pa.RecordBatch.from_arrays([pa.array([s[i] for s in spans], pa.int64()) for i in range(4)], names)
+    def shard(rows: dict) -> pa.RecordBatch:
+        found = list(_match_shard(rows, window))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
+             pa.array([f[2] for f in found], pa.list_(pa.int64()))],
+            ["key", "name", "least"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        size = 0
+        rows: dict[tuple[int, bytes], tuple[int, int]] = {}
+        size, last = 0, None
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size >= SHARD_WORDS and row[0] != rows[-1][0]:
+            for key, stretch, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if size >= SHARD_WORDS and key != last:
                     yield shard(rows)
-                    rows, size = [], 0
-                rows.append(row)
-                size += row[4].count(b" ") + 1
+                    rows, size = {}, 0
+                last = key
+                known = rows.get((key, stretch))
+                rows[key, stretch] = (low, high) if known is None else (min(low, known[0]), max(high, known[1]))
+                size += 0 if known else stretch.count(b" ") + 1
         if rows:
             yield shard(rows)
 
     return run
 
 
-def _emit_windows(window: int):
-    """Windows of hot anchors one by one, by two hashes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
-            doc, row, column, keys = (batch.column(i) for i in range(4))
-            words = words_of(column)
-            _, at, text = _wanted(words, window, keys)
-            owner = pa.array(text)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(grams(words.hashes, window, 2)[at].view(np.int64)),
-                    pa.array(grams(words.hashes, window, 3)[at].view(np.int64)),
-                    doc.take(owner),
-                    row.take(owner),
-                    pa.array(at - words.first[text]),
-                ],
-                ["h1", "h2", "doc", "row", "at"],
-            )
-
-    return run
+def _covered(places: list[dict], row: int, doc: int, window: int) -> Iterator[tuple[int, int]]:
+    """Spans of words, in order, under the windows that an earlier document has."""
+    hits = sorted(
+        p["at"] + i for p in places if p["row"] == row for i, first in enumerate(p["least"]) if first < doc
+    )
+    begin = end = None
+    for at in hits:
+        if begin is None or at > end:
+            if begin is not None:
+                yield begin, end
+            begin = at
+        end = at + window
+    if begin is not None:
+        yield begin, end
 
 
-def _cut(names: list[str]):
-    """Rows of (id, row, text, other columns, spans) with the words inside the spans taken out."""
+def _cut(names: list[str], window: int):
+    """Rows of (id, row, text, other columns, places of stretches) with the repeated words taken out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
             columns = dict(zip(batch.schema.names, batch.columns, strict=True))
             total, removed, kept = [], [], []
-            for text, row, found in zip(*(columns[c].to_pylist() for c in ("_text", "_row", "_spans")), strict=True):
+            given = (columns[c].to_pylist() for c in ("_doc", "_text", "_row", "_places"))
+            for doc, text, row, places in zip(*given, strict=True):
                 words = (text or "").encode().split()
                 gone = after = 0
                 rest: list[bytes] = []
-                for a, b in sorted((s["a"], s["b"]) for s in found or () if s["row"] == row):
-                    if b > after:
-                        rest += words[after:a]
-                        gone += b - max(a, after)
-                        after = b
+                for a, b in _covered(places or [], row, doc, window):
+                    rest += words[after:a]
+                    gone += b - a
+                    after = b
                 rest += words[after:]
                 total.append(len(words))
                 removed.append(gone)
@@ -281,8 +323,8 @@ def _cut(names: list[str]):
     return run
 
 
-def _spans(known: DataFrame, window: int, hot: int) -> DataFrame:
-    """Spans ``[a, b)`` of words to remove of (_doc, _row, _text) rows, with ``doc`` and ``row``."""
+def _repeats(known: DataFrame, window: int, hot: int) -> DataFrame:
+    """Stretches with words that an earlier document has, of (_doc, _row, _text) rows: doc, row, at, least."""
     anchors = known.select("_doc", F.col("_text").alias("text")).mapInArrow(
         _emit_anchors(window), "key bigint, doc bigint"
     )
@@ -292,7 +334,7 @@ def _spans(known: DataFrame, window: int, hot: int) -> DataFrame:
         .where("low < high")
         .select("key", (F.col("n") > hot).alias("is_hot"))
     )
-    # Both branches below read this list; written once, a tenth of the anchors.
+    # Both readers below take this list; written once, a tenth of the anchors.
     listed = table(
         anchors.join(shared, "key")
         .groupBy("doc")
@@ -302,28 +344,21 @@ def _spans(known: DataFrame, window: int, hot: int) -> DataFrame:
         ),
         "anchors",
     )
-
-    def holding(keys: str) -> DataFrame:
-        lists = listed.where(F.size(keys) > 0).select("doc", keys)
-        return known.join(lists, F.expr("_doc = doc")).select("doc", "_row", F.col("_text").alias("text"), keys)
-
-    cold = (
-        holding("cold_keys")
-        .mapInArrow(_emit_stretches(window), "key bigint, doc bigint, row bigint, at bigint, stretch binary")
+    holding = known.join(listed, F.expr("_doc = doc")).select(
+        "doc", "_row", F.col("_text").alias("text"), "cold_keys", "hot_keys"
+    )
+    matched = (
+        holding.mapInArrow(_emit_references(window), "key bigint, stretch binary, low bigint, high bigint")
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(_emit_spans(window), "doc bigint, row bigint, a bigint, b bigint")
-    )
-    windows = holding("hot_keys").mapInArrow(
-        _emit_windows(window), "h1 bigint, h2 bigint, doc bigint, row bigint, at bigint"
+        .mapInArrow(_match(window), "key bigint, name bigint, least array<bigint>")
     )
-    least = windows.groupBy("h1", "h2").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
-    warm = (
-        windows.join(least, ["h1", "h2"])
-        .where("low < doc")
-        .select("doc", "row", F.col("at").alias("a"), (F.col("at") + window).alias("b"))
+    places = holding.mapInArrow(_emit_places(window), "key bigint, name bigint, doc bigint, row bigint, at bigint")
+    return (
+        places.join(matched, ["key", "name"])
+        .where("array_min(least) < doc")
+        .select("doc", "row", "at", "least")
     )
-    return cold.unionByName(warm)
 
 
 def remove_repeats(
@@ -341,13 +376,13 @@ def remove_repeats(
         *[F.col(c).alias(f"_other{i}") for i, c in enumerate(others)],
     )
     known = source.where("_doc IS NOT NULL")  # shuffled by id once, read by every join below
-    spans = (
-        _spans(known, window, hot).groupBy("doc").agg(F.collect_list(F.struct("row", "a", "b")).alias("_spans"))
+    places = _repeats(known, window, hot).groupBy("doc").agg(
+        F.collect_list(F.struct("row", "at", "least")).alias("_places")
     )
-    joined = known.join(spans, F.expr("_doc = doc"), "left").drop("doc")
+    joined = known.join(places, F.expr("_doc = doc"), "left").drop("doc")
     rows = joined.unionByName(source.where("_doc IS NULL"), allowMissingColumns=True)
-    names = [c for c in rows.columns if c not in ("_row", "_spans")]
+    names = [c for c in rows.columns if c not in ("_row", "_places")]
     schema = T.StructType([f for f in rows.schema.fields if f.name in names] + T.StructType.fromDDL(ADDED).fields)
     back = {"_doc": id_col, "_text": text_col} | {f"_other{i}": c for i, c in enumerate(others)}
-    cut = rows.mapInArrow(_cut(names), schema).withColumnsRenamed(back)
+    cut = rows.mapInArrow(_cut(names, window), schema).withColumnsRenamed(back)
     return cut.select(*base.columns, "n_words", "n_removed", "kept_text")
