@@ -8,6 +8,9 @@ anywhere in a text, so windows of twice the template's length are aligned, each
 Windows that cannot reach the coverage are left out first: it is never more than the share of template words that
 occur there at all. That bound loses nothing. Each task reads its texts once; nothing is shuffled.
 
+A notice is found if its coverage is enough, its aligned words lie within one and a half times its length, and more than
+half of the words that no other license's template has were aligned: notices share most of their other words.
+
 Words are compared lowered (A-Z) and without punctuation. Null or empty text: no notice. Existing columns of the added
 names are replaced.
 """
@@ -103,15 +106,20 @@ class Template:
     name: str
     words: tuple[bytes, ...]
     counts: dict
+    own: frozenset  # words that templates of other names do not have
 
-    @staticmethod
-    def of(name: str, text: str) -> Template:
-        found = words(text)
-        return Template(name, tuple(found), dict(Counter(found)))
+    def accepts(self, pairs: list[tuple[int, int]]) -> bool:
+        """Whether aligned places are close together and name this license."""
+        named = {self.words[j] for _, j in pairs} & self.own
+        return pairs[-1][0] - pairs[0][0] < 1.5 * len(self.words) and (2 * len(named) > len(self.own) or not self.own)
 
 
 def templates(texts=TEMPLATES) -> list[Template]:
-    return [Template.of(name, text) for name, text in texts]
+    split = [(name, tuple(words(text))) for name, text in texts]
+    return [
+        Template(name, own, dict(Counter(own)), frozenset(own).difference(*[w for n, w in split if n != name]))
+        for name, own in split
+    ]
 
 
 def find(text: list[bytes], present: set[bytes], template: Template, coverage: float) -> tuple | None:
@@ -130,14 +138,17 @@ def find(text: list[bytes], present: set[bytes], template: Template, coverage: f
         if sum(min(n, template.counts.get(w, 0)) for w, n in Counter(part).items()) < need:
             continue
         pairs = align(part, list(template.words))
-        if len(pairs) >= need and (best is None or len(pairs) > best[0]):
+        if len(pairs) >= need and template.accepts(pairs) and (best is None or len(pairs) > best[0]):
             best = (len(pairs), a + pairs[0][0], a + pairs[-1][0] + 1)
     return None if best is None else (best[0] / size, best[1], best[2])
 
 
 def scan_text(text: str | None, known: list[Template], coverage: float) -> tuple:
-    """(license, coverage, first word, word after the last, all licenses) of a text; of equal coverage the longer
-    template is reported, then the first listed."""
+    """(license, coverage, first word, word after the last, all licenses) of a text.
+
+    Better coverage goes first, then the longer template, then the first listed. A notice of another license that lies
+    in words already taken is left out: notices share most of their words.
+    """
     found = words(text)
     present = set(found)
     hits = []
@@ -147,8 +158,12 @@ def scan_text(text: str | None, known: list[Template], coverage: float) -> tuple
             hits.append(((-hit[0], -len(template.words), rank), template.name, hit))
     if not hits:
         return None, 0.0, None, None, []
-    _, name, hit = min(hits)
-    return name, hit[0], hit[1], hit[2], sorted({h[1] for h in hits})
+    taken: list[tuple[str, tuple]] = []
+    for _, name, hit in sorted(hits):
+        if all(name == other or hit[2] <= t[1] or t[2] <= hit[1] for other, t in taken):
+            taken.append((name, hit))
+    name, hit = taken[0]
+    return name, hit[0], hit[1], hit[2], sorted({n for n, _ in taken})
 
 
 def scan_licenses(

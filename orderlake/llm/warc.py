@@ -209,5 +209,7 @@ def read_records(index: DataFrame, root: str, payloads: bool = True) -> DataFram
     """Records of the selected index rows; rows of one stretch of a file are read by one task, in order."""
     rows = index.select("file", "offset", "length")
     stretch = F.floor(F.col("offset") / (8 * READ_BYTES))
-    ordered = rows.repartition("file", stretch).sortWithinPartitions("file", "offset")
+    # A fixed number of tasks: by its own few bytes an index would be coalesced into one.
+    parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartition(parts, "file", stretch).sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(_reader(root, payloads), RECORD)
