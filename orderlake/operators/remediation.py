@@ -23,6 +23,7 @@ from orderlake.functions.rules import (
 from orderlake.functions.scalars import as_column
 
 # Outcomes of a request, in the order they are decided.
+DUPLICATE_REQUEST = "DUPLICATE_REQUEST"
 NOT_FOUND, AMBIGUOUS, PROTECTED_FIELD = "NOT_FOUND", "AMBIGUOUS", "PROTECTED_FIELD"
 CONTRACT_FAILED, QUALITY_FAILED, REPAIRED = "CONTRACT_FAILED", "QUALITY_FAILED", "REPAIRED"
 
@@ -52,7 +53,7 @@ def correction_value(text: Column) -> Column:
     early and would otherwise lose the rest.
     """
     whole = text.rlike(
-        r"""^\s*("([^"\\]|\\.)*"|-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?|true|false|null|\{.*\}|\[.*\])\s*$"""
+        r"""(?s)^\s*("([^"\\]|\\.)*"|-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?|true|false|null|\{.*\}|\[.*\])\s*$"""
     )
     return F.coalesce(F.when(whole, F.try_parse_json(text)), text.cast("variant"))
 
@@ -92,6 +93,7 @@ def match_requests(quarantine: DataFrame, requests: DataFrame, few_requests: boo
     # join shares, keeps adaptive execution from merging small partitions into few long tasks.
     tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     requests = requests.repartition(tasks, "event_id")
+    same = requests.groupBy("event_id").agg(F.count("*").alias("same_event"))
     keyed = quarantine.select(
         "raw_payload",
         "contract_error",
@@ -107,13 +109,16 @@ def match_requests(quarantine: DataFrame, requests: DataFrame, few_requests: boo
         # With one match it is that row; with several none is used.
         F.min(F.struct("raw_payload", "contract_error", "validation_error", "kafka_timestamp")).alias("found"),
     )
-    return requests.join(candidates, "event_id", "left").select(
-        *requests.columns, F.coalesce("matches", F.lit(0)).alias("matches"), "found.*"
+    return requests.join(same, "event_id", "left").join(candidates, "event_id", "left").select(
+        *requests.columns, "same_event", F.coalesce("matches", F.lit(0)).alias("matches"), "found.*"
     )
 
 
 def repair_payloads(matched: DataFrame, strict: bool = True) -> DataFrame:
-    """Apply each request's corrections and judge the result: one outcome per request."""
+    """Apply each request's corrections and judge the result: one outcome per request.
+
+    Requests of one event in the same batch are all refused: which of them came last would be left to chance.
+    """
     one = F.col("matches") == 1
     original = F.when(one, last_of_each_key(F.from_json("raw_payload", _ANY_FIELDS)))
     changes = F.transform_values(
@@ -143,7 +148,8 @@ def repair_payloads(matched: DataFrame, strict: bool = True) -> DataFrame:
         first_failure(quality_rules(strict)).alias("new_quality_error"),
     )
     outcome = (
-        F.when(F.col("request.matches") == 0, NOT_FOUND)
+        F.when(F.col("request.same_event") > 1, DUPLICATE_REQUEST)
+        .when(F.col("request.matches") == 0, NOT_FOUND)
         .when(F.col("request.matches") > 1, AMBIGUOUS)
         .when(F.col("request.protected"), PROTECTED_FIELD)
         .when(F.col("new_contract_error").isNotNull(), CONTRACT_FAILED)
@@ -154,7 +160,7 @@ def repair_payloads(matched: DataFrame, strict: bool = True) -> DataFrame:
         F.col("outcome") == QUALITY_FAILED, F.col("new_quality_error")
     )
     return judged.withColumn("outcome", outcome).select(
-        *[F.col(f"request.{c}").alias(c) for c in matched.columns],
+        *[F.col(f"request.{c}").alias(c) for c in matched.columns if c != "same_event"],
         _string_value(F.try_element_at("request.original", F.lit("order_id"))).alias("original_order_id"),
         "outcome",
         error.alias("outcome_error"),
@@ -164,9 +170,10 @@ def repair_payloads(matched: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def _corrections_text() -> Column:
-    """Corrections as JSON, sorted by field so that equal corrections are equal text."""
+    """Corrections as JSON of the values they mean, sorted by field so that equal corrections are equal text."""
     given = F.coalesce("corrections", F.create_map().cast("map<string,string>"))
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(given))))
+    ordered = F.map_from_entries(F.array_sort(F.map_entries(given)))
+    return F.to_json(F.transform_values(ordered, lambda _, text: correction_value(text)))
 
 
 def audit_rows(
@@ -202,24 +209,30 @@ def audit_rows(
 def locate_republished(audit: DataFrame, repaired: DataFrame, bronze: DataFrame) -> DataFrame:
     """Fill partition and offset of published repairs from the Bronze row they arrived as.
 
-    The bulk sink returns no positions; the message itself does, once it is in Bronze.
+    The bulk sink returns no positions; the message itself does, once it is in Bronze. A publish is the first
+    arrival of its payload at or after the audit row, so two publishes of one repair keep their own positions.
     Only Bronze days from the first audit row on are read.
     """
     since = audit.agg(F.to_date(F.min("created_at")).alias("since"))
-    arrivals = bronze.where(F.col("ingestion_date") >= since.scalar())
-    arrivals = arrivals.groupBy(F.sha2("raw_payload", 256).alias("_digest")).agg(
-        F.max(F.struct("kafka_timestamp", "topic", "partition", "offset")).alias("at")
+    arrivals = bronze.where(F.col("ingestion_date") >= since.scalar()).select(
+        F.sha2("raw_payload", 256).alias("_digest"), "kafka_timestamp", "topic", "partition", "offset"
     )
     sent = repaired.select(
         "event_id", _corrections_text().alias("corrections"), F.sha2("repaired_payload", 256).alias("_digest")
+    ).distinct()
+    waiting = audit.where(F.col("status") == "PUBLISHED").join(sent, ["event_id", "corrections"])
+    found = (
+        waiting.select("reprocessing_id", "created_at", "_digest")
+        .join(arrivals, "_digest")
+        .where("kafka_timestamp >= created_at")
+        .groupBy("reprocessing_id")
+        .agg(F.min(F.struct("kafka_timestamp", "topic", "partition", "offset")).alias("at"))
     )
-    found = sent.join(arrivals, "_digest").select("event_id", "corrections", "at").distinct()
-    published = F.col("status") == "PUBLISHED"
-    return audit.join(found, ["event_id", "corrections"], "left").select(
+    return audit.join(found, "reprocessing_id", "left").select(
         *[c for c in audit.columns if not c.startswith("republished_") and c not in ("error_message", "created_at")],
-        F.when(published, F.coalesce("at.topic", "republished_topic")).alias("republished_topic"),
-        F.when(published, F.col("at.partition")).alias("republished_partition"),
-        F.when(published, F.col("at.offset")).alias("republished_offset"),
+        F.coalesce("at.topic", "republished_topic").alias("republished_topic"),
+        F.coalesce("at.partition", "republished_partition").alias("republished_partition"),
+        F.coalesce("at.offset", "republished_offset").alias("republished_offset"),
         "error_message",
         "created_at",
     )

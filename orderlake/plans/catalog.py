@@ -7,7 +7,6 @@ runs, incidents, repair requests) are derived from the same deliveries.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
@@ -23,7 +22,7 @@ from orderlake.operators.routing import build_bronze, build_quarantine, build_si
 from orderlake.operators.windows import BACKFILL, NORMAL, REPLAY, LoadWindow, list_files, load_window, select_files
 from orderlake.plans.load import count_load
 from orderlake.plans.models import build_daily_sales, build_fact, fact_rows, newer_than_fact, stage_orders
-from orderlake.session import pin_utc, scratch_root, stage
+from orderlake.session import pin_utc, scratch_root
 from orderlake.sources import sample
 from orderlake.sources.tables import Paths, read_bronze, read_quarantine, read_silver
 from orderlake.streaming.lake import start_lake
@@ -49,16 +48,8 @@ WINDOWS = {
 # --- the delivery log and the lake ------------------------------------------
 
 
-# Tables written by this process: (application, table folder, name) -> DataFrame.
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
-
-
 class DeliveryLog:
-    """The derived deliveries of one table folder, and the layers made from them.
-
-    A query that passes over a layer several times reads it as a stored table, as
-    the real jobs do; the table is written once per application.
-    """
+    """The derived deliveries of one table folder, and the layers made from them. Building one runs no job."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = pin_utc(spark), sf_dir
@@ -93,25 +84,9 @@ class DeliveryLog:
     def first_rows(self) -> DataFrame:
         return _first(self.silver)
 
-    def _stored(self, name: str, df: DataFrame) -> DataFrame:
-        application = self.spark.sparkContext.applicationId
-        key = (application, self.sf_dir, name)
-        if key not in _STORED:
-            folder = hashlib.sha256(self.sf_dir.encode()).hexdigest()[:12]
-            _STORED[key] = stage(df, f"catalog-{application}-{folder}-{name}")
-        return _STORED[key]
-
-    @cached_property
-    def stored_silver(self) -> DataFrame:
-        return self._stored("silver", self.silver)
-
-    @cached_property
-    def stored_raw(self) -> DataFrame:
-        return self._stored("raw", self.raw)
-
     @cached_property
-    def stored_verdicts(self) -> DataFrame:
-        return self._stored("verdicts", _daily_verdicts(self))
+    def verdicts(self) -> DataFrame:
+        return _daily_verdicts(self)
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -208,7 +183,7 @@ def _load(rows: DataFrame, window: LoadWindow) -> tuple[DataFrame, DataFrame, Da
 
 def _inserted(mode: str) -> Callable[[DeliveryLog], DataFrame]:
     def query(log: DeliveryLog) -> DataFrame:
-        new = _load(log.stored_silver, WINDOWS[mode])[2]
+        new = _load(log.silver, WINDOWS[mode])[2]
         rows = to_warehouse_row(new, "file_path").select(
             "event_id", "order_id", "event_date", "quantity", "order_value", "kafka_offset", "file_path"
         )
@@ -224,7 +199,7 @@ def raw_first_wins(log: DeliveryLog) -> DataFrame:
 
 def load_counters(log: DeliveryLog) -> DataFrame:
     """Counters of a load of each mode, and the watermark a normal load leaves."""
-    rows = log.stored_silver
+    rows = log.silver
     reports = []
     for mode, window in WINDOWS.items():
         files, _, new = _load(rows, window)
@@ -257,7 +232,7 @@ def silver_files(log: DeliveryLog) -> DataFrame:
 
 def loaded_files(log: DeliveryLog) -> DataFrame:
     """Entries a backfill adds to the file ledger."""
-    rows = log.stored_silver
+    rows = log.silver
     files = select_files(list_files(rows), WINDOWS[BACKFILL], _file_ledger(rows))
     return files.where("selected AND NOT loaded_before").select(
         "file_path", F.lit(S.DATASET).alias("dataset_name"), "ingestion_date", "ingestion_hour", "row_count"
@@ -294,13 +269,13 @@ def stg_orders(log: DeliveryLog) -> DataFrame:
 
 def fct_orders_incremental(log: DeliveryLog) -> DataFrame:
     """The rows one incremental build adds."""
-    raw = log.stored_raw
+    raw = log.raw
     return _money(fact_rows(newer_than_fact(stage_orders(raw), _fact_before(raw))), "unit_price", "order_value")
 
 
 def fct_orders_upsert(log: DeliveryLog) -> DataFrame:
     """The fact after an incremental build that also replaces stale rows of it."""
-    raw = log.stored_raw
+    raw = log.raw
     stale = fact_rows(stage_orders(raw)).where(
         (F.col("loaded_at") == F.lit(SECOND_LOAD)) & (F.dayofmonth("event_date") == 3)
     )
@@ -316,7 +291,7 @@ def mart_daily_sales(log: DeliveryLog) -> DataFrame:
 
 def late_event_correction(log: DeliveryLog) -> DataFrame:
     """Business days the second load changed, before and after."""
-    raw = log.stored_raw
+    raw = log.raw
     tagged = fact_rows(stage_orders(raw))
     before = build_daily_sales(_fact_before(raw))
     after = build_daily_sales(tagged)
@@ -335,14 +310,14 @@ def duplicate_business_keys(log: DeliveryLog) -> DataFrame:
 
 
 def data_test_report(log: DeliveryLog) -> DataFrame:
-    raw = log.stored_raw
+    raw = log.raw
     staged = stage_orders(raw)
     return checks.run_checks({"raw_orders": raw, "stg_orders": staged, "fct_orders": build_fact(staged)})
 
 
 def constraint_report(log: DeliveryLog) -> DataFrame:
     """What the raw table's constraints would refuse if all deliveries were inserted as they came."""
-    rows = to_warehouse_row(log.stored_silver).withColumn("loaded_at", F.lit(FIRST_LOAD))
+    rows = to_warehouse_row(log.silver).withColumn("loaded_at", F.lit(FIRST_LOAD))
     return checks.run_checks({"raw_orders": rows}, {"raw_orders": checks.RAW_CONSTRAINTS})
 
 
@@ -350,7 +325,7 @@ def constraint_report(log: DeliveryLog) -> DataFrame:
 
 
 def _warehouse(log: DeliveryLog) -> DataFrame:
-    raw = log.stored_raw
+    raw = log.raw
     fact = build_fact(stage_orders(raw))
     return health.warehouse_metrics(raw, fact, build_daily_sales(fact))
 
@@ -427,7 +402,7 @@ def health_verdict(log: DeliveryLog) -> DataFrame:
 
 def _transitions(log: DeliveryLog) -> DataFrame:
     """Each day's verdict against the incidents the day before left open."""
-    verdicts = log.stored_verdicts.withColumn("run_id", F.concat(F.lit("run-"), F.col("day")))
+    verdicts = log.verdicts.withColumn("run_id", F.concat(F.lit("run-"), F.col("day")))
     kind = F.explode("incident_types").alias("incident_type")
     left_open = verdicts.select(
         F.date_add("day", 1).alias("day"),
@@ -468,7 +443,7 @@ def sent_notices(log: DeliveryLog) -> DataFrame:
 
 def _metrics_ledger(log: DeliveryLog) -> DataFrame:
     """Stored snapshots; those before 1996 predate the duplicate-aware column."""
-    rows = health.metrics_row(log.stored_verdicts, F.col("recorded_at"))
+    rows = health.metrics_row(log.verdicts, F.col("recorded_at"))
     aware = F.when(F.year("recorded_at") >= 1996, F.col("silver_unique_events"))
     return rows.withColumn("silver_unique_events", aware)
 
@@ -498,7 +473,7 @@ def open_incidents(log: DeliveryLog) -> DataFrame:
 
 def _run_events(log: DeliveryLog) -> DataFrame:
     """Run ledger: one run per day; a run on the tenth failed at first and was started again."""
-    daily = log.stored_verdicts.withColumn("run_id", F.concat(F.lit("run-"), F.col("day")))
+    daily = log.verdicts.withColumn("run_id", F.concat(F.lit("run-"), F.col("day")))
     retried, degraded = "dayofmonth(day) = 10", "status = 'DEGRADED'"
 
     def event(kind: str, minutes: int, only: str = "true", **columns: str) -> str:
@@ -591,8 +566,8 @@ def _repair_requests(log: DeliveryLog) -> DataFrame:
         .when(f == sample.USD, fix("currency", "GBP"))
         .when(f == sample.BAD_CATEGORY, fix("category", "home"))
         .when(f == sample.BAD_TYPE, fix("event_type", "order_created"))
-        .when(f == sample.ZERO_PRICE, fix("unit_price", "149.35"))
-        .when(f == sample.BAD_TIME, fix("event_timestamp", "2026-08-16T12:43:22+00:00"))
+        .when(f == sample.ZERO_PRICE, fix("unit_price", "12.4"))
+        .when(f == sample.BAD_TIME, fix("event_timestamp", "2026-08-11T06:20:30+00:00"))
         .when(f == sample.NO_ORDER_ID, fix("order_id", order_id))
         .when(f.isin(sample.VERSION_99, sample.TEXT_VERSION), fix("schema_version", "1"))
         .when(f == sample.NO_VERSION, fix("quantity", "3"))
@@ -674,16 +649,16 @@ def _order_key_map(log: DeliveryLog) -> DataFrame:
 
 
 def order_key_repair(log: DeliveryLog) -> DataFrame:
-    return key_repair.repair_order_ids(log.stored_silver, _order_key_map(log)).report
+    return key_repair.repair_order_ids(log.silver, _order_key_map(log)).report
 
 
 def order_key_files(log: DeliveryLog) -> DataFrame:
-    return key_repair.repair_order_ids(log.stored_silver, _order_key_map(log)).files
+    return key_repair.repair_order_ids(log.silver, _order_key_map(log)).files
 
 
 def order_key_overlay(log: DeliveryLog) -> DataFrame:
     """All of Silver with the accepted repairs laid over it."""
-    rows = log.stored_silver
+    rows = log.silver
     report = key_repair.repair_order_ids(rows, _order_key_map(log)).report
     return key_repair.apply_overlay(rows, report).select("event_id", "order_id", "partition", "offset")
 

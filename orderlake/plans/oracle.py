@@ -314,7 +314,7 @@ select distinct {_EVENT_ID} as event_id,
        when f = 6 then 'event_timestamp' when f = 3 then 'order_id' when f in (2, 12) then 'schema_version'
        else 'quantity' end as field,
   case when f = 4 and l_linenumber = 2 then '0' when f = 4 then '2' when f = 5 then 'GBP' when f = 7 then 'home'
-       when f = 10 then 'order_created' when f = 11 then '149.35' when f = 6 then '2026-08-16T12:43:22+00:00'
+       when f = 10 then 'order_created' when f = 11 then '12.4' when f = 6 then '2026-08-11T06:20:30+00:00'
        when f = 3 then 'ORD-' || l_orderkey when f in (2, 12) then '1' when f = 1 then '3' else '4' end as given
 from (select *, l_orderkey % 29 as f from lineitem) where f between 1 and 12 and f <> 8
 """,
@@ -621,10 +621,10 @@ from remedied where outcome = 'REPAIRED'""",
     ),
     "remediation_audit": (
         ["remedied"],
-        """select sha256(event_id || '|batch-1|{"' || field || '":"' || given || '"}') as reprocessing_id, event_id,
+        """select sha256(event_id || '|batch-1|{"' || field || '":' || case when field in ('quantity', 'unit_price', 'schema_version') then given else '"' || given || '"' end || '}') as reprocessing_id, event_id,
   old_payload ->> '$.order_id' as order_id, old_contract_error as original_contract_error,
   old_validation_error as original_validation_error, old_kafka_timestamp as original_kafka_timestamp,
-  '{"' || field || '":"' || given || '"}' as corrections, 'PUBLISH' as action, 'PUBLISHED' as status,
+  '{"' || field || '":' || case when field in ('quantity', 'unit_price', 'schema_version') then given else '"' || given || '"' end || '}' as corrections, 'PUBLISH' as action, 'PUBLISHED' as status,
   'orders' as republished_topic, cast(null as integer) as republished_partition,
   cast(null as bigint) as republished_offset, cast(null as varchar) as error_message,
   timestamp '2002-01-02 12:00:00' as created_at from remedied where outcome = 'REPAIRED'""",
@@ -632,7 +632,7 @@ from remedied where outcome = 'REPAIRED'""",
     "remediation_history": (
         ["remedied"],
         """select old_kafka_timestamp as created_at, event_id, 'PUBLISH' as action, 'PUBLISHED' as status,
-  '{"' || field || '":"' || given || '"}' as corrections from remedied where outcome = 'REPAIRED'
+  '{"' || field || '":' || case when field in ('quantity', 'unit_price', 'schema_version') then given else '"' || given || '"' end || '}' as corrections from remedied where outcome = 'REPAIRED'
 order by created_at desc""",
     ),
     "order_key_repair": (["key_report"], "select * from key_report"),

@@ -12,10 +12,11 @@ from orderlake import schemas as S
 from orderlake.operators.checks import AUDIT_CONSTRAINTS, Check, assert_constraints
 from orderlake.operators.delivery import current_state
 from orderlake.operators.key_repair import READY, KeyRepair, repair_order_ids, verify_rewrite
-from orderlake.operators.remediation import audit_rows, remediate
+from orderlake.operators.remediation import REPAIRED, audit_rows, locate_republished, remediate
 from orderlake.session import stage
 from orderlake.sources.tables import (
     Paths,
+    read_bronze,
     read_quarantine,
     read_silver,
     read_table,
@@ -69,6 +70,14 @@ def run_remediation(
     return report
 
 
+def record_positions(spark: SparkSession, paths: Paths, report: DataFrame, batch_id: str) -> None:
+    """Store where the published repairs of a batch arrived, once Bronze has them; may be run again."""
+    log = paths.ledger("event_reprocessing_log")
+    audit = read_table(spark, log, S.AUDIT, "batch_id").where(F.col("batch_id") == batch_id).drop("batch_id")
+    located = locate_republished(audit, report.where(F.col("outcome") == REPAIRED), read_bronze(spark, paths))
+    write_run(stage(located, f"positions-{batch_id}"), log, "batch_id", batch_id)
+
+
 def applied_repairs(spark: SparkSession, paths: Paths) -> DataFrame:
     """The newest applied order-id repair per event."""
     ledger = read_table(spark, paths.ledger("order_key_repairs"), S.ORDER_KEY_REPAIRS, "repair_id")

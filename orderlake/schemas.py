@@ -57,7 +57,6 @@ ORDER_EVENT = _struct(
     "order_id string, customer_id string, product_id string, category string, "
     "quantity int, unit_price double, currency string"
 )
-PRESENT_FIELDS = T.MapType(T.StringType(), T.StringType())
 
 # What the console tail shows: the event before versioning, no validation.
 TAIL_EVENT = T.StructType([f for f in ORDER_EVENT if f.name != "schema_version"])

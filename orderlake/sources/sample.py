@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import schemas as S
-from orderlake.operators.delivery import first_deliveries, to_warehouse_row
 
 _COLUMNS = (
     "l_orderkey",
@@ -50,14 +49,8 @@ PARTS_PER_FILE = 1000
 
 
 def read_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns deliveries need.
-
-    A table of fewer splits than task slots (the small test tables are one row group)
-    is spread over the slots; a large one is read as it is, without a shuffle.
-    """
-    table = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*_COLUMNS)
-    slots = spark.sparkContext.defaultParallelism
-    return table.repartition(slots) if table.rdd.getNumPartitions() < slots else table
+    """The columns deliveries need."""
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*_COLUMNS)
 
 
 def fault() -> Column:
@@ -134,9 +127,3 @@ def with_file_position(silver: DataFrame) -> DataFrame:
 
 # Total order of the derived deliveries: load order, then what may still differ.
 SAMPLE_ORDER = ("ingestion_date", "ingestion_hour", "file_path", "row_index", "quantity", "unit_price")
-
-
-def warehouse_rows(silver: DataFrame, loaded_at: Column) -> DataFrame:
-    """Raw orders of a Silver table with file positions, loaded in one go."""
-    first = first_deliveries(silver, SAMPLE_ORDER)
-    return to_warehouse_row(first).withColumn("loaded_at", loaded_at)

@@ -84,15 +84,19 @@ def with_metadata_position(silver: DataFrame) -> DataFrame:
         return silver.selectExpr("*", "cast(NULL AS string) AS file_path", "cast(NULL AS bigint) AS row_index")
 
 
+def _folder(partition: str, value: str) -> str:
+    """Folder name of a partition value, escaped as Spark reads it back."""
+    special = set("\"#%'*/:=?\\{[]^") | {chr(i) for i in (*range(1, 32), 127)}
+    return f"{partition}=" + "".join(f"%{ord(c):02X}" if c in special else c for c in value)
+
+
 def write_run(df: DataFrame, path: str, partition: str, value: str) -> None:
-    """Replace one job's partition of a table, leaving the others alone."""
-    (
-        df.withColumn(partition, F.lit(value))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    """Replace one job's partition of a table, leaving the others alone.
+
+    The partition's own folder is overwritten, so a retry that has no rows empties it too.
+    """
+    rows = df.drop(partition)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{_folder(partition, value)}")
 
 
 def overwrite(df: DataFrame, path: str, *partitions: str) -> None:

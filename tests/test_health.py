@@ -30,22 +30,22 @@ B, S_RAW, R_F, F_G, W = (
 
 # bronze, silver, unique, quarantine, raw, fact, gold; load age in minutes; options; status; incidents
 CASES = [
-    ((127, 127, None, 0, 127, 127, 127), 1, {}, "HEALTHY", []),
-    ((130, 127, None, 0, 127, 127, 127), 1, {}, "WARNING", []),
-    ((133, 127, None, 0, 127, 127, 127), 1, {}, "DEGRADED", [B]),
-    ((130, 130, None, 0, 127, 127, 127), 1, {}, "WARNING", []),
-    ((133, 133, None, 0, 127, 127, 127), 1, {}, "DEGRADED", [S_RAW]),
-    ((127, 127, None, 0, 128, 128, 128), 1, {}, "DEGRADED", [S_RAW]),
-    ((130, 127, None, 0, 127, 127, 127), 1, {"strict": True}, "DEGRADED", [B]),
-    ((127, 127, None, 0, 127, 126, 126), 1, {}, "DEGRADED", [R_F]),
-    ((127, 127, None, 0, 127, 127, 126), 1, {}, "DEGRADED", [F_G]),
-    ((127, 127, None, 0, 127, 127, 127), 3000, {}, "DEGRADED", [W]),
-    ((127, 127, None, 0, 127, 127, 127), None, {}, "DEGRADED", [W]),
-    ((653, 649, 648, 4, 648, 648, 648), 1, {"strict": True}, "HEALTHY", []),
-    ((653, 649, 649, 4, 648, 648, 648), 1, {"strict": True}, "DEGRADED", [S_RAW]),
-    ((127, 127, None, 0, 127, 127, 127), 121, {"max_load_age_minutes": 120}, "DEGRADED", [W]),
-    ((127, 127, None, 0, 127, 127, 127), 119, {"max_load_age_minutes": 120}, "HEALTHY", []),
-    ((140, 127, None, 0, 127, 126, 125), None, {}, "DEGRADED", [B, R_F, F_G, W]),
+    ((58, 58, None, 0, 58, 58, 58), 1, {}, "HEALTHY", []),
+    ((61, 58, None, 0, 58, 58, 58), 1, {}, "WARNING", []),
+    ((64, 58, None, 0, 58, 58, 58), 1, {}, "DEGRADED", [B]),
+    ((61, 61, None, 0, 58, 58, 58), 1, {}, "WARNING", []),
+    ((64, 64, None, 0, 58, 58, 58), 1, {}, "DEGRADED", [S_RAW]),
+    ((58, 58, None, 0, 59, 59, 59), 1, {}, "DEGRADED", [S_RAW]),
+    ((61, 58, None, 0, 58, 58, 58), 1, {"strict": True}, "DEGRADED", [B]),
+    ((58, 58, None, 0, 58, 57, 57), 1, {}, "DEGRADED", [R_F]),
+    ((58, 58, None, 0, 58, 58, 57), 1, {}, "DEGRADED", [F_G]),
+    ((58, 58, None, 0, 58, 58, 58), 3000, {}, "DEGRADED", [W]),
+    ((58, 58, None, 0, 58, 58, 58), None, {}, "DEGRADED", [W]),
+    ((212, 208, 207, 4, 207, 207, 207), 1, {"strict": True}, "HEALTHY", []),
+    ((212, 208, 208, 4, 207, 207, 207), 1, {"strict": True}, "DEGRADED", [S_RAW]),
+    ((58, 58, None, 0, 58, 58, 58), 121, {"max_load_age_minutes": 120}, "DEGRADED", [W]),
+    ((58, 58, None, 0, 58, 58, 58), 119, {"max_load_age_minutes": 120}, "HEALTHY", []),
+    ((71, 58, None, 0, 58, 57, 56), None, {}, "DEGRADED", [B, R_F, F_G, W]),
 ]
 
 
@@ -59,7 +59,7 @@ def metrics(spark, counts, age):
     )
 
 
-def verdict(spark, counts=(127, 127, None, 0, 127, 127, 127), age=1, **options):
+def verdict(spark, counts=(58, 58, None, 0, 58, 58, 58), age=1, **options):
     return evaluate_health(metrics(spark, counts, age), now=NOW, **{"max_lag_rows": 5, **options})
 
 
@@ -71,19 +71,19 @@ def test_verdict(spark, counts, age, options, status, incidents):
 
 
 def test_issue_texts(spark):
-    row = verdict(spark, (133, 127, None, 0, 127, 126, 126), 3000).first()
+    row = verdict(spark, (64, 58, None, 0, 58, 57, 57), 3000).first()
     assert row.details == (
-        "Bronze does not reconcile with Silver + Quarantine: 133 != 127 + 0 (gap=6); "
-        "raw.orders does not reconcile with fct_orders: 127 != 126; "
+        "Bronze does not reconcile with Silver + Quarantine: 64 != 58 + 0 (gap=6); "
+        "raw.orders does not reconcile with fct_orders: 58 != 57; "
         "Warehouse data is stale: 3000 minutes since latest load"
     )
     assert verdict(spark).first().details == "All reconciliation and freshness checks passed"
 
 
 def test_default_thresholds(spark):
-    at_edge = metrics(spark, (187, 127, None, 0, 127, 127, 127), 2880)
+    at_edge = metrics(spark, (118, 58, None, 0, 58, 58, 58), 2880)
     assert evaluate_health(at_edge, now=NOW).first().status == "WARNING"
-    beyond = metrics(spark, (188, 127, None, 0, 127, 127, 127), 2881)
+    beyond = metrics(spark, (119, 58, None, 0, 58, 58, 58), 2881)
     assert evaluate_health(beyond, now=NOW).first().incident_types == [B, W]
 
 
@@ -126,7 +126,7 @@ def open_incidents(spark, *kinds):
 
 
 def test_opens_refreshes_and_resolves(spark):
-    found = verdict(spark, (127, 127, None, 0, 127, 126, 125))
+    found = verdict(spark, (58, 58, None, 0, 58, 57, 56))
     rows = incident_transitions(open_incidents(spark, R_F, W), found, "run_2", NOW).collect()
     by_type = {r.incident_type: r for r in rows}
     assert {k: r.transition for k, r in by_type.items()} == {R_F: "REFRESH", F_G: "OPEN", W: "RESOLVE"}
@@ -145,12 +145,12 @@ def test_nothing_to_do_when_healthy_and_quiet(spark):
 
 def test_resolved_incidents_do_not_count_as_open(spark):
     closed = open_incidents(spark, R_F).withColumn("resolved_at", F.lit(NOW))
-    found = verdict(spark, (127, 127, None, 0, 127, 126, 126))
+    found = verdict(spark, (58, 58, None, 0, 58, 57, 57))
     assert [r.transition for r in incident_transitions(closed, found, "r", NOW).collect()] == ["OPEN"]
 
 
 def test_alert_once_then_recovery(spark):
-    bad, good = verdict(spark, (127, 127, None, 0, 127, 126, 126)), verdict(spark)
+    bad, good = verdict(spark, (58, 58, None, 0, 58, 57, 57)), verdict(spark)
     first = stamp_notices(incident_transitions(open_incidents(spark), bad, "r1", NOW), NOW)
     assert first.first().alert_sent_at == NOW.replace(tzinfo=None)
     opened = incident_transitions(open_incidents(spark), bad, "r1", NOW)

@@ -11,12 +11,11 @@ from orderlake import schemas as S
 from orderlake.operators.checks import CheckFailed
 from orderlake.operators.delivery import current_state
 from orderlake.operators.operations import current_runs, metric_history, recent_runs
-from orderlake.operators.remediation import locate_republished
 from orderlake.operators.windows import load_window
 from orderlake.plans.load import current_watermark, run_load
 from orderlake.plans.models import refresh_daily_sales, refresh_fact
 from orderlake.plans.pipeline import HealthDegraded, check_health, read_models, read_runs, register_models, run_pipeline
-from orderlake.plans.repairs import run_order_key_repair, run_remediation
+from orderlake.plans.repairs import record_positions, run_order_key_repair, run_remediation
 from orderlake.session import stage
 from orderlake.sources.tables import read_bronze, read_quarantine, read_silver, read_table, write_run
 from orderlake.sources.topic import read_orders_stream
@@ -182,7 +181,7 @@ def test_late_event_corrects_its_day(spark, paths, deliver):
     deliver(orders(1, 2, event_timestamp="2026-08-14T09:00:00+00:00"), T0)
     deliver(orders(3), T0)
     run_pipeline(spark, paths, normal(spark, paths), "run-1", T0, max_load_age_minutes=10**6)
-    assert day(spark, paths, date(2026, 8, 14)) == (2, 4, 102.0, 51.0)
+    assert day(spark, paths, date(2026, 8, 14)) == (2, 6, 103.5, 51.75)
     later = T0 + timedelta(hours=1)
     deliver(orders(4, event_timestamp="2026-08-14T09:00:00+00:00", unit_price=25.0), later)
     result = run_pipeline(spark, paths, normal(spark, paths), "run-2", later, strict=True)
@@ -255,16 +254,16 @@ def test_fact_full_refresh_and_replacing_rows(spark, paths, deliver):
 
 def test_remediation_reaches_the_mart_once(spark, paths, deliver):
     bad = event(
-        event_id="7fbec326",
-        event_timestamp="2026-08-16T12:43:22.858263+00:00",
-        order_id="ORD-DQ",
-        category="home",
+        event_id="ev-mend",
+        event_timestamp="2026-08-11T06:20:30.5+00:00",
+        order_id="ORD-M1",
+        category="books",
         quantity=0,
-        unit_price=149.35,
+        unit_price=12.4,
     )
     deliver([*orders(1), bad], T0)
     run_pipeline(spark, paths, normal(spark, paths), "run-1", T0)
-    requests = spark.createDataFrame([("7fbec326", {"quantity": "2"})], S.REPAIR_REQUESTS)
+    requests = spark.createDataFrame([("ev-mend", {"quantity": "2"})], S.REPAIR_REQUESTS)
     dry = run_remediation(spark, paths, requests, "b-1", T0)
     assert dry.first().outcome == "REPAIRED"
     log = lambda: read_table(spark, paths.ledger("event_reprocessing_log"), S.AUDIT, "batch_id")
@@ -278,14 +277,16 @@ def test_remediation_reaches_the_mart_once(spark, paths, deliver):
         )
         sent = [r.value.decode() for r in spark.read.parquet(out).collect()]
         assert len(sent) == 1
-        deliver(sent, later)
+        deliver(sent, later, kafka_at=later)
+        record_positions(spark, paths, report, f"p-{n}")
         run_pipeline(spark, paths, normal(spark, paths), f"run-p{n}", later, strict=True)
-        assert day(spark, paths, date(2026, 8, 16)) == (1, 2, 298.7, 298.7)
+        assert day(spark, paths, date(2026, 8, 11)) == (1, 2, 24.8, 24.8)
     assert read_quarantine(spark, paths).count() == 1
-    assert read_silver(spark, paths).where("event_id = '7fbec326'").count() == 2
-    audit = log().where("batch_id = 'p-1'")
-    located = locate_republished(audit, report, read_bronze(spark, paths)).first()
-    assert (located.republished_topic, located.republished_partition, located.republished_offset) == ("orders", 0, 3)
+    assert read_silver(spark, paths).where("event_id = 'ev-mend'").count() == 2
+    # Each publish keeps the position of its own message, also when positions are recorded again.
+    record_positions(spark, paths, report, "p-1")
+    places = {r.batch_id: (r.republished_topic, r.republished_partition, r.republished_offset) for r in log().collect()}
+    assert places == {"b-1": (None, None, None), "p-1": ("orders", 0, 2), "p-2": ("orders", 0, 3)}
 
 
 def test_failed_publish_is_audited(spark, paths, deliver):
@@ -300,8 +301,8 @@ def test_failed_publish_is_audited(spark, paths, deliver):
 def test_order_id_repair_is_an_overlay(spark, paths, deliver):
     deliver([event(event_id="evt-1"), event(event_id="evt-2"), event(event_id="evt-2")], T0)
     columns = S.ORDER_KEY_MAP
-    good = spark.createDataFrame([("evt-2", "ORD-100001", "ORD-100002")], columns)
-    wrong = spark.createDataFrame([("evt-2", "ORD-X", "ORD-100002"), ("evt-9", "ORD-9", "ORD-10")], columns)
+    good = spark.createDataFrame([("evt-2", "ORD-7713", "ORD-7714")], columns)
+    wrong = spark.createDataFrame([("evt-2", "ORD-X", "ORD-7714"), ("evt-9", "ORD-9", "ORD-10")], columns)
     report = {r.event_id: r for r in run_order_key_repair(spark, paths, wrong, "r-0", T0).report.collect()}
     assert (report["evt-2"].outcome, report["evt-9"].outcome) == ("UNEXPECTED_ORDER_ID", "NO_MATCH")
     with pytest.raises(ValueError, match="refused"):
@@ -310,9 +311,21 @@ def test_order_id_repair_is_an_overlay(spark, paths, deliver):
     with pytest.raises(CheckFailed):
         run_pipeline(spark, paths, load_window(), "run-0", T0)
     repair = run_order_key_repair(spark, paths, good, "r-1", T0, apply=True)
-    assert [r.order_id for r in repair.rows.collect()] == ["ORD-100002"] * 2
+    assert [r.order_id for r in repair.rows.collect()] == ["ORD-7714"] * 2
     # A repair changes no sink file; loads read through it.
-    assert read_silver(spark, paths).where("order_id = 'ORD-100001'").count() == 3
+    assert read_silver(spark, paths).where("order_id = 'ORD-7713'").count() == 3
     run_load(spark, paths, load_window(), "run-0", T0)
     raw = read_models(spark, paths)["raw_orders"]
-    assert {(r.event_id, r.order_id) for r in raw.collect()} == {("evt-1", "ORD-100001"), ("evt-2", "ORD-100002")}
+    assert {(r.event_id, r.order_id) for r in raw.collect()} == {("evt-1", "ORD-7713"), ("evt-2", "ORD-7714")}
+
+
+def test_a_retry_without_rows_replaces_the_earlier_attempt(spark, paths):
+    frame = spark.createDataFrame([(1,), (2,)], "n int")
+    read = lambda: read_table(spark, paths.table("t"), frame.schema, "run_id")
+    write_run(frame, paths.table("t"), "run_id", "2026-08-19T12:10")
+    write_run(frame, paths.table("t"), "run_id", "other")
+    assert sorted((r.n, r.run_id) for r in read().collect()) == [
+        (1, "2026-08-19T12:10"), (1, "other"), (2, "2026-08-19T12:10"), (2, "other"),
+    ]
+    write_run(frame.limit(0), paths.table("t"), "run_id", "2026-08-19T12:10")
+    assert sorted((r.n, r.run_id) for r in read().collect()) == [(1, "other"), (2, "other")]

@@ -24,12 +24,12 @@ from orderlake.operators.remediation import audit_rows, correction_value, parse_
 
 NOW = utc(2026, 8, 20)
 BAD = {
-    "event_id": "7fbec326",
-    "event_timestamp": "2026-08-16T12:43:22.858263+00:00",
-    "order_id": "ORD-DQ",
-    "category": "home",
+    "event_id": "ev-mend",
+    "event_timestamp": "2026-08-11T06:20:30.5+00:00",
+    "order_id": "ORD-M1",
+    "category": "books",
     "quantity": 0,
-    "unit_price": 149.35,
+    "unit_price": 12.4,
 }
 
 
@@ -39,7 +39,7 @@ def quarantine(spark, *payloads):
 
 
 def outcomes(spark, corrections, payloads=None, **options):
-    requests = spark.createDataFrame([("7fbec326", corrections)], S.REPAIR_REQUESTS)
+    requests = spark.createDataFrame([("ev-mend", corrections)], S.REPAIR_REQUESTS)
     payloads = [event(**BAD)] if payloads is None else payloads
     return remediate(quarantine(spark, *payloads), requests, "b", NOW, **options).report.first()
 
@@ -47,7 +47,7 @@ def outcomes(spark, corrections, payloads=None, **options):
 @pytest.mark.parametrize("few", [False, True])
 def test_repair_keeps_identity_order_and_types(spark, few):
     row = outcomes(spark, {"quantity": "2", "note": "two boxes"}, few_requests=few)
-    assert (row.outcome, row.repaired_order_id, row.matches) == ("REPAIRED", "ORD-DQ", 1)
+    assert (row.outcome, row.repaired_order_id, row.matches) == ("REPAIRED", "ORD-M1", 1)
     want = {**json.loads(event(**BAD)), "quantity": 2, "note": "two boxes"}
     assert json.loads(row.repaired_payload) == want
     assert list(json.loads(row.repaired_payload)) == list(want)
@@ -58,7 +58,7 @@ def test_repair_keeps_identity_order_and_types(spark, few):
     [
         ({"event_id": "other", "quantity": "2"}, "PROTECTED_FIELD", None),
         ({"event_timestamp": "2026-08-17T00:00:00+00:00", "quantity": "2"}, "PROTECTED_FIELD", None),
-        ({"event_id": "7fbec326", "quantity": "2"}, "REPAIRED", None),
+        ({"event_id": "ev-mend", "quantity": "2"}, "REPAIRED", None),
         ({"schema_version": "99", "quantity": "2"}, "CONTRACT_FAILED", "contract_unsupported_schema_version"),
         ({"order_id": "null", "quantity": "2"}, "CONTRACT_FAILED", "contract_missing_order_id"),
         ({"quantity": "0"}, "QUALITY_FAILED", "invalid_quantity"),
@@ -86,7 +86,7 @@ def test_a_broken_timestamp_cannot_be_repaired(spark):
     [
         ([], "NOT_FOUND"),
         ([event(**BAD)] * 2, "AMBIGUOUS"),
-        (["not json", "null", "[1]", '"7fbec326"', event(event_id=7)], "NOT_FOUND"),
+        (["not json", "null", "[1]", '"ev-mend"', event(event_id=7)], "NOT_FOUND"),
         ([None, event(**BAD)], "REPAIRED"),
     ],
 )
@@ -99,8 +99,15 @@ def test_repeated_keys_in_a_payload_do_not_break_the_repair(spark):
     assert json.loads(outcomes(spark, {"quantity": "2"}, [twice]).repaired_payload)["quantity"] == 2
 
 
+def test_requests_of_one_event_are_all_refused(spark):
+    two = [("ev-mend", {"quantity": "2"}), ("ev-mend", {"quantity": "5"})]
+    done = remediate(quarantine(spark, event(**BAD)), spark.createDataFrame(two, S.REPAIR_REQUESTS), "b", NOW)
+    assert [r.outcome for r in done.report.collect()] == ["DUPLICATE_REQUEST"] * 2
+    assert done.repaired.count() == done.audit.count() == 0
+
+
 def test_correction_values(spark):
-    texts = ["2", "149.35", "home", "true", "null", '"2"', "2 boxes", "-1.0", '{"a":1}', "[1,2]", "", "nul", "1e3"]
+    texts = ["2", "12.4", "home", "true", "null", '"2"', "2 boxes", "-1.0", '{"a":1}', "[1,2]", "", "nul", "1e3", '{"a":\n1}']
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in frame.select(F.to_json(correction_value(F.col("t")))).collect()]
 
@@ -118,13 +125,13 @@ def test_correction_values(spark):
 
 
 def test_audit_rows(spark):
-    requests = spark.createDataFrame([("7fbec326", {"quantity": "2", "category": "home"})], S.REPAIR_REQUESTS)
+    requests = spark.createDataFrame([("ev-mend", {"quantity": "2", "category": "home"})], S.REPAIR_REQUESTS)
     done = remediate(quarantine(spark, event(**BAD)), requests, "b", NOW)
     dry = done.audit.first()
     assert (dry.action, dry.status, dry.order_id, dry.original_validation_error) == (
-        "DRY_RUN", "DRY_RUN", "ORD-DQ", "invalid_quantity",
+        "DRY_RUN", "DRY_RUN", "ORD-M1", "invalid_quantity",
     )
-    assert dry.corrections == '{"category":"home","quantity":"2"}'
+    assert dry.corrections == '{"category":"home","quantity":2}'
     assert done.audit.first().reprocessing_id == dry.reprocessing_id
     failed = audit_rows(done.repaired, "b", NOW, publish=True, error_message="broker down").first()
     assert (failed.action, failed.status, failed.error_message) == ("PUBLISH", "PUBLISH_FAILED", "broker down")
@@ -227,7 +234,7 @@ def test_every_check_counts_its_failing_rows(spark):
 
 def metrics(spark, *rows):
     return spark.createDataFrame(
-        [(f"m{i}", at, 1147, 1142, unique, 5, raw, raw, raw, loaded, "HEALTHY", None) for i, (at, unique, raw, loaded) in enumerate(rows)],
+        [(f"m{i}", at, 347, 342, unique, 5, raw, raw, raw, loaded, "HEALTHY", None) for i, (at, unique, raw, loaded) in enumerate(rows)],
         S.METRICS,
     )
 
@@ -235,7 +242,7 @@ def metrics(spark, *rows):
 def test_operations_views(spark):
     older, newer = utc(2026, 8, 20, 10, 0), utc(2026, 8, 20, 10, 10)
     loaded = utc(2026, 8, 19, 19, 46, 40)
-    frame = metrics(spark, (newer, 1140, 1140, loaded), (older, 1140, 1139, None), (utc(2026, 8, 1), None, 1, loaded))
+    frame = metrics(spark, (newer, 340, 340, loaded), (older, 340, 339, None), (utc(2026, 8, 1), None, 1, loaded))
     row = latest_metrics(frame).first()
     assert (row.silver_duplicate_deliveries, row.silver_raw_lag, row.freshness_minutes) == (2, 0, 863)
     history = metric_history(frame).collect()
@@ -244,7 +251,7 @@ def test_operations_views(spark):
     trend = trend_summary(metric_history(frame), "silver_raw_lag", "freshness_minutes").collect()
     by_metric = {r.metric: (r.minimum, r.maximum, r.latest, r.snapshots) for r in trend}
     assert by_metric == {"silver_raw_lag": (0, 1, 0, 2), "freshness_minutes": (863, 863, 863, 1)}
-    unknown = metrics(spark, (newer, None, 1140, loaded))
+    unknown = metrics(spark, (newer, None, 340, loaded))
     assert trend_summary(metric_history(unknown), "silver_raw_lag").count() == 0
     assert latest_metrics(frame.limit(0)).count() == 0
 

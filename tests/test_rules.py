@@ -76,7 +76,7 @@ DISAGREEMENTS = [
     (event(order_id={"a": 1}), None, "missing_order_id"),
     (event(event_id="\t"), None, "missing_or_invalid_event_id"),
     (event(product_id=" "), None, "missing_product_id"),
-    (event().replace("25.5", "NaN"), None, "invalid_unit_price"),
+    (event().replace("17.25", "NaN"), None, "invalid_unit_price"),
     (event(event_timestamp="2026"), None, "invalid_event_timestamp"),
     (event(event_timestamp="2026-08"), None, "invalid_event_timestamp"),
     (event(event_timestamp="12:00"), None, "invalid_event_timestamp"),
