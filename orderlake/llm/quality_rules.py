@@ -93,7 +93,10 @@ def measured(df: DataFrame, text_col: str = "text") -> DataFrame:
     covered = F.zip_with("_places", F.expr("slice(_places, 2, greatest(size(_places), 1))"),
                          lambda a, b: F.least(F.lit(3), b - a))
     total = F.aggregate(covered, F.lit(0).cast("bigint"), lambda n, x: n + x)
-    return places.select(*kept, *[m for m in MEASURES if m != "n_repeat_words"], total.alias("n_repeat_words"))
+    # In a generator: a filter on a measurement would else be pushed below the projections above, which are then
+    # written out inside its lambdas and computed for every word.
+    found = F.struct(*[m for m in MEASURES if m != "n_repeat_words"], total.alias("n_repeat_words"))
+    return places.select(*kept, F.inline(F.array(found)))
 
 
 def ledger(df: DataFrame, text_col: str = "text") -> DataFrame:
