@@ -46,6 +46,13 @@ def test_no_python_and_no_shuffle(awkward):
     assert plan.count("Exchange") == awkward._jdf.queryExecution().executedPlan().toString().count("Exchange")
 
 
+def test_a_filter_on_the_verdict_computes_nothing_again(awkward):
+    kept = q.judge(q.ledger(awkward)).where("kept AND n_words > 60").select("doc_id", "text")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    for call in ("regexp_extract_all(", "sort_array(", "array_distinct("):
+        assert plan.count(call) <= 2, call  # the words once; windows and places are sorted
+
+
 def test_policies_read_the_same_ledger(spark):
     bits = [0, 1, 2, 3, 4, 12, 32]
     book = spark.createDataFrame([(b,) for b in bits], "failures int")
