@@ -106,7 +106,8 @@ def plan(
         most = sources.agg(F.max("share")).first()[0] or 0.0
         quota = F.ceil(F.col("tokens") * F.pow(F.lit(most) / F.col("share"), F.lit(1 - exponent)) - F.lit(1e-6))
     else:
-        quota = F.floor(weight * F.lit(float(total if budget is None else budget)))
+        # A quota that is a whole number must not lose a token to rounding.
+        quota = F.floor(weight * F.lit(float(total if budget is None else budget)) + F.lit(1e-6))
     size = F.greatest(F.lit(BLOCK_TOKENS), F.ceil(F.col("tokens") / MOST_BLOCKS))
     quotas = sources.select(
         "_source", "tokens", weight.alias("weight"),

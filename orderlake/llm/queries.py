@@ -216,7 +216,7 @@ WITH RECURSIVE d AS (
   FROM b WHERE i = 20
 ), q AS (
   SELECT source, tokens, pow(share, a) / list_sum(list_transform(shares, lambda x: pow(x, a))) AS weight,
-    floor(pow(share, a) / list_sum(list_transform(shares, lambda x: pow(x, a))) * (SELECT sum(tokens) FROM t)) AS quota,
+    floor(pow(share, a) / list_sum(list_transform(shares, lambda x: pow(x, a))) * (SELECT sum(tokens) FROM t) + 1e-6) AS quota,
     greatest(1, ceil(tokens / greatest(100000, ceil(tokens / 65536)))) AS blocks
   FROM t CROSS JOIN e
 ), p AS (
