@@ -172,7 +172,7 @@ def _stretches(words: Words, window: int, cold: pa.Array, hot: pa.Array) -> tupl
 def _each_stretch(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple]:
     """(doc, row) columns, key, text number, first word in the text, and bytes, of the stretches of each slice."""
     for batch in slices(batches, "text"):
-        doc, row, column, cold, hot = batch.columns
+        doc, row, column, cold, hot = batch.columns[:5]
         words = words_of(column)
         key, text, first, last = _stretches(words, window, cold, hot)
         data = words.data.tobytes()
@@ -344,8 +344,10 @@ def _repeats(known: DataFrame, window: int, hot: int) -> DataFrame:
         ),
         "anchors",
     )
+    # Other columns come along unread: so this is the very shuffle that the last join reads, and is written once.
+    others = [c for c in known.columns if c.startswith("_other")]
     holding = known.join(listed, F.expr("_doc = doc")).select(
-        "doc", "_row", F.col("_text").alias("text"), "cold_keys", "hot_keys"
+        "doc", "_row", F.col("_text").alias("text"), "cold_keys", "hot_keys", *others
     )
     matched = (
         holding.mapInArrow(_emit_references(window), "key bigint, stretch binary, low bigint, high bigint")
