@@ -11,12 +11,16 @@ than the latest winner. Two texts agree in a component with the probability that
    id only; links, verified on the texts, make classes by the smallest id that can be reached.
 3. A second round looks at bands whose members still belong to different classes, and only across classes. In bands
    of at most ``SMALL`` members all of these meet; in larger ones all members meet ``LEADERS`` members drawn by hashes,
-   others in each band. A band costs no more than a few times its members, whatever its size.
-4. Classes are made again from all links.
+   others in each band. In larger bands both rounds only make classes fewer before the next step.
+4. Members of larger bands that still hold several classes are searched in full, by prefixes: shingles of a text are
+   put in one order, rare ones first, and two texts as alike as the threshold must share one of the first shingles of
+   each (those before which less than the missing part of the text lies). Pairs of different classes that do, and
+   whose place there leaves room for the likeness, are tested. This leaves out no pair that is alike enough.
+5. Classes are made again from all links.
 
-Every link is verified exactly, and pairs inside a class are never listed. What bands of up to ``SMALL`` members show is
-tested in full. In a larger band a link is missed only if neither text was a leader of a band they share (some 13 for
-a pair of likeness 0.8) and nothing else links their classes; the README has figures.
+Pairs inside a class are never listed, so ``n_links`` counts tested links, not all near texts: the links of a text to
+the texts it was tested with. In a group of texts that are all near each other it is less than the group's size, and it
+depends on which leaders were drawn. Classes do not.
 
 With 32 bands of 4, a pair of likeness 0.8 shares no band with a probability of 5e-8. Every link is verified exactly.
 
@@ -41,6 +45,8 @@ BANDS, ROWS = 32, 4
 COMPONENTS = BANDS * ROWS
 SMALL = 32  # members of a band of which all pairs across classes are tested at once
 LEADERS = 4  # members drawn in each larger band for all others to meet
+FREQUENT = 1 << 18  # shingles whose counts order the others, at most
+SPREAD = 1024  # texts of a shingle that one task compares with all others of it
 
 
 def weighted_shingles(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -214,26 +220,124 @@ def _candidates(rows: DataFrame, first: bool) -> DataFrame:
     return led.union(small.join(others, "band").where("label < other_label").select(*pair))
 
 
+def _count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        shingle, n = np.unique(weighted_shingles(batch.column(batch.schema.get_field_index("text")))[1], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(shingle.view(np.int64)), pa.array(n)], ["shingle", "n"])
+
+
+def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of the most frequent shingles; the driver sees at most ``FREQUENT``."""
+    counted = texts.select("text").mapInArrow(_count_shingles, "shingle bigint, n bigint")
+    counts = table(counted.groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1"), "shingle-counts")
+    level = F.floor(F.log2("n") * 8).cast("int").alias("level")
+    least, room = None, FREQUENT
+    for row in sorted(counts.groupBy(level).agg(F.count("*").alias("of")).collect(), reverse=True):
+        room -= row.of
+        if room < 0:
+            break
+        least = row.level
+    front = (counts.where(level >= F.lit(least)) if least is not None else counts.limit(0)).toPandas()
+    shingle = front["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(shingle)
+    return shingle[order], front["n"].to_numpy(np.int64)[order]
+
+
+def _prefixes(threshold: float, frequent: np.ndarray, counts: np.ndarray):
+    """(doc, label, text) to the first shingles of each text, with the weight from each on and the whole weight."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            text, shingle, weight = weighted_shingles(batch.column(2))
+            rank = np.ones(len(shingle), dtype=np.int64)
+            if len(frequent):
+                at = np.minimum(np.searchsorted(frequent, shingle), len(frequent) - 1)
+                rank = np.where(frequent[at] == shingle, counts[at], 1)
+            order = np.lexsort((shingle, rank, text))
+            text, shingle, weight = text[order], shingle[order], weight[order]
+            total = np.bincount(text, weights=weight, minlength=batch.num_rows)
+            plain = np.bincount(text, minlength=batch.num_rows) == total
+            before = np.cumsum(weight) - weight
+            rest = total[text] - (before - before[np.searchsorted(text, text)])
+            kept = np.flatnonzero(rest >= threshold * total[text] - 1e-9)
+            owner = text[kept]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shingle[kept].view(np.int64)), batch.column(0).take(pa.array(owner)),
+                 batch.column(1).take(pa.array(owner)), pa.array(rest[kept]), pa.array(total[owner]), pa.array(plain[owner])],
+                ["shingle", "doc", "label", "rest", "total", "plain"],
+            )
+
+    return run
+
+
+def _searched(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) across classes of (doc, label) rows, among them all whose texts are at least so alike.
+
+    Shared weight lies at or after the first shared shingle, so it is at most the smaller of the weights from there on.
+    Likeness of texts without repeated shingles is shared by united number; any likeness is at most the shared part.
+    """
+    held = table(texts.join(members, "doc").select("doc", "label", "text"), "open-texts")
+    schema = "shingle bigint, doc bigint, label bigint, rest double, total double, plain boolean"
+    found = table(held.mapInArrow(_prefixes(threshold, *_frequent(held)), schema).distinct(), "prefixes")
+    meet = (
+        found.groupBy("shingle")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"),
+             F.ceil(F.count("*") / F.lit(SPREAD)).cast("int").alias("parts"))
+        .where("low < high").select("shingle", "parts")
+    )
+    found = found.join(meet, "shingle")
+    one = found.withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+    other = found.select(
+        "shingle", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("doc").alias("other"),
+        F.col("label").alias("other_label"), F.col("rest").alias("other_rest"), F.col("total").alias("other_total"),
+        F.col("plain").alias("other_plain"),
+    )
+    room = F.when(
+        F.col("plain") & F.col("other_plain"),
+        F.least("rest", "other_rest") >= F.lit(threshold / (1 + threshold)) * (F.col("total") + F.col("other_total")) - 1e-9,
+    ).otherwise(
+        F.least(F.col("rest") / F.col("total"), F.col("other_rest") / F.col("other_total")) >= F.lit(threshold - 1e-9)
+    )
+    met = one.join(other, ["shingle", "part"]).where((F.col("label") < F.col("other_label")) & room)
+    return met.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
+
+
+def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """(band, doc, label) of those (band, doc) rows whose band is of several classes by the links; a written table."""
+    labelled = rows.join(components(links), F.col("doc") == F.col("node"), "left").select(
+        "band", "doc", F.coalesce("component", "doc").alias("label")
+    )
+    split = (
+        labelled.groupBy("band")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
+        .where("low < high")
+    )
+    return table(labelled.join(split.select("band", "n"), "band"), "open-bands")
+
+
 def _links(bands: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Verified links of (doc, bands) rows."""
     rows = bands.select("doc", F.explode("bands").alias("band"))
     tested = table(_candidates(rows.withColumn("label", F.col("doc")), True).distinct(), "pairs")
     links = table(verified(tested, texts, threshold), "links")
-    labelled = rows.join(components(links), F.col("doc") == F.col("node"), "left").select(
-        "band", "doc", F.coalesce("component", "doc").alias("label")
-    )
-    # Read several times below, and without bands that are of one class already.
-    split = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    labelled = table(labelled.join(split.select("band"), "band"), "open-bands")
-    across = _candidates(labelled, False).distinct().join(tested, ["a", "b"], "left_anti")
-    return links.union(table(verified(table(across, "pairs"), texts, threshold), "links"))
+    labelled = _open(rows, links)
+    across = table(_candidates(labelled, False).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+    links = links.union(table(verified(across, texts, threshold), "links"))
+    large = labelled.where(F.col("n") > SMALL)
+    if large.isEmpty():
+        return links
+    members = table(_open(large.select("band", "doc"), links).select("doc", "label").distinct(), "open-members")
+    if members.isEmpty():
+        return links
+    rest = _searched(members, texts, threshold).join(tested.union(across), ["a", "b"], "left_anti")
+    return links.union(table(verified(table(rest, "pairs"), texts, threshold), "links"))
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8
 ) -> DataFrame:
     """``docs`` with ``class_id`` (smallest id of its class), ``copy_of`` (smallest id with the same text) and
-    ``n_links`` (verified links of that text to others)."""
+    ``n_links`` (links of that text to others among the pairs that were tested)."""
     added = ("class_id", "copy_of", "n_links")
     base = without(docs, added)
     source = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text")).where(

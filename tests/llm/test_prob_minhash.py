@@ -102,3 +102,53 @@ def test_exact_likeness_of_pairs():
     got = m.similarities(pa.array(left), pa.array(right))
     expected = [jaccard(shingles(a), shingles(b)) for a, b in zip(left, right, strict=True)]
     assert got.tolist() == pytest.approx(expected)
+
+
+def test_large_bands_are_searched_in_full(spark, monkeypatch):
+    """Lightly edited texts inside a group of heavily edited ones: near each other only; one leader drawn."""
+    monkeypatch.setattr(m, "LEADERS", 1)
+    rng = np.random.default_rng(3)
+    rows = []
+    for group in range(6):
+        base = [f"g{group}w{i}" for i in range(120)]
+        for i in range(400):
+            light = i >= 398
+            words = base.copy()
+            for k, at in enumerate([40 + 40 * (i % 2)] if light else rng.choice(np.arange(5, 115), 6, replace=False)):
+                words[at] = f"g{group}x{i}y{k}"
+            rows.append((len(rows), " ".join(words)))
+    seen = {}
+    for d, text in rows:
+        for s in shingles(text):
+            seen.setdefault(s, []).append(d)
+    size = np.array([len(shingles(t)) for _, t in rows])
+    shared = np.zeros((len(rows), len(rows)), dtype=np.int32)
+    for ds in seen.values():
+        if len(ds) > 1:
+            shared[np.ix_(ds, ds)] += 1
+    near = shared >= 0.8 * (size[:, None] + size - shared)
+    expected = list(range(len(rows)))
+    for a, b in np.argwhere(np.triu(near, 1)):
+        low, high = sorted((expected[a], expected[b]))
+        expected = [low if x == high else x for x in expected]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.class_id for r in m.near_duplicates(frame).collect()}
+    assert got == dict(enumerate(expected))
+    assert len(set(expected)) < len(rows)
+
+
+def test_searched_pairs_hold_all_near_ones(spark):
+    """Also of texts that repeat shingles, and when few counts order the shingles."""
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(30)] * 2 + [f"v{i}" for i in range(25)]
+    rows = []
+    for i in range(120):
+        words = base[: 55 + i % 31]
+        for at in rng.integers(0, len(words), i % 4):
+            words[at] = f"x{rng.integers(0, 6)}"
+        rows.append((i, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc bigint, text string")
+    pairs = m._searched(frame.selectExpr("doc", "doc AS label"), frame, 0.8).collect()
+    sets = [shingles(t) for _, t in rows]
+    near = {(a, b) for b in range(120) for a in range(b) if jaccard(sets[a], sets[b]) >= 0.8}
+    assert near <= {(r.a, r.b) for r in pairs} and len(near) > 100
