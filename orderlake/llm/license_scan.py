@@ -2,7 +2,9 @@
 
 Words that occur once in a stretch of text and once in the template are anchors; the longest run of anchors in the
 same order (a longest increasing subsequence) is kept, and the gaps between them are aligned in the same way, after
-equal words at their ends. Coverage is the share of the template's words that were aligned. A notice may stand
+equal words at their ends. The ends of a window are no such ends, as a notice may begin anywhere in it; they are tried too,
+as words that occur twice are no anchors. Where aligned words spread too far, the densest run of them is aligned anew.
+A notice word for word is found before all that. Coverage is the share of the template's words that were aligned. A notice may stand
 anywhere in a text, so windows of twice the template's length are aligned, each half over the next.
 
 Windows that cannot reach the coverage are left out first: it is never more than the share of template words that
@@ -47,6 +49,7 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 )
+SPAN = 1.5  # aligned words lie within so many lengths of the template
 ADDED = "license string, license_coverage double, license_start bigint, license_end bigint, licenses array<string>"
 
 _PUNCTUATION = bytes.maketrans(b".,;:()[]{}\"'!?*#<>|", b" " * 19)
@@ -76,16 +79,17 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def align(text: list[bytes], template: list[bytes]) -> list[tuple[int, int]]:
-    """Aligned places (in the text, in the template), in order."""
+def _patience(text: list[bytes], template: list[bytes], ends: bool) -> list[tuple[int, int]]:
+    """Aligned places; equal words at the ends of the whole text are matched only with ``ends``."""
     out: list[tuple[int, int]] = []
     work = [(0, len(text), 0, len(template))]
     while work:
         a, b, c, d = work.pop()
-        while a < b and c < d and text[a] == template[c]:
+        left, right = ends or a > 0, ends or b < len(text)
+        while left and a < b and c < d and text[a] == template[c]:
             out.append((a, c))
             a, c = a + 1, c + 1
-        while a < b and c < d and text[b - 1] == template[d - 1]:
+        while right and a < b and c < d and text[b - 1] == template[d - 1]:
             b, d = b - 1, d - 1
             out.append((b, d))
         if a == b or c == d:
@@ -101,6 +105,25 @@ def align(text: list[bytes], template: list[bytes]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def align(text: list[bytes], template: list[bytes]) -> list[tuple[int, int]]:
+    """Aligned places (in the text, in the template), in order: the most that lie within the span of a notice."""
+    size = len(template)
+    for i in range(len(text) - size + 1):
+        if size and text[i : i + size] == template:
+            return [(i + j, j) for j in range(size)]
+    best: list[tuple[int, int]] = []
+    for ends in (False, True):
+        pairs = _patience(text, template, ends)
+        if pairs and pairs[-1][0] - pairs[0][0] >= SPAN * size:
+            runs = [[q for q in pairs[i:] if q[0] - p[0] < SPAN * size] for i, p in enumerate(pairs)]
+            pairs = max(runs, key=len)
+            low, high = pairs[0][0], pairs[-1][0] + 1
+            again = [(low + i, j) for i, j in _patience(text[low:high], template, True)]
+            pairs = max(pairs, again, key=len)
+        best = max(best, pairs, key=len)
+    return best
+
+
 @dataclass(frozen=True)
 class Template:
     name: str
@@ -111,7 +134,7 @@ class Template:
     def accepts(self, pairs: list[tuple[int, int]]) -> bool:
         """Whether aligned places are close together and name this license."""
         named = {self.words[j] for _, j in pairs} & self.own
-        return pairs[-1][0] - pairs[0][0] < 1.5 * len(self.words) and (2 * len(named) > len(self.own) or not self.own)
+        return pairs[-1][0] - pairs[0][0] < SPAN * len(self.words) and (2 * len(named) > len(self.own) or not self.own)
 
 
 def templates(texts=TEMPLATES) -> list[Template]:

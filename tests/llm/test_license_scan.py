@@ -71,3 +71,19 @@ def test_frames(awkward):
     out = s.scan_licenses(awkward.withColumnRenamed("source", "license"))
     assert out.count() == awkward.count() and out.where("license IS NOT NULL").count() == 0
     assert s.scan_licenses(awkward.limit(0)).count() == 0
+
+
+def test_words_of_a_notice_at_the_ends_of_its_window():
+    filler = "This repository holds small example scripts for teaching young people to write programs well."
+    for name, notice in s.TEMPLATES:
+        first, last = notice.split()[0], notice.split()[-1]
+        for n in range(2 * len(notice.split())):
+            words = " ".join(f"word{i}" for i in range(n))
+            for text in (f"{first} {words} {notice}", f"{notice} {words} {last}", f"{first} {words} {notice} {words} {last}"):
+                assert s.scan_text(text, KNOWN, 0.8)[:2] == (name, 1.0)
+    for notice in (s.TEMPLATES[5], s.TEMPLATES[10]):
+        assert s.scan_text(f"{filler} {notice[1]}", KNOWN, 0.8)[:2] == (notice[0], 1.0)
+        changed = notice[1].replace("This work", "Our work")
+        license_, coverage, begin, end, _ = s.scan_text(f"{filler} {changed}", KNOWN, 0.8)
+        assert license_ == notice[0] and coverage > 0.9 and end - begin == len(s.words(changed)) - 1
+    assert s.scan_text(f"{s.TEMPLATES[5][1]} {s.TEMPLATES[5][1]}", KNOWN, 0.8)[0] == "GPL-3.0"
