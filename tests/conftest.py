@@ -1,11 +1,10 @@
-"""One session for all tests, and small builders for order events."""
+"""One session for all tests, and fixtures that judge and deliver order events."""
 
 from __future__ import annotations
 
-import json
 import os
 import sys
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
 
 import pytest
 
@@ -20,29 +19,6 @@ from orderlake.sources.tables import Paths
 from orderlake.sources.topic import read_orders_stream
 from orderlake.streaming.lake import start_lake
 
-BASE_EVENT = {
-    "schema_version": 1,
-    "event_id": "ev-plain",
-    "event_type": "order_created",
-    "event_timestamp": "2026-08-19T07:41:09+00:00",
-    "order_id": "ORD-7713",
-    "customer_id": "CUS-88",
-    "product_id": "PRD-9",
-    "category": "sports",
-    "quantity": 3,
-    "unit_price": 17.25,
-    "currency": "GBP",
-}
-
-
-def event(drop: tuple[str, ...] = (), **changes) -> str:
-    fields = {**BASE_EVENT, **changes}
-    return json.dumps({k: v for k, v in fields.items() if k not in drop})
-
-
-def utc(*parts: int) -> datetime:
-    return datetime(*parts, tzinfo=timezone.utc)
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -5,7 +5,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import utc
+from builders import utc
 from orderlake import schemas as S
 from orderlake.functions.scalars import age_minutes, freshness_minutes
 from orderlake.operators.delivery import current_state

@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import event, utc
+from builders import event, utc
 from orderlake import schemas as S
 from orderlake.operators.checks import CheckFailed
 from orderlake.operators.delivery import current_state

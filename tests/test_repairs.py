@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import event, utc
+from builders import event, utc
 from orderlake import schemas as S
 from orderlake.operators.checks import Check, duplicate_business_keys, failing_rows, run_checks
 from orderlake.operators.delivery import first_per_key, insert_absent, upsert

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import event
+from builders import event
 from orderlake.functions.rules import contract_rules, quality_rules
 from orderlake.operators.reconcile import compare_cases
 
