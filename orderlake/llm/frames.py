@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from orderlake.llm.text import slices
 from orderlake.session import scratch_root
 
 
@@ -29,9 +30,43 @@ def with_columns(batch: pa.RecordBatch, drop: Iterable[str], **added: pa.Array)
     return pa.RecordBatch.from_arrays([c for _, c in kept] + list(added.values()), [n for n, _ in kept] + list(added))
 
 
+def appended(
+    df: DataFrame, read: Sequence[str], compute: Callable[..., list[pa.Array]], added: str, sliced: bool = False
+) -> DataFrame:
+    """``df`` with the columns ``added``, which ``compute`` makes of the Arrow columns ``read``, batch by batch.
+
+    Columns travel under private names, so that theirs may be spelled in any way. ``sliced`` bounds the bytes of the
+    first column read that are handled at once.
+    """
+    fields = T.StructType.fromDDL(added).fields
+    replaced = {f.name.lower() for f in fields}
+    places = [df.columns.index(c) for c in read]
+    kept = [i for i, c in enumerate(df.columns) if c.lower() not in replaced]
+    names = [f"c{i}" for i in range(len(df.columns))]
+    out_names = [names[i] for i in kept] + [f"a{i}" for i in range(len(fields))]
+    out_fields = [df.schema.fields[i] for i in kept] + fields
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, names[places[0]]) if sliced else batches:
+            made = compute(*[batch.column(i) for i in places])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *made], out_names)
+
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(out_names, out_fields, strict=True)])
+    return df.toDF(*names).mapInArrow(run, schema).toDF(*[f.name for f in out_fields])
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends there, and lost executors do not matter."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a frame made by ``table``; nothing may read it any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
