@@ -43,17 +43,14 @@ def to_warehouse_row(silver: DataFrame, *extra: str) -> DataFrame:
     return silver.selectExpr(*[_warehouse_column(f) for f in fields], *extra)
 
 
-def insert_absent(target: DataFrame, batch: DataFrame, broadcast_batch: bool = False) -> DataFrame:
+def insert_absent(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Rows of ``batch`` whose event the target does not hold yet.
 
-    With ``broadcast_batch`` (only for a batch of a counted, small size) the target
-    is read in place: its known events are found against the broadcast batch keys,
-    and nothing of the target is shuffled. Otherwise both sides shuffle on the key,
-    the target with that one column.
+    The target's keys are first cut down to the batch's: a batch that Spark knows to be
+    small is broadcast for that and nothing of the target is shuffled; else both sides
+    shuffle on the key, the target with that one column.
     """
-    known = target.select("event_id")
-    if broadcast_batch:
-        known = known.join(F.broadcast(batch.select("event_id")), "event_id", "left_semi")
+    known = target.select("event_id").join(batch.select("event_id"), "event_id", "left_semi")
     return batch.join(known, "event_id", "left_anti")
 
 

@@ -231,3 +231,27 @@ def stamp_notices(transitions: DataFrame, sent_at: Column | datetime) -> DataFra
             "recovery_sent_at": F.when(F.col("transition") == "RESOLVE", at).otherwise(F.col("recovery_sent_at")),
         }
     )
+
+
+def due_notices(incidents: DataFrame, stamps: DataFrame) -> DataFrame:
+    """Notices that were never stamped, whatever became of the attempts: an alert for every incident that opened, a
+    recovery for every one that was resolved.
+
+    ``incidents``: the current state, one row each. Who hears of a recovery has heard the alert or hears it as well.
+    """
+    kinds = F.array(F.lit("ALERT"), F.when(F.col("resolved_at").isNotNull(), F.lit("RECOVERY")))
+    owed = incidents.withColumn("notice", F.explode(F.array_compact(kinds)))
+    unsent = owed.join(stamps.select("incident_id", "notice"), ["incident_id", "notice"], "left_anti")
+    at = F.when(F.col("notice") == "ALERT", F.col("opened_at")).otherwise(F.col("resolved_at"))
+    return unsent.select("incident_id", "incident_type", "notice", "severity", "details", at.alias("happened_at"))
+
+
+def with_stamps(incidents: DataFrame, stamps: DataFrame) -> DataFrame:
+    """Incidents with the times their notices first went out."""
+    by_incident = stamps.groupBy("incident_id").agg(
+        F.min(F.when(F.col("notice") == "ALERT", F.col("sent_at"))).alias("_alert"),
+        F.min(F.when(F.col("notice") == "RECOVERY", F.col("sent_at"))).alias("_recovery"),
+    )
+    joined = incidents.join(by_incident, "incident_id", "left")
+    later = {"alert_sent_at": "_alert", "recovery_sent_at": "_recovery"}
+    return joined.select(*[F.coalesce(later[c], c).alias(c) if c in later else c for c in incidents.columns])

@@ -21,21 +21,16 @@ class KeyRepair(NamedTuple):
     rows: DataFrame
 
 
-def match_files(silver: DataFrame, key_map: DataFrame, few_keys: bool = False) -> DataFrame:
+def match_files(silver: DataFrame, key_map: DataFrame) -> DataFrame:
     """Copies per event and file, and the lowest and highest order id among them.
 
-    With ``few_keys`` (only for a counted, small map) the map is broadcast and only
-    matching rows go on. Otherwise Silver is combined per event, file and order id in
-    the map tasks before the join, so an event of very many copies stays small.
+    Silver is cut down to the named events first (a map that Spark knows to be small is broadcast for it), and combined
+    in the tasks: an event of very many copies stays small.
     """
-    if few_keys:
-        named = silver.select("event_id", "file_path", "order_id").join(F.broadcast(key_map), "event_id")
-        named = named.withColumn("n", F.lit(1).cast("bigint"))
-    else:
-        combined = silver.groupBy("event_id", "file_path", "order_id").agg(F.count("*").alias("n"))
-        named = combined.join(key_map, "event_id")
+    named = silver.select("event_id", "file_path", "order_id").join(key_map.select("event_id"), "event_id", "left_semi")
+    combined = named.groupBy("event_id", "file_path", "order_id").agg(F.count("*").alias("n"))
     expected = F.col("order_id").eqNullSafe(F.col("old_order_id"))
-    return named.groupBy("event_id", "file_path").agg(
+    return combined.join(key_map, "event_id").groupBy("event_id", "file_path").agg(
         F.sum("n").alias("copies"),
         F.min("order_id").alias("lowest_order_id"),
         F.max("order_id").alias("highest_order_id"),
@@ -72,16 +67,16 @@ def apply_overlay(silver: DataFrame, repairs: DataFrame) -> DataFrame:
     return repaired.select(*columns)
 
 
-def repair_order_ids(silver: DataFrame, key_map: DataFrame, few_keys: bool = False) -> KeyRepair:
+def repair_order_ids(silver: DataFrame, key_map: DataFrame) -> KeyRepair:
     """Dry run: the verdict per event, the matches per file, and the rows as they would become.
 
     ``silver`` carries ``file_path``; ``key_map`` has one row per event
-    (``schemas.ORDER_KEY_MAP``). ``few_keys`` as in ``match_files``.
+    (``schemas.ORDER_KEY_MAP``).
     """
-    files = match_files(silver, key_map, few_keys)
+    files = match_files(silver, key_map)
     report = repair_report(files, key_map)
     ready = report.where(F.col("outcome") == READY).select("event_id", "new_order_id")
-    matching = silver.join(F.broadcast(ready) if few_keys else ready, "event_id", "inner")
+    matching = silver.join(ready, "event_id", "inner")
     columns = [F.col("new_order_id").alias("order_id") if c == "order_id" else c for c in silver.columns]
     return KeyRepair(report, files, matching.select(*columns))
 

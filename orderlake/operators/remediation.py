@@ -81,13 +81,13 @@ def _string_value(token: Column) -> Column:
     return F.when(F.schema_of_variant(token) == "STRING", F.try_variant_get(token, "$", "string"))
 
 
-def match_requests(quarantine: DataFrame, requests: DataFrame, few_requests: bool = False) -> DataFrame:
+def match_requests(quarantine: DataFrame, requests: DataFrame) -> DataFrame:
     """Requests with the one quarantined message of their event and the number of matches.
 
     Quarantined messages are combined to one row per event in the map tasks before
     they meet the requests: an event quarantined a million times sends one row per
-    task. With ``few_requests`` (only for a counted, small batch) its event ids are
-    broadcast first, so that other messages are not shuffled at all.
+    task. Requests that Spark knows to be few are broadcast before that, so that other
+    messages are not shuffled at all.
     """
     # Opening and rewriting JSON is work per row, not per byte: a fixed partitioning, which the
     # join shares, keeps adaptive execution from merging small partitions into few long tasks.
@@ -102,8 +102,7 @@ def match_requests(quarantine: DataFrame, requests: DataFrame, few_requests: boo
         F.inline(F.array(F.from_json("raw_payload", "event_id variant"))),
     ).withColumn("event_id", _string_value(F.col("event_id")))
     keyed = keyed.where(F.col("event_id").isNotNull())
-    if few_requests:
-        keyed = keyed.join(F.broadcast(requests.select("event_id").distinct()), "event_id", "left_semi")
+    keyed = keyed.join(requests.select("event_id").distinct(), "event_id", "left_semi")
     candidates = keyed.groupBy("event_id").agg(
         F.count("*").alias("matches"),
         # With one match it is that row; with several none is used.
@@ -176,6 +175,11 @@ def _corrections_text() -> Column:
     return F.to_json(F.transform_values(ordered, lambda _, text: correction_value(text)))
 
 
+def reprocessing_id(batch_id: str) -> Column:
+    """Names one repair of one batch; derived, so that writing a batch again repeats it."""
+    return F.sha2(F.concat_ws("|", "event_id", F.lit(batch_id), _corrections_text()), 256)
+
+
 def audit_rows(
     repaired: DataFrame,
     batch_id: str,
@@ -183,19 +187,18 @@ def audit_rows(
     publish: bool = False,
     error_message: str | None = None,
 ) -> DataFrame:
-    """One audit row per repaired request. The id is derived, so writing a batch again repeats it."""
+    """One audit row per repaired request."""
     action = "PUBLISH" if publish else "DRY_RUN"
     status = ("PUBLISH_FAILED" if error_message else "PUBLISHED") if publish else "DRY_RUN"
-    corrections = _corrections_text()
     sent = publish and not error_message
     return repaired.select(
-        F.sha2(F.concat_ws("|", "event_id", F.lit(batch_id), corrections), 256).alias("reprocessing_id"),
+        reprocessing_id(batch_id).alias("reprocessing_id"),
         "event_id",
         F.col("original_order_id").alias("order_id"),
         F.col("contract_error").alias("original_contract_error"),
         F.col("validation_error").alias("original_validation_error"),
         F.col("kafka_timestamp").alias("original_kafka_timestamp"),
-        corrections.alias("corrections"),
+        _corrections_text().alias("corrections"),
         F.lit(action).alias("action"),
         F.lit(status).alias("status"),
         F.lit(S.TOPIC if sent else None).cast("string").alias("republished_topic"),
@@ -206,38 +209,32 @@ def audit_rows(
     )
 
 
-def locate_republished(audit: DataFrame, repaired: DataFrame, bronze: DataFrame) -> DataFrame:
-    """Fill partition and offset of published repairs from the Bronze row they arrived as.
+def republished_positions(audit: DataFrame, arrivals: DataFrame) -> DataFrame:
+    """Where the published repairs of an audit arrived.
 
-    The bulk sink returns no positions; the message itself does, once it is in Bronze. A publish is the first
-    arrival of its payload at or after the audit row, so two publishes of one repair keep their own positions.
-    Only Bronze days from the first audit row on are read.
+    A bulk sink returns no positions. Each message carries the id of its repair in a header, which the stream keeps in
+    Bronze: so two publishes of one payload keep their own positions in whatever order they arrive. A message that the
+    sink sent twice counts where it came first.
     """
-    since = audit.agg(F.to_date(F.min("created_at")).alias("since"))
-    arrivals = bronze.where(F.col("ingestion_date") >= since.scalar()).select(
-        F.sha2("raw_payload", 256).alias("_digest"), "kafka_timestamp", "topic", "partition", "offset"
-    )
-    sent = repaired.select(
-        "event_id", _corrections_text().alias("corrections"), F.sha2("repaired_payload", 256).alias("_digest")
-    ).distinct()
-    waiting = audit.where(F.col("status") == "PUBLISHED").join(sent, ["event_id", "corrections"])
-    found = (
-        waiting.select("reprocessing_id", "created_at", "_digest")
-        .join(arrivals, "_digest")
-        .where("kafka_timestamp >= created_at")
-        .groupBy("reprocessing_id")
-        .agg(F.min(F.struct("kafka_timestamp", "topic", "partition", "offset")).alias("at"))
-    )
-    return audit.join(found, "reprocessing_id", "left").select(
-        *[c for c in audit.columns if not c.startswith("republished_") and c not in ("error_message", "created_at")],
-        F.coalesce("at.topic", "republished_topic").alias("republished_topic"),
-        F.coalesce("at.partition", "republished_partition").alias("republished_partition"),
-        F.coalesce("at.offset", "republished_offset").alias("republished_offset"),
-        "error_message",
-        "created_at",
+    sent = audit.where(F.col("status") == "PUBLISHED").select("reprocessing_id")
+    marked = arrivals.where("reprocessing_id IS NOT NULL").join(sent, "reprocessing_id", "left_semi")
+    first = marked.groupBy("reprocessing_id").agg(F.min(F.struct("topic", "partition", "offset")).alias("at"))
+    return first.select(
+        "reprocessing_id",
+        F.col("at.topic").alias("republished_topic"),
+        F.col("at.partition").alias("republished_partition"),
+        F.col("at.offset").alias("republished_offset"),
     )
 
 
+def with_positions(audit: DataFrame, positions: DataFrame) -> DataFrame:
+    """Audit rows with the positions recorded for them later."""
+    names = ("republished_topic", "republished_partition", "republished_offset")
+    later = positions.select("reprocessing_id", *[F.col(c).alias(f"later_{c}") for c in names])
+    both = audit.join(later, "reprocessing_id", "left")
+    return both.select(*[F.coalesce(f"later_{c}", c).alias(c) if c in names else c for c in audit.columns])
+
+
 def remediate(
     quarantine: DataFrame,
     requests: DataFrame,
@@ -245,9 +242,8 @@ def remediate(
     now: Column | datetime,
     publish: bool = False,
     strict: bool = True,
-    few_requests: bool = False,
 ) -> Remediation:
     """Report for all requests, the repaired payloads, and the audit rows of the repaired ones."""
-    report = repair_payloads(match_requests(quarantine, requests, few_requests), strict)
+    report = repair_payloads(match_requests(quarantine, requests), strict)
     repaired = report.where(F.col("outcome") == REPAIRED)
     return Remediation(report, repaired, audit_rows(repaired, batch_id, now, publish))

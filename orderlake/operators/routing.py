@@ -16,6 +16,7 @@ from orderlake.functions.rules import (
     payload_parses,
     quality_rules,
 )
+from orderlake.sources.topic import repair_of_message
 
 _TRANSPORT = ("kafka_key", "topic", "partition", "offset", "kafka_timestamp", "ingested_at", "raw_payload")
 
@@ -23,7 +24,9 @@ _TRANSPORT = ("kafka_key", "topic", "partition", "offset", "kafka_timestamp", "i
 def build_bronze(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Every message untouched, stamped with the ingest time; dated by the broker's clock."""
     stamped = messages.withColumn("ingested_at", F.current_timestamp() if ingested_at is None else ingested_at)
-    return stamped.selectExpr(
+    # Only a topic read with its headers says which repair sent a message.
+    repair = [repair_of_message().alias("reprocessing_id")] if "headers" in messages.columns else []
+    return stamped.select(*[F.expr(e) for e in (
         "cast(key AS string) AS kafka_key",
         "cast(value AS string) AS raw_payload",
         "topic",
@@ -32,7 +35,7 @@ def build_bronze(messages: DataFrame, ingested_at: Column | None = None) -> Data
         "timestamp AS kafka_timestamp",
         "ingested_at",
         "to_date(timestamp) AS ingestion_date",
-    )
+    )], *repair)
 
 
 def parse_orders(bronze: DataFrame, strict: bool = False) -> DataFrame:
@@ -42,8 +45,9 @@ def parse_orders(bronze: DataFrame, strict: bool = False) -> DataFrame:
     into every filter and rule that reads a field (about twenty parses per message);
     it pushes no filter through a generator, so each parse runs once per message.
     """
-    opened = bronze.select(*_TRANSPORT, F.inline(payload_parses("raw_payload", tokens=strict)))
-    kept = [*_TRANSPORT, "unreadable", "first_missing", *(["tokens"] if strict else [])]
+    transport = [*_TRANSPORT, *(c for c in ("reprocessing_id",) if c in bronze.columns)]
+    opened = bronze.select(*transport, F.inline(payload_parses("raw_payload", tokens=strict)))
+    kept = [*transport, "unreadable", "first_missing", *(["tokens"] if strict else [])]
     return opened.selectExpr(*[f"`{name}`" for name in kept], *EVENT_COLUMNS)
 
 

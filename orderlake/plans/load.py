@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import asdict, dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import schemas as S
@@ -19,17 +20,12 @@ from orderlake.operators.delivery import current_state, first_deliveries, insert
 from orderlake.operators.key_repair import apply_overlay
 from orderlake.operators.windows import LoadWindow, Partition, list_files, select_files
 from orderlake.plans.repairs import applied_repairs
-from orderlake.session import stage
-from orderlake.sources.tables import Paths, read_silver, read_table, with_metadata_position, write_run
-
-# A batch of at most this many events (about 100 bytes per key in memory) is
-# broadcast to find its known events in raw; a larger one is joined by shuffle.
-BROADCAST_EVENTS = 500_000
-# Up to this many chosen files are named in the scan, so the others are not opened.
-# Up to the second bound (some 30 MB of paths) the list is broadcast and no row is
-# shuffled; beyond it the rows are joined with the list by shuffle.
+from orderlake.session import stage, unstage
+from orderlake.sources.tables import Paths, raw_orders, read_silver, read_table, with_metadata_position, write_run
+from orderlake.sources.versions import Snapshot, VersionedTable
+
+# Up to this many chosen files are named in the scan, so the others are not opened; more are joined as a table.
 NAMED_FILES = 2_000
-BROADCAST_FILES = 200_000
 
 
 @dataclass(frozen=True)
@@ -72,8 +68,12 @@ def rows_of_files(silver: DataFrame, chosen: DataFrame, n_chosen: int) -> DataFr
     if n_chosen <= NAMED_FILES:
         names = [row.file_path for row in chosen.select("file_path").collect()]  # at most NAMED_FILES
         return silver.where(F.col("file_path").isin(names))
-    listed = chosen.select("file_path")
-    return silver.join(F.broadcast(listed) if n_chosen <= BROADCAST_FILES else listed, "file_path", "left_semi")
+    return silver.join(chosen.select("file_path"), "file_path", "left_semi")
+
+
+def absent_events(raw: VersionedTable, loaded: Snapshot, names: Iterable[str], batch: DataFrame) -> DataFrame:
+    """Rows of a staged ``batch`` whose event is in none of the named parts; only the batch's buckets are opened."""
+    return insert_absent(raw.read(loaded, names, raw.buckets_of(batch)), batch)
 
 
 def run_load(
@@ -83,34 +83,42 @@ def run_load(
     load_id: str,
     loaded_at: datetime,
 ) -> LoadCounters:
-    """Load one window. All rows get one ``loaded_at`` and land in one ``load_id``.
+    """Load one window. All rows get one ``loaded_at`` and become the part ``load_id`` of a new version of raw.
 
-    A run that failed half way is run again under its ``load_id`` and overwrites
-    what it wrote; its own earlier attempt counts neither as loaded nor as present.
+    A run that failed half way is run again under its ``load_id`` and replaces what it
+    wrote; its own earlier attempt counts neither as loaded nor as present.
     """
-    earlier = F.col("load_id") != load_id
+    try:
+        return _load(spark, paths, window, load_id, loaded_at)
+    finally:
+        unstage(spark, f"files-{load_id}", f"batch-{load_id}")
+
+
+def _load(spark: SparkSession, paths: Paths, window: LoadWindow, load_id: str, loaded_at: datetime) -> LoadCounters:
     silver = with_metadata_position(read_silver(spark, paths)).where(window.predicate())
-    ledger = read_table(spark, paths.ledger("loaded_files"), S.LOADED_FILES, "load_id").where(earlier)
+    ledger = read_table(spark, paths.ledger("loaded_files"), S.LOADED_FILES, "load_id").where(F.col("load_id") != load_id)
     files = stage(select_files(list_files(silver), window, ledger), f"files-{load_id}")
     found = count_load(files).first()
     if found.files_discovered == 0:
         return LoadCounters(0, 0, 0, 0, 0)
 
     inserted = 0
+    raw = raw_orders(spark, paths)
+    loaded = raw.current()
+    part = None
     if found.files_loaded:
         rows = rows_of_files(silver, files.where("selected"), found.files_loaded)
         # Repairs change no delivery order, so they wait until one row per event is left.
         first = apply_overlay(first_deliveries(rows), applied_repairs(spark, paths))
         batch = stage(to_warehouse_row(first), f"batch-{load_id}")
-        raw = read_table(spark, paths.table("raw_orders"), S.RAW_ORDERS, "load_id").where(earlier)
-        absent = insert_absent(raw, batch, broadcast_batch=batch.count() <= BROADCAST_EVENTS)
-        new = absent.withColumn("loaded_at", F.lit(loaded_at)).select(*S.RAW_ORDERS.fieldNames())
-        # Uniqueness holds by construction and is tested on the whole table by the models' tests.
+        # Uniqueness holds by construction and is tested on the changed buckets by the models' tests.
         by_row = [check for check in RAW_CONSTRAINTS if check.kind != "unique"]
         assert_constraints(batch.withColumn("loaded_at", F.lit(loaded_at)), "raw_orders", by_row)
-        counted = Observation(f"inserted-{load_id}")
-        write_run(new.observe(counted, F.count("*").alias("rows")), paths.table("raw_orders"), "load_id", load_id)
-        inserted = counted.get["rows"]
+        new = absent_events(raw, loaded, [n for n in loaded.parts if n != load_id], batch)
+        part = raw.write(new.withColumn("loaded_at", F.lit(loaded_at)), load_id)
+        inserted = raw.read_folders({part.folder} - {""}).count()  # by the footers
+    if inserted or load_id in loaded.parts:
+        raw.commit(loaded, {load_id: part if inserted else None})
 
     entries = files.where("selected AND NOT loaded_before").select(
         "file_path",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -18,33 +18,36 @@ from orderlake.operators.checks import (
     RUN_EVENT_CONSTRAINTS,
     assert_constraints,
     require,
-    run_checks,
+    run_checks_on_changes,
 )
 from orderlake.operators.delivery import current_state
 from orderlake.operators.health import (
     MAX_LAG_ROWS,
     MAX_LOAD_AGE_MINUTES,
+    due_notices,
     evaluate_health,
     incident_transitions,
-    lake_metrics,
     metrics_row,
     pending_notices,
     require_raw_orders,
     warehouse_metrics,
+    with_stamps,
 )
 from orderlake.operators.operations import run_event
 from orderlake.operators.windows import LoadWindow
+from orderlake.plans.distincts import maintained_lake_metrics
 from orderlake.plans.load import LoadCounters, run_load
-from orderlake.plans.models import refresh_daily_sales, refresh_fact, stage_orders
-from orderlake.session import stage
+from orderlake.plans.models import daily_sales, refresh_daily_sales, refresh_fact, stage_orders
+from orderlake.plans.repairs import record_positions
+from orderlake.session import held
 from orderlake.sources.tables import (
     Paths,
-    read_bronze,
-    read_quarantine,
-    read_silver,
+    fct_orders,
+    raw_orders,
     read_table,
     write_run,
 )
+from orderlake.sources.versions import VersionedTable
 
 
 class HealthDegraded(RuntimeError):
@@ -63,12 +66,13 @@ class RunResult:
 
 
 def read_models(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
-    raw = read_table(spark, paths.table("raw_orders"), S.RAW_ORDERS, "load_id")
+    """The stored models, each as one whole version."""
+    raw = raw_orders(spark, paths).read()
     return {
         "raw_orders": raw,
         "stg_orders": stage_orders(raw),
-        "fct_orders": read_table(spark, paths.table("fct_orders"), S.FACT_ORDERS, "build_id"),
-        "mart_daily_sales": read_table(spark, paths.table("mart_daily_sales"), S.DAILY_SALES),
+        "fct_orders": fct_orders(spark, paths).read(),
+        "mart_daily_sales": daily_sales(spark, paths),
     }
 
 
@@ -82,12 +86,66 @@ def incident_ledger(spark: SparkSession, paths: Paths) -> DataFrame:
     return read_table(spark, paths.ledger("pipeline_incidents"), S.INCIDENTS, "run_id")
 
 
+def _model_tests(spark: SparkSession, paths: Paths) -> VersionedTable:
+    """Has versions only, and no rows: which folders of a table have passed its tests."""
+    return VersionedTable(spark, paths.ledger("model_tests"), S.ORDER_KEY_MAP, "none")
+
+
+def changes_report(table: VersionedTable, passed: set[str], names: Sequence[str]) -> tuple[DataFrame, set[str]]:
+    """The report of the named models' tests over what a table holds besides folders that passed, and its folders now."""
+    version = table.current()
+    fresh_parts = [n for n, p in version.parts.items() if not passed.issuperset(p.covers)]
+    fresh = table.read(version, fresh_parts)
+    buckets = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # folder names; no row is read
+    touched, whole = table.read(version, buckets=buckets), table.read(version)
+    report = None
+    for name in names:
+        part = run_checks_on_changes(name, fresh, touched, whole, DATA_TESTS[name])
+        report = part if report is None else report.unionByName(part)
+    return report, version.covered()
+
+
+def incident_state(spark: SparkSession, paths: Paths) -> DataFrame:
+    """The incidents as they stand, with the times their notices went out."""
+    state = current_state(incident_ledger(spark, paths), "incident_id", "changed_at")
+    return with_stamps(state, notice_stamps(spark, paths))
+
+
+def notice_stamps(spark: SparkSession, paths: Paths) -> DataFrame:
+    return read_table(spark, paths.ledger("incident_notices"), S.NOTICE_STAMPS, "stamp_id")
+
+
+def owed_notices(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Notices of all runs that have not gone out; those that failed are among them until one succeeds."""
+    state = current_state(incident_ledger(spark, paths), "incident_id", "changed_at")
+    return due_notices(state, notice_stamps(spark, paths))
+
+
+def mark_sent(spark: SparkSession, paths: Paths, notices: DataFrame, sent_at: datetime, stamp_id: str) -> None:
+    """Stamp notices that went out; the same stamps written again replace themselves."""
+    stamps = notices.select("incident_id", "notice", F.lit(sent_at).alias("sent_at"))
+    write_run(held(stamps), paths.ledger("incident_notices"), "stamp_id", stamp_id)
+
+
 def build_models(spark: SparkSession, paths: Paths, build_id: str, full_refresh: bool = False) -> None:
-    """Staging tests, then the fact and its tests, then the mart; a failing test stops what follows."""
-    tables = read_models(spark, paths)
-    require(run_checks(tables, {name: DATA_TESTS[name] for name in ("raw_orders", "stg_orders")}))
+    """Staging tests, then the fact and its tests, then the mart; a failing test stops what follows.
+
+    Rows that passed the tests once are not read again, but where they share a bucket or an order with new ones; a full
+    refresh tests everything.
+    """
+    book = _model_tests(spark, paths)
+    state = book.current()
+
+    def test(table: VersionedTable, name: str, models: Sequence[str]) -> list[str]:
+        passed = set() if full_refresh else set(state.notes.get(name, ()))
+        report, folders = changes_report(table, passed, models)
+        require(report)
+        return sorted(folders)
+
+    passed = {"raw_orders": test(raw_orders(spark, paths), "raw_orders", ("raw_orders", "stg_orders"))}
     refresh_fact(spark, paths, build_id, full_refresh)
-    require(run_checks(read_models(spark, paths), {"fct_orders": DATA_TESTS["fct_orders"]}))
+    passed["fct_orders"] = test(fct_orders(spark, paths), "fct_orders", ("fct_orders",))
+    book.commit(state, {}, passed)
     refresh_daily_sales(spark, paths)
 
 
@@ -102,18 +160,16 @@ def check_health(
 ) -> tuple[DataFrame, DataFrame]:
     """Judge the stored layers, keep the snapshot, and move the incidents on."""
     models = read_models(spark, paths)
-    lake = lake_metrics(read_bronze(spark, paths), read_silver(spark, paths), read_quarantine(spark, paths))
+    lake = maintained_lake_metrics(spark, paths, run_id)
     warehouse = warehouse_metrics(models["raw_orders"], models["fct_orders"], models["mart_daily_sales"])
-    verdict = stage(
-        evaluate_health(lake, warehouse, now, max_lag_rows, max_load_age_minutes, strict), f"verdict-{run_id}"
-    )
+    verdict = held(evaluate_health(lake, warehouse, now, max_lag_rows, max_load_age_minutes, strict))
     snapshot = metrics_row(verdict, now)
     assert_constraints(snapshot, "pipeline_metrics", METRIC_CONSTRAINTS)
     write_run(snapshot, paths.ledger("pipeline_metrics"), "run_id", run_id)
 
     ledger = incident_ledger(spark, paths).where(F.col("run_id") != run_id)
-    standing = current_state(ledger, "incident_id", "changed_at")
-    transitions = stage(incident_transitions(standing, verdict, run_id, now), f"incidents-{run_id}")
+    standing = with_stamps(current_state(ledger, "incident_id", "changed_at"), notice_stamps(spark, paths))
+    transitions = held(incident_transitions(standing, verdict, run_id, now))
     assert_constraints(transitions, "pipeline_incidents", INCIDENT_CONSTRAINTS)
     still_open = transitions.where("resolved_at IS NULL")
     assert_constraints(still_open, "open_incidents", OPEN_INCIDENT_CONSTRAINTS)
@@ -152,6 +208,7 @@ def run_pipeline(
     note("start")
     step = "load"
     try:
+        record_positions(spark, paths, run_id)
         counters = run_load(spark, paths, window, run_id, now)
         note("load", **counters.as_run_columns())
         step = "gate"

@@ -65,6 +65,17 @@ MESSAGE = _struct(
     "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
 )
 
+# A message as the topic gives it, with its headers; most have none.
+HEADED_MESSAGE = T.StructType(
+    [
+        *MESSAGE.fields,
+        T.StructField(
+            "headers",
+            T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType())])),
+        ),
+    ]
+)
+
 BRONZE = _struct(
     "kafka_key string, raw_payload string, topic string, partition int, offset bigint, "
     "kafka_timestamp timestamp, ingested_at timestamp, ingestion_date date"
@@ -103,11 +114,19 @@ DAILY_SALES = _struct(
     "gross_revenue total, average_order_value money"
 )
 
+# What the daily sales are worked out from; sums that rows can be taken out of again.
+DAILY_TOTALS = _struct(
+    "event_date date, order_count bigint, units_sold bigint, with_units bigint, total total, valued bigint"
+)
+
 LOADED_FILES = _struct(
     "file_path string, dataset_name string, ingestion_date date, ingestion_hour int, "
     "row_count bigint, loaded_at timestamp"
 )
 
+SILVER_EVENTS = _struct("event_id string")
+COUNTED_FILES = _struct("file_path string, row_count bigint")
+
 WATERMARKS = _struct(
     "dataset_name string, watermark_date date, watermark_hour int, updated_at timestamp"
 )
@@ -136,6 +155,9 @@ INCIDENTS = _struct(
     "transition string, changed_at timestamp"
 )
 
+# A stamp per notice that went out: of an opened incident (ALERT) or a resolved one (RECOVERY).
+NOTICE_STAMPS = _struct("incident_id string, notice string, sent_at timestamp")
+
 REPAIR_REQUESTS = _struct("event_id string, corrections map")
 
 AUDIT = _struct(
@@ -145,6 +167,10 @@ AUDIT = _struct(
     "republished_offset bigint, error_message string, created_at timestamp"
 )
 
+POSITIONS = _struct(
+    "reprocessing_id string, republished_topic string, republished_partition int, republished_offset bigint"
+)
+
 ORDER_KEY_MAP = _struct("event_id string, old_order_id string, new_order_id string")
 ORDER_KEY_REPAIRS = _struct(
     "event_id string, old_order_id string, new_order_id string, outcome string, applied_at timestamp"

@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlake.sources import files
+
 # Dates and hours of the lake are UTC dates and hours, whatever the machine says.
 UTC_CONF = ("spark.sql.session.timeZone", "UTC")
 
@@ -63,3 +65,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_root(spark)}/staged/{name}"
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(spark: SparkSession, *names: str) -> None:
+    """Remove staged tables that nothing reads any more."""
+    for name in names:
+        files.remove(spark, f"{scratch_root(spark)}/staged/{name}")
+
+
+def held(df: DataFrame) -> DataFrame:
+    """A frame of a few rows, computed once and kept by the driver: verdicts and the like, never data."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)

@@ -1,7 +1,8 @@
-"""Lake layers and warehouse tables as Parquet folders.
+"""Lake layers, ledgers and warehouse tables as Parquet folders.
 
-Nothing is updated in place. Each job writes a partition named after itself and a
-retry overwrites that partition, so a job that lost its executors can run again.
+Nothing is updated in place. To a ledger each job writes a partition named after itself
+and a retry overwrites that partition; the warehouse tables have versions
+(``sources.versions``). So a job that lost its executors can run again.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake import schemas as S
+from orderlake.sources import files
+from orderlake.sources.versions import VersionedTable, part_folder
 
 
 @dataclass(frozen=True)
@@ -28,6 +31,9 @@ class Paths:
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/lake/checkpoints/{query}"
 
+    def lake_commits(self) -> str:
+        return f"{self.root}/lake/commits"
+
     def table(self, name: str) -> str:
         return f"{self.root}/warehouse/{name}"
 
@@ -44,23 +50,37 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, *partitions
     """
     extra = T.StructType([T.StructField(p, T.StringType()) for p in partitions])
     full = T.StructType(schema.fields + extra.fields)
-    try:
-        return spark.read.schema(full).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not files.exists(spark, path):
         return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path)
+
+
+def last_commit(spark: SparkSession, paths: Paths) -> int | None:
+    """The newest batch that the single-pass stream has written to all layers; batches are committed in order."""
+    names = [name for name, _ in files.list_names(spark, paths.lake_commits()) if name.isdigit()]
+    return max(map(int, names), default=None)
 
 
 def _read_layer(spark: SparkSession, paths: Paths, layer: str, schema: T.StructType) -> DataFrame:
-    # The single-pass stream adds a batch_id folder level; it is no column of the layer.
-    return read_table(spark, paths.lake(layer), schema).select(*schema.fieldNames())
+    rows = read_table(spark, paths.lake(layer), schema)
+    if files.exists(spark, paths.lake_commits()):
+        # The single-pass stream adds a folder level; of its batches only whole ones count.
+        batched = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+        last = last_commit(spark, paths)
+        rows = read_table(spark, paths.lake(layer), batched).where(F.col("batch_id") <= (-1 if last is None else last))
+    return rows.select(*schema.fieldNames())
 
 
 def read_bronze(spark: SparkSession, paths: Paths) -> DataFrame:
     return _read_layer(spark, paths, "bronze", S.BRONZE)
 
 
+def read_arrivals(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Bronze with the id of the repair that sent a message."""
+    repair = T.StructType([*S.BRONZE.fields, T.StructField("reprocessing_id", T.StringType())])
+    return _read_layer(spark, paths, "bronze", repair)
+
+
 def read_silver(spark: SparkSession, paths: Paths) -> DataFrame:
     return _read_layer(spark, paths, "silver", S.SILVER)
 
@@ -84,22 +104,25 @@ def with_metadata_position(silver: DataFrame) -> DataFrame:
         return silver.selectExpr("*", "cast(NULL AS string) AS file_path", "cast(NULL AS bigint) AS row_index")
 
 
-def _folder(partition: str, value: str) -> str:
-    """Folder name of a partition value, escaped as Spark reads it back."""
-    special = set("\"#%'*/:=?\\{[]^") | {chr(i) for i in (*range(1, 32), 127)}
-    return f"{partition}=" + "".join(f"%{ord(c):02X}" if c in special else c for c in value)
-
-
 def write_run(df: DataFrame, path: str, partition: str, value: str) -> None:
     """Replace one job's partition of a table, leaving the others alone.
 
     The partition's own folder is overwritten, so a retry that has no rows empties it too.
     """
     rows = df.drop(partition)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{_folder(partition, value)}")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{part_folder(partition, value)}")
+
+
+def raw_orders(spark: SparkSession, paths: Paths) -> VersionedTable:
+    """One part per load, in buckets of the event id."""
+    return VersionedTable(spark, paths.table("raw_orders"), S.RAW_ORDERS, "load_id", bucket_by="event_id")
+
+
+def fct_orders(spark: SparkSession, paths: Paths) -> VersionedTable:
+    """One part per build, in buckets of the event id; made from folders of raw orders."""
+    return VersionedTable(spark, paths.table("fct_orders"), S.FACT_ORDERS, "build_id", bucket_by="event_id")
 
 
-def overwrite(df: DataFrame, path: str, *partitions: str) -> None:
-    """Replace a whole table; ``df`` must not read it."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+def daily_totals(spark: SparkSession, paths: Paths) -> VersionedTable:
+    """The sums behind the daily mart, one part per business month; made from folders of the fact."""
+    return VersionedTable(spark, paths.table("mart_daily_sales"), S.DAILY_TOTALS, "month")

@@ -14,7 +14,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from orderlake import schemas as S
 from orderlake.operators.routing import build_bronze, build_quarantine, build_silver, decode_tail, judge
-from orderlake.sources.tables import Paths
+from orderlake.sources import files
+from orderlake.sources.tables import Paths, last_commit
 
 LAYER_PARTITIONS = {
     "bronze": ["ingestion_date"],
@@ -58,13 +59,21 @@ def start_lake_single_pass(
 
     Each micro-batch owns a ``batch_id`` folder per layer and overwrites it when it
     is run again, so a batch interrupted half way is written exactly once. One
-    ingest time holds for the whole batch.
+    ingest time holds for the whole batch. When all three layers are written the
+    batch is noted as committed; readers take committed batches only, so no layer
+    shows a batch before the others do.
     """
+    spark = messages.sparkSession
+    files.put_new(spark, f"{paths.lake_commits()}/started", "")
 
     def write_layers(batch: DataFrame, batch_id: int) -> None:
+        last = last_commit(spark, paths)
+        if last is not None and last >= batch_id:
+            return  # committed before the stream itself noted it; readers may be at it
         stamp = F.lit(datetime.now(timezone.utc)) if ingested_at is None else ingested_at
         judged = judge(build_bronze(batch, stamp)).persist()
-        bronze = judged.withColumn("ingestion_date", F.to_date("kafka_timestamp")).select(*S.BRONZE.fieldNames())
+        kept = [*S.BRONZE.fieldNames(), *(c for c in ("reprocessing_id",) if c in judged.columns)]
+        bronze = judged.withColumn("ingestion_date", F.to_date("kafka_timestamp")).select(*kept)
         layers = {"bronze": bronze, "silver": build_silver(judged), "quarantine": build_quarantine(judged)}
         try:
             for layer, frame in layers.items():
@@ -74,6 +83,8 @@ def start_lake_single_pass(
                 writer.parquet(f"{paths.lake(layer)}/batch_id={batch_id}")
         finally:
             judged.unpersist()
+        files.put_new(spark, f"{paths.lake_commits()}/{batch_id:012d}", "")
+        files.remove(spark, f"{paths.lake_commits()}/{batch_id - 2:012d}")  # the newest says all
 
     writer = messages.writeStream.foreachBatch(write_layers).queryName("lake_orders")
     writer = writer.option("checkpointLocation", paths.checkpoint("lake_orders"))

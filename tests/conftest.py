@@ -65,13 +65,13 @@ def deliver(spark, paths, tmp_path):
     topic = str(tmp_path / "topic")
     state = {"offset": 0}
 
-    def run(payloads, at: datetime, kafka_at: datetime | None = None):
+    def run(payloads, at: datetime, kafka_at: datetime | None = None, headers=None):
         kafka_at = kafka_at or at - timedelta(minutes=1)
         rows = []
         for payload in payloads:
-            rows.append((b"key", payload.encode(), S.TOPIC, 0, state["offset"], kafka_at))
+            rows.append((b"key", payload.encode(), S.TOPIC, 0, state["offset"], kafka_at, headers))
             state["offset"] += 1
-        spark.createDataFrame(rows, S.MESSAGE).coalesce(1).write.mode("append").parquet(topic)
+        spark.createDataFrame(rows, S.HEADED_MESSAGE).coalesce(1).write.mode("append").parquet(topic)
         stream = read_orders_stream(spark, "parquet", path=topic)
         for query in start_lake(stream, paths, {"availableNow": True}, F.lit(at)):
             query.awaitTermination()

@@ -15,9 +15,17 @@ from orderlake.operators.windows import load_window
 from orderlake.plans.load import current_watermark, run_load
 from orderlake.plans.models import refresh_daily_sales, refresh_fact
 from orderlake.plans.pipeline import HealthDegraded, check_health, read_models, read_runs, register_models, run_pipeline
-from orderlake.plans.repairs import record_positions, run_order_key_repair, run_remediation
-from orderlake.session import stage
-from orderlake.sources.tables import read_bronze, read_quarantine, read_silver, read_table, write_run
+from orderlake.plans.repairs import read_audit, record_positions, run_order_key_repair, run_remediation
+from orderlake.sources.tables import (
+    daily_totals,
+    fct_orders,
+    raw_orders,
+    read_bronze,
+    read_quarantine,
+    read_silver,
+    read_table,
+    write_run,
+)
 from orderlake.sources.topic import read_orders_stream
 from orderlake.streaming.lake import start_lake_single_pass, start_tail
 
@@ -104,7 +112,7 @@ def test_tail_shows_decoded_messages(spark, deliver):
     query.processAllAvailable()
     query.stop()
     row = spark.table("tail_test").first()
-    assert (row.event_id, row.quantity, "schema_version" in row.asDict()) == ("evt-1", 2, False)
+    assert (row.event_id, row.quantity, "schema_version" in row.asDict()) == ("evt-1", 3, False)
 
 
 def test_load_counts_duplicates_and_is_idempotent(spark, paths, deliver):
@@ -119,7 +127,7 @@ def test_load_counts_duplicates_and_is_idempotent(spark, paths, deliver):
     # The same run once more replaces what it wrote.
     retried = run_load(spark, paths, load_window(), "load-1", T0)
     assert (retried.files_loaded, retried.rows_inserted) == (2, 3)
-    raw = read_table(spark, paths.table("raw_orders"), S.RAW_ORDERS, "load_id")
+    raw = read_models(spark, paths)["raw_orders"]
     assert raw.count() == raw.select("event_id").distinct().count() == 3
 
 
@@ -135,7 +143,7 @@ def test_first_delivery_wins_in_load_order(spark, paths, deliver):
     run_load(spark, paths, load_window(), "load-1", T0)
     register_models(spark, paths)
     row = spark.sql("SELECT * FROM stg_orders").first()
-    assert (row.quantity, float(row.order_value), row.kafka_topic) == (5, 127.5, "orders")
+    assert (row.quantity, float(row.order_value), row.kafka_topic) == (5, 86.25, "orders")
     assert spark.table("stg_orders").columns == S.RAW_ORDERS.fieldNames()
 
 
@@ -157,15 +165,13 @@ def test_replay_and_backfill(spark, paths, deliver):
     assert ledger.count() == ledger.select("file_path").distinct().count() == 4
 
 
-def test_shuffled_insert_equals_broadcast_insert(spark, paths, deliver, monkeypatch):
+def test_many_files_are_joined_as_a_table(spark, paths, deliver, monkeypatch):
     import orderlake.plans.load as load
 
     deliver(orders(1, 2), T0)
     run_load(spark, paths, normal(spark, paths), "load-1", T0)
     deliver(orders(2, 3), T0 + timedelta(hours=1))
-    monkeypatch.setattr(load, "BROADCAST_EVENTS", -1)
     monkeypatch.setattr(load, "NAMED_FILES", -1)
-    monkeypatch.setattr(load, "BROADCAST_FILES", -1)
     counters = run_load(spark, paths, normal(spark, paths), "load-2", T0)
     assert (counters.files_loaded, counters.rows_processed, counters.rows_inserted) == (1, 2, 1)
 
@@ -185,7 +191,7 @@ def test_late_event_corrects_its_day(spark, paths, deliver):
     later = T0 + timedelta(hours=1)
     deliver(orders(4, event_timestamp="2026-08-14T09:00:00+00:00", unit_price=25.0), later)
     result = run_pipeline(spark, paths, normal(spark, paths), "run-2", later, strict=True)
-    assert day(spark, paths, date(2026, 8, 14)) == (3, 6, 152.0, 50.67)
+    assert day(spark, paths, date(2026, 8, 14)) == (3, 9, 178.5, 59.5)
     assert result.verdict.first().status == "HEALTHY" and result.notices.count() == 0
     assert counts(spark, paths) == (4, 4, 4)
 
@@ -243,7 +249,8 @@ def test_fact_full_refresh_and_replacing_rows(spark, paths, deliver):
     # A stale copy of an event that will be loaded next sits in the fact.
     deliver(orders(3), T0 + timedelta(hours=1))
     stale = read_models(spark, paths)["fct_orders"].where("event_id = 'evt-1'").withColumn("event_id", F.lit("evt-3"))
-    write_run(stage(stale.drop("build_id"), "stale"), paths.table("fct_orders"), "build_id", "b0")
+    table = fct_orders(spark, paths)
+    table.commit(table.current(), {"b0": table.write(stale, "b0")})
     run_load(spark, paths, load_window(), "load-2", T0 + timedelta(hours=1))
     refresh_fact(spark, paths, "b2")
     fact = read_models(spark, paths)["fct_orders"]
@@ -269,24 +276,33 @@ def test_remediation_reaches_the_mart_once(spark, paths, deliver):
     log = lambda: read_table(spark, paths.ledger("event_reprocessing_log"), S.AUDIT, "batch_id")
     assert [(r.action, r.status, r.republished_topic) for r in log().collect()] == [("DRY_RUN", "DRY_RUN", None)]
 
+    messages = []
     for n in (1, 2):  # published twice by mistake
-        later = T0 + timedelta(hours=n)
         out = f"{paths.root}/republished-{n}"
-        report = run_remediation(
-            spark, paths, requests, f"p-{n}", later, publish=True, sink={"fmt": "parquet", "options": {"path": out}}
+        run_remediation(
+            spark,
+            paths,
+            requests,
+            f"p-{n}",
+            T0 + timedelta(minutes=n),
+            publish=True,
+            sink={"fmt": "parquet", "options": {"path": out}},
         )
-        sent = [r.value.decode() for r in spark.read.parquet(out).collect()]
-        assert len(sent) == 1
-        deliver(sent, later, kafka_at=later)
-        record_positions(spark, paths, report, f"p-{n}")
+        messages += spark.read.parquet(out).collect()
+    assert len(messages) == 2 and record_positions(spark, paths, "none-yet") == 0
+    for n, message in ((2, messages[1]), (1, messages[0])):  # the second one arrives first
+        later = T0 + timedelta(hours=3 - n)
+        deliver([message.value.decode()], later, kafka_at=later, headers=message.headers)
         run_pipeline(spark, paths, normal(spark, paths), f"run-p{n}", later, strict=True)
         assert day(spark, paths, date(2026, 8, 11)) == (1, 2, 24.8, 24.8)
     assert read_quarantine(spark, paths).count() == 1
     assert read_silver(spark, paths).where("event_id = 'ev-mend'").count() == 2
-    # Each publish keeps the position of its own message, also when positions are recorded again.
-    record_positions(spark, paths, report, "p-1")
-    places = {r.batch_id: (r.republished_topic, r.republished_partition, r.republished_offset) for r in log().collect()}
-    assert places == {"b-1": (None, None, None), "p-1": ("orders", 0, 2), "p-2": ("orders", 0, 3)}
+    # Each publish has the position of its own message, and the audit rows stay as they were written.
+    assert record_positions(spark, paths, "again") == 0
+    where = lambda r: (r.republished_topic, r.republished_partition, r.republished_offset)
+    places = {r.batch_id: where(r) for r in read_audit(spark, paths).collect()}
+    assert places == {"b-1": (None, None, None), "p-1": ("orders", 0, 3), "p-2": ("orders", 0, 2)}
+    assert {where(r) for r in log().collect()} == {(None, None, None), ("orders", None, None)}
 
 
 def test_failed_publish_is_audited(spark, paths, deliver):
@@ -319,6 +335,49 @@ def test_order_id_repair_is_an_overlay(spark, paths, deliver):
     assert {(r.event_id, r.order_id) for r in raw.collect()} == {("evt-1", "ORD-7713"), ("evt-2", "ORD-7714")}
 
 
+def test_order_id_repair_reaches_rows_already_loaded(spark, paths, deliver):
+    deliver(orders(1, 2), T0)
+    run_pipeline(spark, paths, normal(spark, paths), "run-1", T0)
+    deliver(orders(3, 4), T0 + timedelta(hours=1))
+    run_pipeline(spark, paths, normal(spark, paths), "run-2", T0 + timedelta(hours=1))
+    tables = [t(spark, paths) for t in (raw_orders, fct_orders, daily_totals)]
+    before = [t.current() for t in tables]
+    mart = sorted(map(tuple, read_models(spark, paths)["mart_daily_sales"].collect()))
+    good = spark.createDataFrame([("evt-3", "ORD-3", "ORD-3B")], S.ORDER_KEY_MAP)
+    run_order_key_repair(spark, paths, good, "r-1", T0 + timedelta(hours=2), apply=True)
+    after = [t.current() for t in tables]
+    models = read_models(spark, paths)
+    for name in ("raw_orders", "fct_orders"):
+        ids = {(r.event_id, r.order_id) for r in models[name].collect()}
+        assert ids == {("evt-1", "ORD-1"), ("evt-2", "ORD-2"), ("evt-3", "ORD-3B"), ("evt-4", "ORD-4")}
+    # Only the load and the build that hold the event were written again, and no month of the mart.
+    for old, new in zip(before[:2], after[:2], strict=True):
+        assert {n for n in new.parts if new.parts[n].folder != old.parts[n].folder} == {"run-2"}
+    assert after[2].parts == before[2].parts and after[2].number == before[2].number + 1
+    assert sorted(map(tuple, models["mart_daily_sales"].collect())) == mart
+    # Nothing is left to do for the repair itself, nor for the next build; health is as before.
+    run_order_key_repair(spark, paths, good, "r-1", T0 + timedelta(hours=2), apply=True)
+    assert [t.current().number for t in tables[:2]] == [v.number for v in after[:2]]
+    result = run_pipeline(spark, paths, normal(spark, paths), "run-3", T0 + timedelta(hours=2), strict=True)
+    assert result.verdict.first().status == "HEALTHY"
+    assert fct_orders(spark, paths).current().number == after[1].number
+
+
+def test_a_repair_interrupted_after_raw_is_finished_by_the_next_build(spark, paths, deliver, monkeypatch):
+    import orderlake.plans.repairs as repairs
+
+    deliver(orders(1, 2), T0)
+    run_pipeline(spark, paths, normal(spark, paths), "run-1", T0)
+    good = spark.createDataFrame([("evt-2", "ORD-2", "ORD-2B")], S.ORDER_KEY_MAP)
+    monkeypatch.setattr(repairs, "fct_orders", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_order_key_repair(spark, paths, good, "r-1", T0, apply=True)
+    assert {r.order_id for r in read_models(spark, paths)["fct_orders"].collect()} == {"ORD-1", "ORD-2"}
+    run_pipeline(spark, paths, normal(spark, paths), "run-2", T0 + timedelta(hours=1), strict=True)
+    assert {r.order_id for r in read_models(spark, paths)["fct_orders"].collect()} == {"ORD-1", "ORD-2B"}
+    assert counts(spark, paths) == (2, 2, 2)
+
+
 def test_a_retry_without_rows_replaces_the_earlier_attempt(spark, paths):
     frame = spark.createDataFrame([(1,), (2,)], "n int")
     read = lambda: read_table(spark, paths.table("t"), frame.schema, "run_id")

@@ -44,9 +44,8 @@ def outcomes(spark, corrections, payloads=None, **options):
     return remediate(quarantine(spark, *payloads), requests, "b", NOW, **options).report.first()
 
 
-@pytest.mark.parametrize("few", [False, True])
-def test_repair_keeps_identity_order_and_types(spark, few):
-    row = outcomes(spark, {"quantity": "2", "note": "two boxes"}, few_requests=few)
+def test_repair_keeps_identity_order_and_types(spark):
+    row = outcomes(spark, {"quantity": "2", "note": "two boxes"})
     assert (row.outcome, row.repaired_order_id, row.matches) == ("REPAIRED", "ORD-M1", 1)
     want = {**json.loads(event(**BAD)), "quantity": 2, "note": "two boxes"}
     assert json.loads(row.repaired_payload) == want
@@ -141,14 +140,13 @@ def test_audit_rows(spark):
 # --- order ids ----------------------------------------------------------------
 
 
-@pytest.mark.parametrize("few", [False, True])
-def test_order_id_repair_rules(spark, few):
+def test_order_id_repair_rules(spark):
     silver = spark.createDataFrame(
         [("a", "O1", "f1"), ("a", "O1", "f2"), ("b", "O1", "f1"), ("b", "OX", "f1"), ("c", None, "f1"), ("d", "O4", "f1")],
         "event_id string, order_id string, file_path string",
     )
     wanted = [("a", "O1", "N1"), ("b", "O1", "N2"), ("c", "O3", "N3"), ("z", "O9", "N9")]
-    repair = repair_order_ids(silver, spark.createDataFrame(wanted, S.ORDER_KEY_MAP), few)
+    repair = repair_order_ids(silver, spark.createDataFrame(wanted, S.ORDER_KEY_MAP))
     got = {r.event_id: (r.outcome, r.copies, r.files, r.unexpected_copies) for r in repair.report.collect()}
     assert got == {
         "a": ("READY", 2, 2, 0),
@@ -188,8 +186,7 @@ def test_first_per_key_and_insert_absent_against_brute_force(skewed):
     assert {r.event_id: r.row for r in first.collect()} == want
     known = first.where("event_id < 'e3'")
     expected = {e for e in want if not e < "e3"}
-    for broadcast in (False, True):
-        assert {r.event_id for r in insert_absent(known, first, broadcast).collect()} == expected
+    assert {r.event_id for r in insert_absent(known, first).collect()} == expected
     merged = upsert(first, known.withColumn("row", F.lit(-1).cast("bigint")))
     assert {r.event_id: r.row for r in merged.collect()} == {e: -1 if e < "e3" else v for e, v in want.items()}
 

@@ -62,8 +62,8 @@ def test_each_missing_field_has_its_code(judge_payloads):
 
 
 def test_repeated_keys_count_first_for_presence_and_last_for_value(judge_payloads):
-    first_null = event().replace('"quantity": 2', '"quantity": null, "quantity": 2')
-    last_null = event().replace('"quantity": 2', '"quantity": 2, "quantity": null')
+    first_null = event().replace('"quantity": 3', '"quantity": null, "quantity": 3')
+    last_null = event().replace('"quantity": 3', '"quantity": 3, "quantity": null')
     assert judge_payloads([first_null, last_null]) == [
         ("contract_missing_quantity", None),
         (None, "invalid_quantity"),
