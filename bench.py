@@ -85,7 +85,7 @@ def main() -> None:
 
     def topic():
         source = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
-        return sample.as_backlog(sample.messages(source.repartition(int(cpus))))
+        return sample.messages(source.repartition(int(cpus), "l_shipdate"))
 
     def stream() -> None:
         for query in start_lake(topic(), paths, {"availableNow": True}, sample.ingest_time()):

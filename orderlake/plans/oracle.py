@@ -279,6 +279,14 @@ from (select day, incident_type from active union select cast(day + 1 as date),
 join verdicts v on v.day = m.day
 left join active a on a.day = m.day and a.incident_type = m.incident_type
 left join active o on o.day + 1 = m.day and o.incident_type = m.incident_type
+""",
+    "incident_state": """
+select * exclude (_n) from (
+  select *, row_number() over (partition by incident_id order by changed_at desc) as _n from transitions) where _n = 1
+""",
+    "scoped": """
+select incident_type || '/' || cast(changed_at as date) as incident_type, changed_at
+from incident_state where resolved_at is null
 """,
     "metrics": """
 select strftime(recorded_at, '%Y%m%dT%H%M%S.%f') as metric_id, recorded_at, bronze_rows, silver_rows,
@@ -412,14 +420,15 @@ _CONTROL_TESTS = " union all ".join(
                 ("health_status", "'HEALTHY', 'WARNING', 'DEGRADED'"),
             )
         ],
+        _rule("pipeline_incidents", "unique_incident_id", _unique("incident_state", "incident_id")),
         *[
-            _rule("pipeline_incidents", f"not_null_{c}", _nulls("transitions", c))
+            _rule("pipeline_incidents", f"not_null_{c}", _nulls("incident_state", c))
             for c in ("incident_type", "severity", "details", "opened_at")
         ],
         _rule(
             "pipeline_incidents",
             "allowed_severity",
-            "select count(*) from transitions where severity not in ('WARNING', 'DEGRADED')",
+            "select count(*) from incident_state where severity not in ('WARNING', 'DEGRADED')",
         ),
         *[_rule("pipeline_metrics", f"not_null_{c}", _nulls("metrics", c)) for c in ("metric_id", "recorded_at", "status")],
     ]
@@ -598,7 +607,116 @@ where n = 1 and resolved_at is null""",
         """select *, date_diff('microsecond', started_at, finished_at) / 1000000.0::double as duration_seconds
 from runs order by started_at desc, run_id desc limit 5""",
     ),
-    "control_constraints": (["runs", "transitions", "metrics"], _CONTROL_TESTS),
+    "control_constraints": (["runs", "incident_state", "metrics"], _CONTROL_TESTS),
+    "load_into_buckets": (
+        ["new_normal"],
+        'select event_id, order_id, event_date, quantity, order_value, "offset" as kafka_offset from new_normal',
+    ),
+    "fact_by_builds": (
+        ["fact"],
+        f"""select {_FACT_DOUBLE},
+  case when loaded_at = timestamp '2002-01-01 00:00:00' then 'build-1' else 'build-2' end as build_id from fact""",
+    ),
+    "mart_by_affected_days": (["mart"], "select * from mart"),
+    "applied_order_key_repair": (
+        ["fact", "key_report"],
+        """select f.event_id, f.event_date, coalesce(k.new_order_id, f.order_id) as order_id,
+  coalesce(k.new_order_id, f.order_id) as raw_order_id, count(*) over (partition by f.event_date) as orders_of_day,
+  case when f.loaded_at = timestamp '2002-01-01 00:00:00' then 'build-1' else 'build-2' end as build_id
+from fact f left join (select * from key_report where outcome = 'READY') k on k.event_id = f.event_id""",
+    ),
+    "kept_up_distincts": (
+        ["silver"],
+        """select 'check-1' as check_id, count(*) as silver_rows, count(distinct event_id) as silver_unique_events
+from silver where year(ingestion_date) < 1997
+union all select c, count(*), count(distinct event_id) from silver, (values ('check-2'), ('check-3')) t(c) group by c""",
+    ),
+    "route_faults": (
+        ["judged"],
+        """with m as (
+  select topic, "partition" as p, "offset" as o, contract_error is null and validation_error is null as good from judged
+), tagged as (
+  select topic, p, o, 1 as b, 0 as s, 0 as q from m
+  union all select topic, p, o, 0, 1, 0 from m where good and o % 97 <> 5
+  union all select topic, p, o, 0, 1, 0 from m where good and o % 101 = 7
+  union all select topic, p, o, 0, 0, 1 from m where not good
+  union all select topic, p, o, 0, 0, 1 from m where not good and o % 89 = 3
+  union all select topic, p, o, 0, 0, 1 from m where good and o % 83 = 2
+), per as (
+  select topic, p, o, sum(b) as b, sum(s) as s, sum(q) as q from tagged group by 1, 2, 3
+)
+select cast(sum(b) as bigint) as bronze_rows, cast(sum(s) as bigint) as silver_rows,
+  cast(sum(q) as bigint) as quarantine_rows, count(*) filter (where s + q < b) as unrouted_messages,
+  count(*) filter (where s + q > b) as surplus_messages,
+  count(*) filter (where s > 0 and q > 0 and b = 1) as doubly_routed_messages from per""",
+    ),
+    "positions_of_republished": (
+        ["remedied"],
+        """select sha256(event_id || '|' || batch || '|{"' || field || '":' || case
+    when field in ('quantity', 'unit_price', 'schema_version') then given else '"' || given || '"' end || '}')
+    as reprocessing_id, 'orders' as republished_topic,
+  cast(cast(string_split(event_id, '-')[2] as bigint) % 3 as integer) as republished_partition,
+  cast(string_split(event_id, '-')[2] as bigint) * 8 + cast(string_split(event_id, '-')[3] as bigint) + start
+    as republished_offset
+from remedied, (values ('batch-1', 1000000000::bigint), ('batch-2', 0::bigint)) t(batch, start)
+where outcome = 'REPAIRED'""",
+    ),
+    "due_notices": (
+        ["incident_state"],
+        """select incident_id, incident_type, 'ALERT' as notice, severity, details, opened_at as happened_at
+from incident_state where day(opened_at) % 2 <> 0
+union all select incident_id, incident_type, 'RECOVERY', severity, details, resolved_at
+from incident_state where resolved_at is not null and day(resolved_at) % 3 <> 0""",
+    ),
+    "incident_constraints": (
+        ["scoped"],
+        " union all ".join(
+            [
+                _rule(
+                    "pipeline_incidents",
+                    "unique_incident_id",
+                    "select count(*) from incident_state where day(changed_at) = 11",
+                ),
+                *[
+                    _rule("pipeline_incidents", f"not_null_{c}", _nulls("incident_state", c))
+                    for c in ("incident_type", "severity", "details", "opened_at")
+                ],
+                _rule(
+                    "pipeline_incidents",
+                    "allowed_severity",
+                    "select count(*) from incident_state where severity not in ('WARNING', 'DEGRADED')",
+                ),
+                _rule(
+                    "open_incidents",
+                    "unique_incident_type",
+                    _unique("(select * from scoped union all select * from scoped where day(changed_at) % 3 = 0)", "incident_type"),
+                ),
+            ]
+        ),
+    ),
+    "streamed_loads": (
+        ["silver"],
+        """with halves as (
+  select 'load-' || (1 + cast(string_split(event_id, '-')[2] as bigint) % 2) as load_id, * from silver)
+select h.load_id, ingestion_date, ingestion_hour, count(*) as row_count, rows_processed, rows_inserted
+from halves h join (select load_id, count(*) as rows_processed, count(distinct event_id) as rows_inserted
+                    from halves group by 1) t on t.load_id = h.load_id
+group by all""",
+    ),
+    "committed_batches": (
+        ["bronze", "silver", "quarantine"],
+        """select 'bronze' as layer, ingestion_date as day, count(*) as rows from bronze group by 2
+union all select 'silver', ingestion_date, count(*) from silver group by 2
+union all select 'quarantine', cast(ingested_at as date), count(*) from quarantine group by 2""",
+    ),
+    "stream_equals_batch": (
+        ["bronze", "silver", "quarantine"],
+        " union all ".join(
+            f"""select '{layer}' as layer, count(*) as streamed_rows, count(*) as batch_rows,
+  cast(0 as bigint) as differing_rows from {layer}"""
+            for layer in ("bronze", "silver", "quarantine")
+        ),
+    ),
     "quarantine_remediation": (
         ["remedied"],
         """select event_id, matches, outcome,

@@ -103,14 +103,6 @@ def messages(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def as_backlog(topic: DataFrame) -> DataFrame:
-    """The messages as a topic's backlog: those of a year arrive on its first day.
-
-    Every day of seven years would else be a folder of its own in each lake layer.
-    """
-    return topic.withColumn("timestamp", F.date_trunc("year", "timestamp"))
-
-
 def ingest_time() -> Column:
     """Ingest time of a derived message, over a frame of messages."""
     return F.expr("timestamp + INTERVAL 30 MINUTES")

@@ -30,14 +30,18 @@ def read_orders_stream(
     return reader.schema(S.HEADED_MESSAGE).options(**(options or {})).load(path)
 
 
-def to_messages(repaired: DataFrame, repair: Column) -> DataFrame:
-    """Repaired payloads as messages keyed by their order, each with the id of its repair in a header."""
+def to_messages(repaired: DataFrame, repair: Column, *others: str) -> DataFrame:
+    """Repaired payloads as messages keyed by their order, each with the id of its repair in a header.
+
+    ``others``: further columns of a message that ``repaired`` has.
+    """
     header = F.struct(F.lit(REPAIR_HEADER).alias("key"), repair.cast("binary").alias("value"))
     return repaired.select(
         F.col("repaired_order_id").cast("binary").alias("key"),
         F.col("repaired_payload").cast("binary").alias("value"),
         F.lit(S.TOPIC).alias("topic"),
         F.array(header).alias("headers"),
+        *others,
     )
 
 
