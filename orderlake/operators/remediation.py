@@ -59,14 +59,16 @@ def correction_value(text: Column) -> Column:
 
 
 def last_of_each_key(fields: Column) -> Column:
-    """A parsed payload without repeated keys; the last one counts."""
+    """A parsed payload without repeated keys; the last one counts. Most payloads repeat none and stay as they are."""
     entries = F.map_entries(fields)
-    return F.map_from_entries(
+    last = F.map_from_entries(
         F.filter(
             entries,
             lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]),
         )
     )
+    keys = F.map_keys(fields)
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), fields).otherwise(last)
 
 
 def overlay(payload: Column, corrections: Column) -> Column:

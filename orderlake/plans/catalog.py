@@ -12,7 +12,7 @@ from collections.abc import Callable
 from datetime import date, datetime, timezone
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlake import schemas as S
@@ -22,7 +22,7 @@ from orderlake.operators.routing import build_bronze, build_quarantine, build_si
 from orderlake.operators.windows import BACKFILL, NORMAL, REPLAY, LoadWindow, list_files, load_window, select_files
 from orderlake.plans.load import count_load
 from orderlake.plans.models import build_daily_sales, build_fact, fact_rows, newer_than_fact, stage_orders
-from orderlake.session import pin_utc, scratch_root
+from orderlake.session import pin_utc, scratch_root, stage
 from orderlake.sources import sample
 from orderlake.sources.tables import Paths, read_bronze, read_quarantine, read_silver
 from orderlake.streaming.lake import start_lake
@@ -84,9 +84,30 @@ class DeliveryLog:
     def first_rows(self) -> DataFrame:
         return _first(self.silver)
 
+    # What a real run finds stored. Queries that read one of these several times write it once, like the job whose
+    # output it is; each query for itself.
+
+    def _stored(self, name: str, rows: DataFrame) -> DataFrame:
+        return stage(rows, f"{name}-{uuid.uuid4().hex}")
+
+    @cached_property
+    def stored_routes(self) -> DataFrame:
+        """Where each message went."""
+        accepted = F.col("contract_error").isNull() & F.col("validation_error").isNull()
+        event = F.when(accepted, F.col("event_id")).alias("event_id")
+        return self._stored("routes", self.judged.select("topic", "partition", "offset", event, accepted.alias("accepted")))
+
+    @cached_property
+    def stored_silver(self) -> DataFrame:
+        return self._stored("silver", self.silver)
+
+    @cached_property
+    def stored_raw(self) -> DataFrame:
+        return self._stored("raw", self.raw)
+
     @cached_property
     def verdicts(self) -> DataFrame:
-        return _daily_verdicts(self)
+        return self._stored("verdicts", _daily_verdicts(self))
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -147,8 +168,8 @@ def rule_parity(log: DeliveryLog) -> DataFrame:
 
 
 def route_reconciliation(log: DeliveryLog) -> DataFrame:
-    verdicts = log.judged
-    return reconcile.route_check(log.bronze, build_silver(verdicts), build_quarantine(verdicts))
+    routes = log.stored_routes
+    return reconcile.route_check(log.bronze, routes.where("accepted"), routes.where("NOT accepted"))
 
 
 def partition_offsets(log: DeliveryLog) -> DataFrame:
@@ -183,7 +204,7 @@ def _load(rows: DataFrame, window: LoadWindow) -> tuple[DataFrame, DataFrame, Da
 
 def _inserted(mode: str) -> Callable[[DeliveryLog], DataFrame]:
     def query(log: DeliveryLog) -> DataFrame:
-        new = _load(log.silver, WINDOWS[mode])[2]
+        new = _load(log.stored_silver, WINDOWS[mode])[2]
         rows = to_warehouse_row(new, "file_path").select(
             "event_id", "order_id", "event_date", "quantity", "order_value", "kafka_offset", "file_path"
         )
@@ -199,7 +220,7 @@ def raw_first_wins(log: DeliveryLog) -> DataFrame:
 
 def load_counters(log: DeliveryLog) -> DataFrame:
     """Counters of a load of each mode, and the watermark a normal load leaves."""
-    rows = log.silver
+    rows = log.stored_silver
     reports = []
     for mode, window in WINDOWS.items():
         files, _, new = _load(rows, window)
@@ -232,7 +253,7 @@ def silver_files(log: DeliveryLog) -> DataFrame:
 
 def loaded_files(log: DeliveryLog) -> DataFrame:
     """Entries a backfill adds to the file ledger."""
-    rows = log.silver
+    rows = log.stored_silver
     files = select_files(list_files(rows), WINDOWS[BACKFILL], _file_ledger(rows))
     return files.where("selected AND NOT loaded_before").select(
         "file_path", F.lit(S.DATASET).alias("dataset_name"), "ingestion_date", "ingestion_hour", "row_count"
@@ -269,13 +290,13 @@ def stg_orders(log: DeliveryLog) -> DataFrame:
 
 def fct_orders_incremental(log: DeliveryLog) -> DataFrame:
     """The rows one incremental build adds."""
-    raw = log.raw
+    raw = log.stored_raw
     return _money(fact_rows(newer_than_fact(stage_orders(raw), _fact_before(raw))), "unit_price", "order_value")
 
 
 def fct_orders_upsert(log: DeliveryLog) -> DataFrame:
     """The fact after an incremental build that also replaces stale rows of it."""
-    raw = log.raw
+    raw = log.stored_raw
     stale = fact_rows(stage_orders(raw)).where(
         (F.col("loaded_at") == F.lit(SECOND_LOAD)) & (F.dayofmonth("event_date") == 3)
     )
@@ -291,7 +312,7 @@ def mart_daily_sales(log: DeliveryLog) -> DataFrame:
 
 def late_event_correction(log: DeliveryLog) -> DataFrame:
     """Business days the second load changed, before and after."""
-    raw = log.raw
+    raw = log.stored_raw
     tagged = fact_rows(stage_orders(raw))
     before = build_daily_sales(_fact_before(raw))
     after = build_daily_sales(tagged)
@@ -310,14 +331,14 @@ def duplicate_business_keys(log: DeliveryLog) -> DataFrame:
 
 
 def data_test_report(log: DeliveryLog) -> DataFrame:
-    raw = log.raw
+    raw = log.stored_raw
     staged = stage_orders(raw)
     return checks.run_checks({"raw_orders": raw, "stg_orders": staged, "fct_orders": build_fact(staged)})
 
 
 def constraint_report(log: DeliveryLog) -> DataFrame:
     """What the raw table's constraints would refuse if all deliveries were inserted as they came."""
-    rows = to_warehouse_row(log.silver).withColumn("loaded_at", F.lit(FIRST_LOAD))
+    rows = to_warehouse_row(log.stored_silver).withColumn("loaded_at", F.lit(FIRST_LOAD))
     return checks.run_checks({"raw_orders": rows}, {"raw_orders": checks.RAW_CONSTRAINTS})
 
 
@@ -325,14 +346,14 @@ def constraint_report(log: DeliveryLog) -> DataFrame:
 
 
 def _warehouse(log: DeliveryLog) -> DataFrame:
-    raw = log.raw
+    raw = log.stored_raw
     fact = build_fact(stage_orders(raw))
     return health.warehouse_metrics(raw, fact, build_daily_sales(fact))
 
 
 def _lake(log: DeliveryLog) -> DataFrame:
-    verdicts = log.judged
-    return health.lake_metrics(log.bronze, build_silver(verdicts), build_quarantine(verdicts))
+    routes = log.stored_routes
+    return health.lake_metrics(log.bronze, routes.where("accepted"), routes.where("NOT accepted"))
 
 
 def pipeline_health(log: DeliveryLog) -> DataFrame:
@@ -348,33 +369,45 @@ def _daily_metrics(log: DeliveryLog) -> DataFrame:
     the model builds ran short, and checks ran later in the month the later at night,
     so every finding occurs.
     """
-    verdicts = log.judged
     day = F.to_date("ingested_at")
     accepted = F.col("contract_error").isNull() & F.col("validation_error").isNull()
     arrived = log.bronze.groupBy(F.col("ingestion_date").alias("day")).agg(F.count("*").alias("bronze_rows"))
-    # By day and event first: a distinct count per day would gather a busy day's events in one task.
-    per_event = verdicts.groupBy(day.alias("day"), F.when(accepted, F.col("event_id")).alias("event_id")).agg(
-        F.count_if(accepted).alias("accepted"), F.count_if(~accepted).alias("refused")
+    built = ~((F.dayofmonth("day") == 13) & (F.col("first.partition") == 1))
+    summed = built & ~((F.dayofmonth("day") == 17) & (F.col("first.partition") == 2))
+    # One pass over the judged messages. By event and day first: a distinct count per day would gather a busy day's events
+    # in one task; refused messages, which belong to no event here, are spread over keys of their own. The first delivery
+    # of an event is the first of its first day.
+    spread = F.concat(F.lit("refused "), F.col("offset") % 1024)
+    position = sample.with_file_position(
+        log.judged.withColumns(
+            {
+                "accepted": accepted,
+                "key": F.when(accepted, F.col("event_id")).otherwise(spread),
+                "ingestion_date": day,
+                "ingestion_hour": F.lpad(F.hour("ingested_at"), 2, "0"),
+            }
+        )
     )
-    routed = per_event.groupBy("day").agg(
-        F.sum("accepted").alias("silver_rows"),
-        F.count("event_id").alias("silver_unique_events"),
-        F.sum("refused").alias("quarantine_rows"),
+    order = F.struct(*sample.SAMPLE_ORDER, "partition", "ingested_at")
+    per_event = position.groupBy("accepted", "key", F.col("ingestion_date").alias("day")).agg(
+        F.count("*").alias("rows"), F.min(order).alias("first")
     )
-    built = ~((F.dayofmonth("ingestion_date") == 13) & (F.col("partition") == 1))
-    summed = built & ~((F.dayofmonth("ingestion_date") == 17) & (F.col("partition") == 2))
-    loaded = (
-        log.first_rows
-        .groupBy(F.col("ingestion_date").alias("day"))
-        .agg(
-            F.count("*").alias("raw_orders"),
-            F.count_if(built).alias("fact_orders"),
-            F.count_if(summed).alias("gold_order_count"),
-            (F.max("ingested_at") + F.expr("INTERVAL 10 MINUTES")).alias("latest_loaded_at"),
-        )
+    is_first = F.col("accepted") & (
+        F.row_number().over(Window.partitionBy("accepted", "key").orderBy("day")) == 1
+    )
+    ranked = per_event.withColumn("is_first", is_first)
+    routed = ranked.groupBy("day").agg(
+        F.sum(F.when(F.col("accepted"), F.col("rows"))).alias("silver_rows"),
+        F.count_if("accepted").alias("silver_unique_events"),
+        F.sum(F.when(~F.col("accepted"), F.col("rows"))).alias("quarantine_rows"),
+        F.count_if("is_first").alias("raw_orders"),
+        F.count_if(F.col("is_first") & built).alias("fact_orders"),
+        F.count_if(F.col("is_first") & summed).alias("gold_order_count"),
+        (F.max(F.when(F.col("is_first"), F.col("first.ingested_at"))) + F.expr("INTERVAL 10 MINUTES")).alias(
+            "latest_loaded_at"
+        ),
     )
-    parts = [arrived, routed, loaded]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    stacked = arrived.unionByName(routed, allowMissingColumns=True)
     counters = [c for c in stacked.columns if c not in ("day", "latest_loaded_at")]
     merged = stacked.groupBy("day").agg(
         *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in counters],
@@ -658,7 +691,7 @@ def order_key_files(log: DeliveryLog) -> DataFrame:
 
 def order_key_overlay(log: DeliveryLog) -> DataFrame:
     """All of Silver with the accepted repairs laid over it."""
-    rows = log.silver
+    rows = log.stored_silver
     report = key_repair.repair_order_ids(rows, _order_key_map(log)).report
     return key_repair.apply_overlay(rows, report).select("event_id", "order_id", "partition", "offset")
 

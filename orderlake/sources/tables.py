@@ -62,12 +62,12 @@ def last_commit(spark: SparkSession, paths: Paths) -> int | None:
 
 
 def _read_layer(spark: SparkSession, paths: Paths, layer: str, schema: T.StructType) -> DataFrame:
-    rows = read_table(spark, paths.lake(layer), schema)
-    if files.exists(spark, paths.lake_commits()):
-        # The single-pass stream adds a folder level; of its batches only whole ones count.
-        batched = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-        last = last_commit(spark, paths)
-        rows = read_table(spark, paths.lake(layer), batched).where(F.col("batch_id") <= (-1 if last is None else last))
+    if not files.exists(spark, paths.lake_commits()):
+        return read_table(spark, paths.lake(layer), schema).select(*schema.fieldNames())
+    # The single-pass stream adds a folder level; of its batches only whole ones count.
+    batched = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    last = last_commit(spark, paths)
+    rows = read_table(spark, paths.lake(layer), batched).where(F.col("batch_id") <= (-1 if last is None else last))
     return rows.select(*schema.fieldNames())
 
 

@@ -6,6 +6,7 @@ old business date, duplicate deliveries are kept and removed at load.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -75,12 +76,19 @@ def start_lake_single_pass(
         kept = [*S.BRONZE.fieldNames(), *(c for c in ("reprocessing_id",) if c in judged.columns)]
         bronze = judged.withColumn("ingestion_date", F.to_date("kafka_timestamp")).select(*kept)
         layers = {"bronze": bronze, "silver": build_silver(judged), "quarantine": build_quarantine(judged)}
+
+        def write(layer: str) -> None:
+            writer = layers[layer].write.mode("overwrite").option("partitionOverwriteMode", "static")
+            # Tasks put their files in place themselves: nobody reads the batch before it is noted, and a second
+            # attempt overwrites it, so the job need not move every file once more.
+            writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+            if LAYER_PARTITIONS[layer]:
+                writer = writer.partitionBy(*LAYER_PARTITIONS[layer])
+            writer.parquet(f"{paths.lake(layer)}/batch_id={batch_id}")
+
         try:
-            for layer, frame in layers.items():
-                writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "static")
-                if LAYER_PARTITIONS[layer]:
-                    writer = writer.partitionBy(*LAYER_PARTITIONS[layer])
-                writer.parquet(f"{paths.lake(layer)}/batch_id={batch_id}")
+            with ThreadPoolExecutor(len(layers)) as pool:  # three jobs at once; the first to want a block parses it
+                list(pool.map(write, layers))
         finally:
             judged.unpersist()
         files.put_new(spark, f"{paths.lake_commits()}/{batch_id:012d}", "")
