@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from orderlake.llm.text import slices
@@ -19,6 +20,21 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in gone])
 
 
+def unused_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, or as it becomes a column name that is not ``taken``, whatever their case."""
+    gone = {c.lower() for c in taken}
+    while name.lower() in gone:
+        name += "_"
+    return name
+
+
+def privately(df: DataFrame) -> tuple[DataFrame, list[str], Callable[[str], str]]:
+    """``df`` under column names of our own, these names, and which of them a column has; so none can clash."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    mine = dict(zip(df.columns, names, strict=True))
+    return df.toDF(*names), names, mine.__getitem__
+
+
 def extended(df: DataFrame, added: str) -> T.StructType:
     return T.StructType(df.schema.fields + T.StructType.fromDDL(added).fields)
 
@@ -70,3 +86,12 @@ def drop_table(df: DataFrame) -> None:
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let go of the disk of shuffles that no plan needs any more.
+
+    Their files are deleted once the driver has collected the plans as garbage, which a driver with little to do puts off.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -11,7 +11,8 @@ quota ends, in hash order, while they fit. What is decided per source is one pla
 compared with it where they are and texts are never shuffled; a hot source is as many blocks as it needs.
 
 Tokens are words ``[^\\x20\\x09-\\x0D]+``. Null text: no tokens. Null source: a source of its own. Sources without any
-token give no copies. Rows of equal id stay together. Existing columns of the added names are replaced.
+token give no copies. Rows of equal id stay together, rows without an id those of equal text. Existing columns of the
+added names are replaced; others may have any name.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orderlake.llm.frames import table, without
+from orderlake.llm.frames import privately, table, unused_name, without
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_TOKENS = 100_000  # tokens of a block, unless a source would have more than MOST_BLOCKS
@@ -33,7 +34,9 @@ ADDED = ("n_tokens", "weight", "copies")
 
 
 def _keys(id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
-    name = F.concat(F.lit(SEED + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    # Rows without an id go by their text.
+    text = F.concat(F.lit(":"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    name = F.concat(F.lit(SEED + ":"), F.coalesce(F.col(id_col).cast("string"), text))
     return {
         "_source": F.col(source_col).cast("string"),
         "n_tokens": F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("bigint"),
@@ -155,8 +158,8 @@ def mix_sources(
     ``budget`` is in tokens (all tokens of ``docs`` if not given). ``keep_all`` sets it so that the largest source is
     taken once and no document is left out.
     """
-    base = without(docs, ADDED)
-    keys = _keys(id_col, text_col, source_col)
+    base, names, name_of = privately(without(docs, ADDED))
+    keys = _keys(name_of(id_col), name_of(text_col), name_of(source_col))
     rows = base.withColumns(keys)
     keyed = table(rows.select(*keys), "mix-keys")
     decided = plan(keyed, target_entropy, max_repetition, budget, keep_all).select(
@@ -168,10 +171,12 @@ def mix_sources(
     )
     joined = rows.join(decided, F.col("_source").eqNullSafe(F.col("_name")), "left")
     copies = F.col("passes") + F.coalesce(once_more, F.lit(False)).cast("bigint")
-    return joined.select(*base.columns, "n_tokens", "weight", copies.alias("copies"))
+    mixed = joined.select(*names, "n_tokens", "weight", copies.alias("copies"))
+    return mixed.toDF(*without(docs, ADDED).columns, *ADDED)
 
 
 def realise(mixed: DataFrame) -> DataFrame:
     """One row per copy, without the columns that mixing added."""
-    rows = mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return without(rows, (*ADDED, "_copy"))
+    copy = unused_name("copy", mixed.columns)
+    rows = mixed.where("copies > 0").withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return without(rows, (*ADDED, copy))

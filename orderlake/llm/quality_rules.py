@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.frames import without
+from orderlake.llm.frames import privately, without
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
@@ -58,9 +58,9 @@ def _count_of(text: Column, chars: str) -> Column:
 
 def measured(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with the measurements of each text."""
-    base = without(df, MEASURES)
-    kept = [F.col(f"`{c}`") for c in base.columns]
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    base, names, name_of = privately(without(df, MEASURES))
+    kept = [F.col(c) for c in names]
+    text = F.coalesce(F.col(name_of(text_col)), F.lit(""))
     # One projection for each array that is read more than once: it is computed there and nowhere else.
     words = base.select(*kept, F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("_words"))
     lines = F.filter(F.split(text, "\n", -1), lambda line: F.length(F.translate(line, SPACES, "")) > 0)
@@ -95,8 +95,9 @@ def measured(df: DataFrame, text_col: str = "text") -> DataFrame:
     total = F.aggregate(covered, F.lit(0).cast("bigint"), lambda n, x: n + x)
     # In a generator: a filter on a measurement would else be pushed below the projections above, which are then
     # written out inside its lambdas and computed for every word.
-    found = F.struct(*[m for m in MEASURES if m != "n_repeat_words"], total.alias("n_repeat_words"))
-    return places.select(*kept, F.inline(F.array(found)))
+    order = [*[m for m in MEASURES if m != "n_repeat_words"], "n_repeat_words"]
+    found = F.struct(*order[:-1], total.alias("n_repeat_words"))
+    return places.select(*kept, F.inline(F.array(found))).toDF(*without(df, MEASURES).columns, *order)
 
 
 def ledger(df: DataFrame, text_col: str = "text") -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.frames import appended, drop_table, table, without
+from orderlake.llm.frames import appended, drop_table, table, unused_name, without
 
 SCALE = 4096
 LARGEST = 1 << 26  # integer components beyond it would not leave room for exact sums of squares
@@ -209,7 +209,7 @@ def compress_vectors(
     books = Codebooks(whole, bounds_of(dimension, parts))
     moved = np.ones((parts, len(whole)), dtype=bool)
     state, read = base, [vector_col]
-    codes, far = (_free(name, columns) for name in ("codes", "distances"))
+    codes, far = (unused_name(name, columns) for name in ("codes", "distances"))
     for _ in range(rounds):
         after = table(appended(state, read, _assign(books, moved), f"`{codes}` array<int>, `{far}` array<bigint>"), "codes")
         if state is not base:
@@ -225,12 +225,6 @@ def compress_vectors(
     return coded, books
 
 
-def _free(name: str, taken: list[str]) -> str:
-    while name.lower() in {c.lower() for c in taken}:
-        name += "_"
-    return name
-
-
 def as_hex(codes: Column) -> Column:
     """Two lower-case hex digits for each entry index."""
     return F.array_join(F.transform(codes, lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")

@@ -72,3 +72,23 @@ def test_awkward_rows(awkward):
 def test_either_target_is_needed(corpus):
     with pytest.raises(ValueError):
         mixing.mix_sources(corpus)
+
+
+def test_rows_without_ids_are_ordered_by_their_texts(spark):
+    rows = [(None, f"word{i} " * 10, "a") for i in range(6)] + [(i, f"other{i} " * 10, "b") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    mixed = mixing.mix_sources(docs, target_entropy=1.0).where("doc_id IS NULL").collect()
+    assert sum(r.copies for r in mixed) == 18  # half of 36 texts of ten words
+    half = mixing.mix_sources(docs, target_entropy=1.0, budget=60).where("doc_id IS NULL").collect()
+    assert sorted(r.copies for r in half) == [0, 0, 0, 1, 1, 1]
+
+
+def test_any_column_names(spark):
+    names = ["rest", "blocks", "passes", "last_block", "last_order", "_name", "_source", "_order", "copy", "a.b", "weight"]
+    docs = spark.createDataFrame([(i, "some words", f"s{i % 2}", *names) for i in range(4)],
+                                 ["doc_id", "text", "source", *names])
+    mixed = mixing.mix_sources(docs, max_repetition=2.0)
+    kept = [c for c in docs.columns if c != "weight"]
+    assert mixed.columns == [*kept, *mixing.ADDED]
+    for row in mixing.realise(mixed).collect():
+        assert list(row[3:]) == names[:-1]

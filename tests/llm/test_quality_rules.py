@@ -81,3 +81,10 @@ def test_clean_text_is_kept_and_junk_is_not(spark):
     frame = spark.createDataFrame([(clean,), (junk,), (shout,), (doubled,)], "text string")
     rows = q.judge(q.ledger(frame)).select("kept", F.col("failures")).collect()
     assert [r.kept for r in rows] == [True, False, False, False]
+
+
+def test_any_column_names(spark):
+    names = ["_words", "_lines", "_windows", "_places", "a.b", "failures"]
+    docs = spark.createDataFrame([(1, "some words", *names)], ["doc_id", "text", *names])
+    row = q.ledger(docs).first()
+    assert list(row[2:7]) == names[:-1] and row.n_words == 2
