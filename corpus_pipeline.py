@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm.frames import table
+from orderlake.llm.frames import table, unused_name
 from orderlake.llm.mixing import mix_sources, realise
 from orderlake.llm.piece_codec import encode
 from orderlake.llm.prob_minhash import near_duplicates
@@ -24,11 +24,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest id stays; rows without an id stay."""
+    """Of each class of near duplicates one row stays: that of the smallest id, then text digest; so does each row
+    without an id. A text is judged by itself also where its id has other texts.
+    """
     ship_package(spark)
-    classes = near_duplicates(docs.where("doc_id IS NOT NULL"), threshold=0.8)
-    first = classes.where("doc_id = class_id").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return first.unionByName(docs.where("doc_id IS NULL"))
+    row = unused_name("row", docs.columns)
+    numbered = table(docs.where("doc_id IS NOT NULL").withColumn(row, F.monotonically_increasing_id()), "rows")
+    classes = near_duplicates(numbered.select("doc_id", "text", row), id_col=row, threshold=0.8)
+    order = F.struct("doc_id", F.sha2("text", 256), row)
+    first = classes.groupBy("class_id").agg(F.min(order).alias("first")).select(F.col(f"first.{row}").alias(row))
+    kept = numbered.join(first, row, "left_semi").select(*docs.columns)
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ TABLES = os.environ.get("ORDERLAKE_TEST_TABLES", "/root/testdata/sf0.001")
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings", "conversations"):
         duck.execute(f"create view {table} as select * from '{TABLES}/{table}.parquet'")
     frame = QUERIES[name](spark, TABLES)
     result = duck.execute(ORACLE_SQL[name])
@@ -78,3 +78,21 @@ def test_stages_take_awkward_rows(spark, awkward, stage):
     docs = awkward.selectExpr("doc_id", "text", "cast(null AS string) AS lang", "source", "cast(1 AS bigint) AS n_chars")
     for frame in (docs, docs.limit(0)):
         stage(spark, frame, TABLES).collect()
+
+
+def test_texts_of_a_repeated_id_are_judged_by_themselves(spark):
+    import random
+
+    rng = random.Random(8)
+    texts = {name: [f"{name}{rng.randrange(900)}" for _ in range(120)] for name in "ABCD"}
+    near = [*texts["A"][:-1], "else"]
+    rows = [(3, "B"), (7, "A"), (7, "B"), (9, "near A"), (20, "C"), (20, "D"), (None, "C"), (None, "C"), (4, None), (4, None)]
+    words = {**texts, "near A": near}
+    docs = spark.createDataFrame(
+        [(i, " ".join(words[t]) if t else None, "s", t) for i, t in rows], "doc_id bigint, text string, `row` string, name string"
+    )
+    kept = pipeline.near_dedup(spark, docs.repartition(3), "")
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.name) for r in kept.collect()), key=str)
+    expected = [(3, "B"), (7, "A"), (20, "C"), (20, "D"), (None, "C"), (None, "C"), (4, None), (4, None)]
+    assert got == sorted(expected, key=str)
