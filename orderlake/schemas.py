@@ -29,40 +29,39 @@ DATASET = "silver_orders"
 
 MONEY_PRICE = T.DecimalType(12, 2)
 MONEY_VALUE = T.DecimalType(14, 2)
+MONEY_TOTAL = T.DecimalType(24, 2)
+STRING, BINARY, INT, LONG = T.StringType(), T.BinaryType(), T.IntegerType(), T.LongType()
+DOUBLE, DATE, TIMESTAMP = T.DoubleType(), T.DateType(), T.TimestampType()
+TEXT_MAP = T.MapType(STRING, STRING)
 
-
-_TYPES = {
-    "string": T.StringType(),
-    "binary": T.BinaryType(),
-    "int": T.IntegerType(),
-    "bigint": T.LongType(),
-    "double": T.DoubleType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-    "price": MONEY_PRICE,
-    "money": MONEY_VALUE,
-    "total": T.DecimalType(24, 2),
-    "map": T.MapType(T.StringType(), T.StringType()),
-}
-
-
-def _struct(columns: str) -> T.StructType:
-    """Nullable columns from ``"name type, name type"`` (DDL parsing would need a session)."""
-    pairs = (column.split() for column in columns.split(","))
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
-
-
-ORDER_EVENT = _struct(
-    "schema_version int, event_id string, event_type string, event_timestamp string, "
-    "order_id string, customer_id string, product_id string, category string, "
-    "quantity int, unit_price double, currency string"
+ORDER_EVENT = T.StructType(
+    [
+        T.StructField("schema_version", INT),
+        T.StructField("event_id", STRING),
+        T.StructField("event_type", STRING),
+        T.StructField("event_timestamp", STRING),
+        T.StructField("order_id", STRING),
+        T.StructField("customer_id", STRING),
+        T.StructField("product_id", STRING),
+        T.StructField("category", STRING),
+        T.StructField("quantity", INT),
+        T.StructField("unit_price", DOUBLE),
+        T.StructField("currency", STRING),
+    ]
 )
 
 # What the console tail shows: the event before versioning, no validation.
 TAIL_EVENT = T.StructType([f for f in ORDER_EVENT if f.name != "schema_version"])
 
-MESSAGE = _struct(
-    "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
+MESSAGE = T.StructType(
+    [
+        T.StructField("key", BINARY),
+        T.StructField("value", BINARY),
+        T.StructField("topic", STRING),
+        T.StructField("partition", INT),
+        T.StructField("offset", LONG),
+        T.StructField("timestamp", TIMESTAMP),
+    ]
 )
 
 # A message as the topic gives it, with its headers; most have none.
@@ -71,109 +70,278 @@ HEADED_MESSAGE = T.StructType(
         *MESSAGE.fields,
         T.StructField(
             "headers",
-            T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType())])),
+            T.ArrayType(T.StructType([T.StructField("key", STRING), T.StructField("value", BINARY)])),
         ),
     ]
 )
 
-BRONZE = _struct(
-    "kafka_key string, raw_payload string, topic string, partition int, offset bigint, "
-    "kafka_timestamp timestamp, ingested_at timestamp, ingestion_date date"
+BRONZE = T.StructType(
+    [
+        T.StructField("kafka_key", STRING),
+        T.StructField("raw_payload", STRING),
+        T.StructField("topic", STRING),
+        T.StructField("partition", INT),
+        T.StructField("offset", LONG),
+        T.StructField("kafka_timestamp", TIMESTAMP),
+        T.StructField("ingested_at", TIMESTAMP),
+        T.StructField("ingestion_date", DATE),
+    ]
 )
 
 # ingestion_hour is written as two digits and read back as a number.
-SILVER = _struct(
-    "event_id string, event_type string, event_timestamp timestamp, event_date date, "
-    "order_id string, customer_id string, product_id string, category string, "
-    "quantity int, unit_price double, order_value double, currency string, "
-    "kafka_key string, topic string, partition int, offset bigint, "
-    "kafka_timestamp timestamp, ingested_at timestamp, ingestion_date date, ingestion_hour int"
+SILVER = T.StructType(
+    [
+        T.StructField("event_id", STRING),
+        T.StructField("event_type", STRING),
+        T.StructField("event_timestamp", TIMESTAMP),
+        T.StructField("event_date", DATE),
+        T.StructField("order_id", STRING),
+        T.StructField("customer_id", STRING),
+        T.StructField("product_id", STRING),
+        T.StructField("category", STRING),
+        T.StructField("quantity", INT),
+        T.StructField("unit_price", DOUBLE),
+        T.StructField("order_value", DOUBLE),
+        T.StructField("currency", STRING),
+        T.StructField("kafka_key", STRING),
+        T.StructField("topic", STRING),
+        T.StructField("partition", INT),
+        T.StructField("offset", LONG),
+        T.StructField("kafka_timestamp", TIMESTAMP),
+        T.StructField("ingested_at", TIMESTAMP),
+        T.StructField("ingestion_date", DATE),
+        T.StructField("ingestion_hour", INT),
+    ]
 )
 
-QUARANTINE = _struct(
-    "raw_payload string, schema_version int, contract_error string, validation_error string, "
-    "topic string, partition int, offset bigint, kafka_timestamp timestamp, ingested_at timestamp"
+QUARANTINE = T.StructType(
+    [
+        T.StructField("raw_payload", STRING),
+        T.StructField("schema_version", INT),
+        T.StructField("contract_error", STRING),
+        T.StructField("validation_error", STRING),
+        T.StructField("topic", STRING),
+        T.StructField("partition", INT),
+        T.StructField("offset", LONG),
+        T.StructField("kafka_timestamp", TIMESTAMP),
+        T.StructField("ingested_at", TIMESTAMP),
+    ]
 )
 
-RAW_ORDERS = _struct(
-    "event_id string, event_type string, event_timestamp timestamp, event_date date, "
-    "order_id string, customer_id string, product_id string, category string, "
-    "quantity int, unit_price price, order_value money, currency string, "
-    "kafka_key string, kafka_topic string, kafka_partition int, kafka_offset bigint, "
-    "kafka_timestamp timestamp, ingested_at timestamp, loaded_at timestamp"
+RAW_ORDERS = T.StructType(
+    [
+        T.StructField("event_id", STRING),
+        T.StructField("event_type", STRING),
+        T.StructField("event_timestamp", TIMESTAMP),
+        T.StructField("event_date", DATE),
+        T.StructField("order_id", STRING),
+        T.StructField("customer_id", STRING),
+        T.StructField("product_id", STRING),
+        T.StructField("category", STRING),
+        T.StructField("quantity", INT),
+        T.StructField("unit_price", MONEY_PRICE),
+        T.StructField("order_value", MONEY_VALUE),
+        T.StructField("currency", STRING),
+        T.StructField("kafka_key", STRING),
+        T.StructField("kafka_topic", STRING),
+        T.StructField("kafka_partition", INT),
+        T.StructField("kafka_offset", LONG),
+        T.StructField("kafka_timestamp", TIMESTAMP),
+        T.StructField("ingested_at", TIMESTAMP),
+        T.StructField("loaded_at", TIMESTAMP),
+    ]
 )
 
-FACT_ORDERS = _struct(
-    "event_id string, order_id string, customer_id string, product_id string, "
-    "ordered_at timestamp, event_date date, category string, quantity int, "
-    "unit_price price, order_value money, currency string, loaded_at timestamp"
+FACT_ORDERS = T.StructType(
+    [
+        T.StructField("event_id", STRING),
+        T.StructField("order_id", STRING),
+        T.StructField("customer_id", STRING),
+        T.StructField("product_id", STRING),
+        T.StructField("ordered_at", TIMESTAMP),
+        T.StructField("event_date", DATE),
+        T.StructField("category", STRING),
+        T.StructField("quantity", INT),
+        T.StructField("unit_price", MONEY_PRICE),
+        T.StructField("order_value", MONEY_VALUE),
+        T.StructField("currency", STRING),
+        T.StructField("loaded_at", TIMESTAMP),
+    ]
 )
 
-DAILY_SALES = _struct(
-    "event_date date, order_count bigint, units_sold bigint, "
-    "gross_revenue total, average_order_value money"
+DAILY_SALES = T.StructType(
+    [
+        T.StructField("event_date", DATE),
+        T.StructField("order_count", LONG),
+        T.StructField("units_sold", LONG),
+        T.StructField("gross_revenue", MONEY_TOTAL),
+        T.StructField("average_order_value", MONEY_VALUE),
+    ]
 )
 
 # What the daily sales are worked out from; sums that rows can be taken out of again.
-DAILY_TOTALS = _struct(
-    "event_date date, order_count bigint, units_sold bigint, with_units bigint, total total, valued bigint"
+DAILY_TOTALS = T.StructType(
+    [
+        T.StructField("event_date", DATE),
+        T.StructField("order_count", LONG),
+        T.StructField("units_sold", LONG),
+        T.StructField("with_units", LONG),
+        T.StructField("total", MONEY_TOTAL),
+        T.StructField("valued", LONG),
+    ]
 )
 
-LOADED_FILES = _struct(
-    "file_path string, dataset_name string, ingestion_date date, ingestion_hour int, "
-    "row_count bigint, loaded_at timestamp"
+LOADED_FILES = T.StructType(
+    [
+        T.StructField("file_path", STRING),
+        T.StructField("dataset_name", STRING),
+        T.StructField("ingestion_date", DATE),
+        T.StructField("ingestion_hour", INT),
+        T.StructField("row_count", LONG),
+        T.StructField("loaded_at", TIMESTAMP),
+    ]
 )
 
-SILVER_EVENTS = _struct("event_id string")
-COUNTED_FILES = _struct("file_path string, row_count bigint")
+SILVER_EVENTS = T.StructType(
+    [
+        T.StructField("event_id", STRING),
+    ]
+)
+COUNTED_FILES = T.StructType(
+    [
+        T.StructField("file_path", STRING),
+        T.StructField("row_count", LONG),
+    ]
+)
 
-WATERMARKS = _struct(
-    "dataset_name string, watermark_date date, watermark_hour int, updated_at timestamp"
+WATERMARKS = T.StructType(
+    [
+        T.StructField("dataset_name", STRING),
+        T.StructField("watermark_date", DATE),
+        T.StructField("watermark_hour", INT),
+        T.StructField("updated_at", TIMESTAMP),
+    ]
 )
 
-METRICS = _struct(
-    "metric_id string, recorded_at timestamp, bronze_rows bigint, silver_rows bigint, "
-    "silver_unique_events bigint, quarantine_rows bigint, raw_orders bigint, "
-    "fact_orders bigint, gold_order_count bigint, latest_loaded_at timestamp, "
-    "status string, details string"
+METRICS = T.StructType(
+    [
+        T.StructField("metric_id", STRING),
+        T.StructField("recorded_at", TIMESTAMP),
+        T.StructField("bronze_rows", LONG),
+        T.StructField("silver_rows", LONG),
+        T.StructField("silver_unique_events", LONG),
+        T.StructField("quarantine_rows", LONG),
+        T.StructField("raw_orders", LONG),
+        T.StructField("fact_orders", LONG),
+        T.StructField("gold_order_count", LONG),
+        T.StructField("latest_loaded_at", TIMESTAMP),
+        T.StructField("status", STRING),
+        T.StructField("details", STRING),
+    ]
 )
 
-RUN_COLUMNS = _struct(
-    "loader_files_discovered bigint, loader_files_skipped bigint, loader_files_loaded bigint, "
-    "loader_rows_processed bigint, loader_rows_inserted bigint, loader_duplicates bigint, "
-    "dbt_status string, health_status string, raw_orders bigint, latest_load timestamp, "
-    "status string, error_message string, finished_at timestamp"
+RUN_COLUMNS = T.StructType(
+    [
+        T.StructField("loader_files_discovered", LONG),
+        T.StructField("loader_files_skipped", LONG),
+        T.StructField("loader_files_loaded", LONG),
+        T.StructField("loader_rows_processed", LONG),
+        T.StructField("loader_rows_inserted", LONG),
+        T.StructField("loader_duplicates", LONG),
+        T.StructField("dbt_status", STRING),
+        T.StructField("health_status", STRING),
+        T.StructField("raw_orders", LONG),
+        T.StructField("latest_load", TIMESTAMP),
+        T.StructField("status", STRING),
+        T.StructField("error_message", STRING),
+        T.StructField("finished_at", TIMESTAMP),
+    ]
 )
 RUN_EVENTS = T.StructType(
-    _struct("run_id string, event string, event_at timestamp").fields + RUN_COLUMNS.fields
+    [
+        T.StructField("run_id", STRING),
+        T.StructField("event", STRING),
+        T.StructField("event_at", TIMESTAMP),
+        *RUN_COLUMNS.fields,
+    ]
 )
 
-INCIDENTS = _struct(
-    "incident_id string, incident_type string, severity string, details string, "
-    "opened_at timestamp, resolved_at timestamp, opened_by_run_id string, "
-    "resolved_by_run_id string, alert_sent_at timestamp, recovery_sent_at timestamp, "
-    "transition string, changed_at timestamp"
+INCIDENTS = T.StructType(
+    [
+        T.StructField("incident_id", STRING),
+        T.StructField("incident_type", STRING),
+        T.StructField("severity", STRING),
+        T.StructField("details", STRING),
+        T.StructField("opened_at", TIMESTAMP),
+        T.StructField("resolved_at", TIMESTAMP),
+        T.StructField("opened_by_run_id", STRING),
+        T.StructField("resolved_by_run_id", STRING),
+        T.StructField("alert_sent_at", TIMESTAMP),
+        T.StructField("recovery_sent_at", TIMESTAMP),
+        T.StructField("transition", STRING),
+        T.StructField("changed_at", TIMESTAMP),
+    ]
 )
 
 # A stamp per notice that went out: of an opened incident (ALERT) or a resolved one (RECOVERY).
-NOTICE_STAMPS = _struct("incident_id string, notice string, sent_at timestamp")
+NOTICE_STAMPS = T.StructType(
+    [
+        T.StructField("incident_id", STRING),
+        T.StructField("notice", STRING),
+        T.StructField("sent_at", TIMESTAMP),
+    ]
+)
 
-REPAIR_REQUESTS = _struct("event_id string, corrections map")
+REPAIR_REQUESTS = T.StructType(
+    [
+        T.StructField("event_id", STRING),
+        T.StructField("corrections", TEXT_MAP),
+    ]
+)
 
-AUDIT = _struct(
-    "reprocessing_id string, event_id string, order_id string, original_contract_error string, "
-    "original_validation_error string, original_kafka_timestamp timestamp, corrections string, "
-    "action string, status string, republished_topic string, republished_partition int, "
-    "republished_offset bigint, error_message string, created_at timestamp"
+AUDIT = T.StructType(
+    [
+        T.StructField("reprocessing_id", STRING),
+        T.StructField("event_id", STRING),
+        T.StructField("order_id", STRING),
+        T.StructField("original_contract_error", STRING),
+        T.StructField("original_validation_error", STRING),
+        T.StructField("original_kafka_timestamp", TIMESTAMP),
+        T.StructField("corrections", STRING),
+        T.StructField("action", STRING),
+        T.StructField("status", STRING),
+        T.StructField("republished_topic", STRING),
+        T.StructField("republished_partition", INT),
+        T.StructField("republished_offset", LONG),
+        T.StructField("error_message", STRING),
+        T.StructField("created_at", TIMESTAMP),
+    ]
 )
 
-POSITIONS = _struct(
-    "reprocessing_id string, republished_topic string, republished_partition int, republished_offset bigint"
+POSITIONS = T.StructType(
+    [
+        T.StructField("reprocessing_id", STRING),
+        T.StructField("republished_topic", STRING),
+        T.StructField("republished_partition", INT),
+        T.StructField("republished_offset", LONG),
+    ]
 )
 
-ORDER_KEY_MAP = _struct("event_id string, old_order_id string, new_order_id string")
-ORDER_KEY_REPAIRS = _struct(
-    "event_id string, old_order_id string, new_order_id string, outcome string, applied_at timestamp"
+ORDER_KEY_MAP = T.StructType(
+    [
+        T.StructField("event_id", STRING),
+        T.StructField("old_order_id", STRING),
+        T.StructField("new_order_id", STRING),
+    ]
+)
+ORDER_KEY_REPAIRS = T.StructType(
+    [
+        T.StructField("event_id", STRING),
+        T.StructField("old_order_id", STRING),
+        T.StructField("new_order_id", STRING),
+        T.StructField("outcome", STRING),
+        T.StructField("applied_at", TIMESTAMP),
+    ]
 )
 
 # ---------------------------------------------------------------------------
