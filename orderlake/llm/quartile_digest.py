@@ -4,8 +4,9 @@ The byte triplets of every five-byte window are hashed into 128 buckets and coun
 quartile of the counts it lies, and a head keeps the logarithm of the length and two ratios of the quartiles. Digests
 are compared by a difference score with a bound; likeness is one minus the score over the bound.
 
-Null or empty text, or one of fewer than five bytes: no triplets, all buckets in the lowest quartile. Equal texts have
-equal digests. Existing columns of the added names are replaced.
+Null or empty text: no triplets, all buckets in the lowest quartile. A text of one to four bytes has no triplets either:
+its buckets hold a hash of it, so that it is like its equals and hardly like any other. Equal texts have equal digests.
+Ids are integers or text that reads as integers. Existing columns of the added names are replaced.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm.frames import extended, with_columns, without
-from orderlake.llm.text import column_bytes, slices
+from orderlake.llm.text import column_bytes, mix, slices
 
 BUCKETS = 128
 # Offsets in a window of the second and third byte of each triplet; the first byte is the window's own.
@@ -75,6 +76,16 @@ def digests(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     out[:, 2] = (q2 * 15) // np.maximum(q3, 1)
     for q in (q1, q2, q3):
         out[:, 3:] += counts > q[:, None]
+    size = np.diff(offsets)
+    short = np.flatnonzero((size > 0) & (size < _WINDOW))
+    if len(short):
+        value = size[short].astype(np.uint64)
+        for j in range(_WINDOW - 1):
+            byte = data[np.minimum(offsets[short] + j, len(data) - 1)].astype(np.uint64)
+            value = value * np.uint64(256) + np.where(j < size[short], byte, np.uint64(0))
+        words = mix(value[:, None] * np.uint64(4) + np.arange(4, dtype=np.uint64))
+        digits = words[:, :, None] >> np.arange(0, 64, 2, dtype=np.uint64) & np.uint64(3)
+        out[short, 3:] = digits.reshape(len(short), BUCKETS)
     return out
 
 

@@ -72,3 +72,12 @@ def test_neighbours(spark, corpus, awkward, parts):
 def test_fingerprints_of_a_frame(awkward):
     rows = q.fingerprint(awkward).collect()
     assert [r.fingerprint for r in rows] == q.to_hex(rows_of([r.text or "" for r in rows]))
+
+
+def test_texts_without_triplets_are_like_their_equals_only():
+    texts = [b"", b"a", b"ab", b"cd", b"abc", b"ab", b"abcd", b"a\x00", b"", "é".encode(), b"abcde" * 9]
+    rows = q.digests(*q._joined(texts))
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts):
+            score = float(q.likeness(rows[i : i + 1], rows[j : j + 1])[0])
+            assert (score == 1.0) == (a == b) and (a == b or score < 0.6), (a, b, score)
