@@ -7,11 +7,12 @@ earliest point of each component wins. Points are made in rounds and a text is d
 than the latest winner. Two texts agree in a component with the probability that is their likeness.
 
 1. Equal texts are reduced to their smallest id before anything else (aggregated before the shuffle).
-2. Bands of the signature bring texts together. In the first round each member of a band meets the member of smallest
-   id only; links, verified on the texts, make classes by the smallest id that can be reached.
-3. A second round looks at bands whose members still belong to different classes, and only across classes. In bands
-   of at most ``SMALL`` members all of these meet; in larger ones all members meet ``LEADERS`` members drawn by hashes,
-   others in each band. In larger bands both rounds only make classes fewer before the next step.
+2. Bands of the signature bring texts together. The first few are dealt first: each member of a band meets the member of
+   smallest id; links, verified on the texts, make classes by the smallest id that can be reached. Most of a large group
+   is one class by then, and its other bands make no pairs.
+3. The next round looks at all bands whose members still belong to different classes. In bands of at most ``SMALL``
+   members all meet across classes; in larger ones all members meet ``LEADERS`` members drawn by hashes, others in each
+   band. In larger bands both rounds only make classes fewer before the next step.
 4. Members of larger bands that still hold several classes are searched in full, by prefixes: shingles of a text are
    put in one order, rare ones first, and two texts as alike as the threshold must share one of the first shingles of
    each (those before which less than the missing part of the text lies). Pairs of different classes that do, and
@@ -25,7 +26,8 @@ depends on which leaders were drawn. Classes do not.
 With 32 bands of 4, a pair of likeness 0.8 shares no band with a probability of 5e-8. Every link is verified exactly.
 
 Null or blank text: near nothing; only equal blank texts share a class. Null text or id: a class of its own (null
-``class_id`` for null ids). Rows that repeat an id share its class. Existing columns of the added names are replaced.
+``class_id`` for null ids). Ids are integers or text that reads as integers. Rows that repeat an id share its class, with
+all texts under it; number the rows to have each judged by itself. Existing columns of the added names are replaced.
 """
 
 from __future__ import annotations
@@ -37,14 +39,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.frames import table, without
+from orderlake.llm.frames import privately, table, without
 from orderlake.llm.text import grams, mix, slices, words_of
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 COMPONENTS = BANDS * ROWS
-SMALL = 32  # members of a band of which all pairs across classes are tested at once
-LEADERS = 4  # members drawn in each larger band for all others to meet
+ROUNDS = (4,)  # bands dealt up to the end of each round; the rest is dealt by step 3
+SMALL = 8  # members of a band of which all pairs across classes are tested at once
+LEADERS = 1  # members drawn in each larger band for all others to meet
 FREQUENT = 1 << 18  # shingles whose counts order the others, at most
 SPREAD = 1024  # texts of a shingle that one task compares with all others of it
 
@@ -318,8 +321,14 @@ def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
 def _links(bands: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Verified links of (doc, bands) rows."""
     rows = bands.select("doc", F.explode("bands").alias("band"))
-    tested = table(_candidates(rows.withColumn("label", F.col("doc")), True).distinct(), "pairs")
-    links = table(verified(tested, texts, threshold), "links")
+    tested = links = None
+    for begin, end in zip((0, *ROUNDS), ROUNDS, strict=False):
+        dealt = bands.select("doc", F.explode(F.slice("bands", begin + 1, end - begin)).alias("band"))
+        labelled = dealt.withColumn("label", F.col("doc")) if links is None else _open(dealt, links)
+        pairs = _candidates(labelled, True).distinct()
+        pairs = table(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = table(verified(pairs, texts, threshold), "links")
+        tested, links = (pairs, found) if tested is None else (tested.union(pairs), links.union(found))
     labelled = _open(rows, links)
     across = table(_candidates(labelled, False).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
     links = links.union(table(verified(across, texts, threshold), "links"))
@@ -339,8 +348,9 @@ def near_duplicates(
     """``docs`` with ``class_id`` (smallest id of its class), ``copy_of`` (smallest id with the same text) and
     ``n_links`` (links of that text to others among the pairs that were tested)."""
     added = ("class_id", "copy_of", "n_links")
-    base = without(docs, added)
-    source = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text")).where(
+    base, names, name_of = privately(without(docs, added))
+    key = F.col(name_of(id_col)).cast("bigint")
+    source = base.select(key.alias("doc"), F.col(name_of(text_col)).alias("text")).where(
         "doc IS NOT NULL AND text IS NOT NULL"
     )
     keys = source.select("doc", F.sha2("text", 256).alias("digest"))
@@ -367,10 +377,10 @@ def near_duplicates(
             F.sum(F.coalesce("n", F.lit(0))).alias("n_links"),
         )
     )
-    key = F.col(id_col).cast("bigint")
-    return base.join(result, key == F.col("_doc"), "left").select(
-        *base.columns,
+    joined = base.join(result, key == F.col("_doc"), "left").select(
+        *names,
         F.coalesce("class_id", key).alias("class_id"),
         F.coalesce("copy_of", key).alias("copy_of"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
+    return joined.toDF(*without(docs, added).columns, *added)
