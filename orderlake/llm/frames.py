@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from orderlake.llm.text import slices
@@ -71,11 +70,25 @@ def appended(
     return df.toDF(*names).mapInArrow(run, schema).toDF(*[f.name for f in out_fields])
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: its lineage ends there, and lost executors do not matter."""
+#: Whether Spark deletes the shuffle files of a query when it ends, and not some time after its plan is garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def table(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back: its lineage ends there, and lost executors do not matter.
+
+    ``release`` gives back the disk of its shuffles at once: for large ones that more large ones follow.
+    """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    if release:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if release:
+            spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -86,12 +99,3 @@ def drop_table(df: DataFrame) -> None:
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Let go of the disk of shuffles that no plan needs any more.
-
-    Their files are deleted once the driver has collected the plans as garbage, which a driver with little to do puts off.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

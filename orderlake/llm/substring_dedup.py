@@ -343,6 +343,7 @@ def _repeats(known: DataFrame, window: int, hot: int) -> DataFrame:
             F.collect_list(F.when(F.col("is_hot"), F.col("key"))).alias("hot_keys"),
         ),
         "anchors",
+        release=True,
     )
     # Other columns come along unread: so this is the very shuffle that the last join reads, and is written once.
     others = [c for c in known.columns if c.startswith("_other")]
