@@ -43,6 +43,8 @@ SMOOTH = 0.1
 LARGEST = 70.0
 FLUSH_TOKENS = 4_000_000
 END = mix(np.array([0x656E64]))[0]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _PARAMETERS = (("context", (CONTEXT, DIMENSION)), ("inputs", (UNITS + 1, DIMENSION)),
                ("outputs", (UNITS, DIMENSION)), ("bias", (UNITS,)))
 
@@ -60,7 +62,8 @@ def tokens_of(column: pa.Array) -> Tokens:
     words: Words = words_of(column, lower=True)
     data, last = words.data, words.ends - 1
     before = np.maximum(last - 1, words.starts)
-    tail = data[before].astype(np.uint64) * np.uint64(256) + data[last] if len(last) else np.zeros(0, np.uint64)
+    # Of the lowered word: a token has one group, however its occurrences are spelled.
+    tail = _LOWER[data[before]].astype(np.uint64) * np.uint64(256) + _LOWER[data[last]]
     groups = (mix(tail) % np.uint64(SHARED)).astype(np.int32)
     at = words.first[1:]
     return Tokens(np.insert(words.hashes, at, END), np.insert(groups, at, 0), words.first + np.arange(len(at) + 1))

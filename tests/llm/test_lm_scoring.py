@@ -90,6 +90,19 @@ def test_only_ascii_is_lowered():
     assert got[0, 0] == got[1, 0] and got[0, 1] != got[1, 1] and got[0, 1] == got[2, 1]
 
 
+def test_spellings_of_a_word_are_one_token(spark, monkeypatch):
+    rows = [(i, w) for i, w in enumerate(["ABC x", "abc X", "Abc", "aBC q", "abC", "éB Z", "éb z", "B", "b", "new"] * 4)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    counts = lm.count_tokens(frame.select("text"))
+    assert counts.count() == counts.select("token").distinct().count() == 8
+    expected, total = base(rows)
+    for front in (1 << 18, 0):  # without a front all counts come through the join
+        monkeypatch.setattr(lm, "FRONT", front)
+        got = lm.train_and_score(frame).orderBy("doc_id").collect()
+        assert [(r.n_tokens, r.n_known) for r in got] == [(n, k) for n, k, _ in expected]
+        assert [r.base_score for r in got] == pytest.approx([s for _, _, s in expected], rel=1e-9)
+
+
 def test_held_out_text_scores_above_the_base(spark):
     lines = ["red blue green yellow", "un deux trois quatre"]
     rows = [(i, " ".join([lines[i % 2]] * 40)) for i in range(200)]
