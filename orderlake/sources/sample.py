@@ -81,7 +81,8 @@ CASE WHEN l_orderkey % 29 = {NOT_JSON} THEN 'not json' ELSE concat(
 """
 
 _INGESTED = """
-cast(l_shipdate AS timestamp) + make_dt_interval(0, dayofmonth(l_shipdate) % 24, 0, l_suppkey % 60)
+timestamp_micros(unix_micros(cast(l_shipdate AS timestamp))
+  + (dayofmonth(l_shipdate) % 24 * 3600L + l_suppkey % 60) * 1000000L)
 """
 
 _OFFSET = "((l_partkey * 100000 + l_suppkey) * 8 + l_linenumber) * 1000 + l_orderkey % 1000"

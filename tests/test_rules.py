@@ -1,9 +1,13 @@
 """Contract and quality rules, lenient (the stream) and strict (remediation)."""
 
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
-from builders import event
-from orderlake.functions.rules import contract_rules, quality_rules
+from builders import BASE_EVENT, event
+from orderlake import schemas as S
+from orderlake.functions.rules import contract_rules, payload_parses, quality_rules
 from orderlake.operators.reconcile import compare_cases
 
 QUALITY_CASES = {
@@ -116,3 +120,27 @@ def test_parity_of_cases(spark, judge_payloads):
     actual = spark.createDataFrame([(n, q) for n, (_, q) in zip(names, got)], schema)
     rows = compare_cases(expected, actual, "case", "code").collect()
     assert {r["case"] for r in rows if not r.matches} == {"only here"}
+
+
+def test_missing_keys_are_found_whichever_parse_answers(spark):
+    """The short answer for payloads that plainly hold each key once agrees with looking every key up."""
+    plain = json.dumps({**BASE_EVENT, "customer_id": "C"}, separators=(",", ":"))
+    body = plain[1:-1]
+    payloads = [
+        plain, json.dumps(BASE_EVENT), plain.replace(",", ", "), plain.replace(":", " :"), f"{plain} tail", plain[:-1],
+        f'{{"event_id":null,{body}}}', f'{{"event_id" :null,{body}}}', f'{{"event_id"\t:null,{body}}}',
+        f'{{"event\\u005fid":null,{body}}}', f"{{'event_id':null,{body}}}", f'{{{body},"event_id":null}}',
+        plain.replace('"customer_id":"C"', '"event_id" : null'), plain.replace('"customer_id":"C",', ""),
+        f'{{{body},"more":{{"event_id":null}}}}', plain.replace('"C"', '":"'), plain.replace('"C"', '"it\'s"'),
+        f'{{"currency":null,{plain.replace(chr(34) + "customer_id" + chr(34) + ":" + chr(34) + "C" + chr(34) + ",", "")[1:]}',
+        *(json.dumps({**BASE_EVENT, k: v}, separators=(",", ":")) for k in BASE_EVENT for v in (None, 5, {"a": 1})),
+        *(json.dumps({n: v for n, v in BASE_EVENT.items() if n != k}) for k in BASE_EVENT), "", "{}", "[]", "null", None,
+    ]
+    names = ", ".join(f"'{n}'" for n in ("schema_version", *S.REQUIRED_FIELDS))
+    rows = spark.createDataFrame([(p,) for p in payloads], "p string").repartition(1)
+    found = rows.select("p", F.inline(payload_parses("p"))).select("p", "unreadable", "first_missing")
+    each = rows.selectExpr("p", "from_json(p, 'map<string,string>') AS m").selectExpr(
+        "p", "m IS NULL AS unreadable",
+        f"get(filter(array({names}), name -> try_element_at(m, name) IS NULL), 0) AS first_missing",
+    )
+    assert sorted(found.collect(), key=repr) == sorted(each.collect(), key=repr)
