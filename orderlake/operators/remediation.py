@@ -60,15 +60,19 @@ def correction_value(text: Column) -> Column:
 
 def last_of_each_key(fields: Column) -> Column:
     """A parsed payload without repeated keys; the last one counts. Most payloads repeat none and stay as they are."""
-    entries = F.map_entries(fields)
-    last = F.map_from_entries(
-        F.filter(
-            entries,
-            lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]),
+
+    def once(parsed: Column) -> Column:
+        entries = F.map_entries(parsed)
+        last = F.map_from_entries(
+            F.filter(
+                entries,
+                lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]),
+            )
         )
-    )
-    keys = F.map_keys(fields)
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), fields).otherwise(last)
+        keys = F.map_keys(parsed)
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), parsed).otherwise(last)
+
+    return F.get(F.transform(F.array(fields), once), F.lit(0))  # bound, so that it is parsed once
 
 
 def overlay(payload: Column, corrections: Column) -> Column:
@@ -143,11 +147,14 @@ def repair_payloads(matched: DataFrame, strict: bool = True) -> DataFrame:
     parsed = rewritten.select("*", F.inline(payload_parses("repaired_payload", tokens=True)))
     # The request moves into a struct: the rules read the event's columns by name.
     request = f"struct({', '.join(rewritten.columns)}) AS request"
-    judged = parsed.selectExpr(request, "unreadable", "first_missing", "tokens", *EVENT_COLUMNS).select(
-        "*",
+    # A generator again: filters on the outcome would repeat all rules.
+    errors = F.struct(
         first_failure(contract_rules()).alias("new_contract_error"),
         first_failure(quality_rules(strict)).alias("new_quality_error"),
     )
+    judged = parsed.selectExpr(request, "unreadable", "first_missing", "tokens", *EVENT_COLUMNS).select(
+        "request", "order_id", F.inline(F.array(errors))
+    )
     outcome = (
         F.when(F.col("request.same_event") > 1, DUPLICATE_REQUEST)
         .when(F.col("request.matches") == 0, NOT_FOUND)
