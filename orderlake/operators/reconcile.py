@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlake.session import stage
+
 _MESSAGE_KEY = ("topic", "partition", "offset")
 
 
@@ -93,14 +97,16 @@ def route_check_by_runs(bronze: DataFrame, silver: DataFrame, quarantine: DataFr
     for name, frame in layers.items():
         part = offset_runs(frame).withColumn("layer", F.lit(name))
         runs = part if runs is None else runs.unionByName(part)
-    runs = runs.where("first IS NOT NULL")
+    # Written: the runs are read several times, and each time all layers would be sorted again.
+    runs = stage(runs.where("first IS NOT NULL"), f"runs-{uuid.uuid4().hex}")
     mixed = runs.where("rows <> last - first + 1").select(*_PLACE).distinct()
     clean = runs.join(mixed, list(_PLACE), "left_anti")
     opened = [F.when(F.col("layer") == name, 1).otherwise(0).alias(name) for name in _LAYERS]
     closed = [F.when(F.col("layer") == name, -1).otherwise(0).alias(name) for name in _LAYERS]
-    ends = clean.select(*_PLACE, F.col("first").alias("at"), *opened).unionByName(
-        clean.select(*_PLACE, (F.col("last") + 1).alias("at"), *closed)
+    both_ends = F.array(
+        F.struct(F.col("first").alias("at"), *opened), F.struct((F.col("last") + 1).alias("at"), *closed)
     )
+    ends = clean.select(*_PLACE, F.inline(both_ends))
     ends = ends.groupBy(*_PLACE, "at").agg(*[F.sum(name).alias(name) for name in _LAYERS])
     by_place = Window.partitionBy(*_PLACE).orderBy("at")
     stretches = ends.select(
