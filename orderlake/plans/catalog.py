@@ -253,8 +253,9 @@ def silver_files(log: DeliveryLog) -> DataFrame:
 
 def loaded_files(log: DeliveryLog) -> DataFrame:
     """Entries a backfill adds to the file ledger."""
-    rows = log.stored_silver
-    files = select_files(list_files(rows), WINDOWS[BACKFILL], _file_ledger(rows))
+    # A file lies in one partition: the listing holds what the ledger lists of the partitions loaded before.
+    listed = log._stored("files", list_files(log.silver))
+    files = select_files(listed, WINDOWS[BACKFILL], listed.where(_is_loaded()))
     return files.where("selected AND NOT loaded_before").select(
         "file_path", F.lit(S.DATASET).alias("dataset_name"), "ingestion_date", "ingestion_hour", "row_count"
     )
