@@ -23,7 +23,7 @@ from orderlake.operators.windows import BACKFILL, NORMAL, REPLAY, LoadWindow, li
 from orderlake.plans.load import count_load
 from orderlake.plans.models import build_daily_sales, build_fact, fact_rows, newer_than_fact, stage_orders
 from orderlake.session import pin_utc, scratch_root, stage
-from orderlake.sources import sample
+from orderlake.sources import files, sample
 from orderlake.sources.tables import Paths, read_bronze, read_quarantine, read_silver
 from orderlake.streaming.lake import start_lake
 
@@ -706,8 +706,7 @@ def stream_equals_batch(log: DeliveryLog) -> DataFrame:
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     paths = Paths(f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}")
     source = spark.readStream.schema(lineitem.schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
-    # Rows of a day go to one task, so that each of some 2,500 days is one file of a layer and not one a task.
-    topic = sample.messages(source.repartition("l_shipdate"))
+    topic = sample.messages(sample.by_day(source, files.size(spark, f"{sf_dir}/lineitem.parquet")))
     for query in start_lake(topic, paths, {"availableNow": True}, sample.ingest_time()):
         query.awaitTermination()
     bronze_rows = log.bronze

@@ -28,7 +28,7 @@ from orderlake.plans.load import absent_events, run_load
 from orderlake.plans.models import daily_sales, refresh_daily_sales, refresh_fact
 from orderlake.plans.repairs import carry_order_ids
 from orderlake.session import scratch_root, stage
-from orderlake.sources import sample
+from orderlake.sources import files, sample
 from orderlake.sources.tables import (
     Paths,
     fct_orders,
@@ -187,11 +187,16 @@ def incident_constraints(log: DeliveryLog) -> DataFrame:
 # --- the streamed lake ---------------------------------------------------------------
 
 
+def _deliver(log: DeliveryLog, rows: DataFrame, folder: str) -> None:
+    """Add rows of the table to a topic's folder, each day in one file: the streams that read it need no shuffle."""
+    table = f"{log.sf_dir}/lineitem.parquet"
+    sample.by_day(rows, files.size(log.spark, table)).write.mode("append").parquet(folder)
+
+
 def _topic(log: DeliveryLog, folder: str) -> DataFrame:
-    """The table's deliveries as a stream; rows of a day in one task, so that a day is one file of a layer."""
+    """The deliveries of a topic's folder as a stream."""
     schema = log.spark.read.parquet(f"{log.sf_dir}/lineitem.parquet").schema
-    source = log.spark.readStream.schema(schema).parquet(folder)
-    return sample.messages(source.repartition("l_shipdate"))
+    return sample.messages(log.spark.readStream.schema(schema).parquet(folder))
 
 
 def streamed_loads(log: DeliveryLog) -> DataFrame:
@@ -201,7 +206,7 @@ def streamed_loads(log: DeliveryLog) -> DataFrame:
     window = {"load-1": load_window(), "load-2": load_window(BACKFILL, start="1900-01-01T00", end="2100-01-01T00")}
     counts = []
     for half, load in enumerate(window):
-        table.where(F.col("l_orderkey") % 2 == half).write.mode("append").parquet(f"{paths.root}/topic")
+        _deliver(log, table.where(F.col("l_orderkey") % 2 == half), f"{paths.root}/topic")
         for query in start_lake(_topic(log, f"{paths.root}/topic"), paths, {"availableNow": True}, sample.ingest_time()):
             query.awaitTermination()
         done = run_load(log.spark, paths, window[load], load, CHECKED_AT)
@@ -216,7 +221,7 @@ def committed_batches(log: DeliveryLog) -> DataFrame:
     """Rows per layer and day that readers of a single-pass lake see while a second batch is half written."""
     paths = _own_paths(log, "single")
     table = log.spark.read.parquet(f"{log.sf_dir}/lineitem.parquet")
-    table.write.parquet(f"{paths.root}/topic")
+    _deliver(log, table, f"{paths.root}/topic")
     start_lake_single_pass(
         _topic(log, f"{paths.root}/topic"), paths, {"availableNow": True}, sample.ingest_time()
     ).awaitTermination()

@@ -19,6 +19,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _store(spark, path).exists(_path(spark, path))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    return _store(spark, path).getContentSummary(_path(spark, path)).getLength()
+
+
 def list_names(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
     """Names in a folder and when each was last changed (ms); none if there is no such folder."""
     if not exists(spark, folder):

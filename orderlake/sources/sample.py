@@ -46,6 +46,7 @@ EXPECTED_CODES = {
 # An offset reads: part (5 more digits: supplier), line, last three digits of the order.
 _OFFSETS_PER_PART = 100_000 * 8 * 1000
 PARTS_PER_FILE = 1000
+BYTES_PER_TASK = 8 << 20  # of the table on disk, some five times as much in a shuffle
 
 
 def read_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +54,12 @@ def read_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*_COLUMNS)
 
 
+def by_day(lineitem: DataFrame, bytes_read: int) -> DataFrame:
+    """Rows of a day in one task, so that a day is one file of a layer; tasks in step with the table's bytes on disk."""
+    tasks = max(int(lineitem.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-bytes_read // BYTES_PER_TASK))
+    return lineitem.repartition(tasks, "l_shipdate")
+
+
 def fault() -> Column:
     return F.col("l_orderkey") % 29
 

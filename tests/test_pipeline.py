@@ -16,6 +16,7 @@ from orderlake.plans.load import current_watermark, run_load
 from orderlake.plans.models import refresh_daily_sales, refresh_fact
 from orderlake.plans.pipeline import HealthDegraded, check_health, read_models, read_runs, register_models, run_pipeline
 from orderlake.plans.repairs import read_audit, record_positions, run_order_key_repair, run_remediation
+from orderlake.sources import sample
 from orderlake.sources.tables import (
     daily_totals,
     fct_orders,
@@ -388,3 +389,12 @@ def test_a_retry_without_rows_replaces_the_earlier_attempt(spark, paths):
     ]
     write_run(frame.limit(0), paths.table("t"), "run_id", "2026-08-19T12:10")
     assert sorted((r.n, r.run_id) for r in read().collect()) == [(1, "other"), (2, "other")]
+
+
+def test_deliveries_are_dealt_by_days_in_step_with_the_table(spark):
+    rows = spark.sql("SELECT date_add(DATE'1996-01-01', cast(id % 300 AS int)) AS l_shipdate FROM range(3000)")
+    for size, tasks in ((0, 4), (40 * sample.BYTES_PER_TASK, 40), (40 * sample.BYTES_PER_TASK + 1, 41)):
+        dealt = sample.by_day(rows, size)
+        assert dealt.rdd.getNumPartitions() == tasks
+        places = dealt.select("l_shipdate", F.spark_partition_id().alias("task")).distinct()
+        assert places.count() == 300
