@@ -111,9 +111,13 @@ class DeliveryLog:
 
     @cached_property
     def raw(self) -> DataFrame:
-        """Raw orders after two loads; the second brought what the first had lost or not seen."""
-        loaded_at = F.when(_is_loaded(), F.lit(FIRST_LOAD)).otherwise(F.lit(SECOND_LOAD))
-        return to_warehouse_row(self.first_rows.withColumn("loaded_at", loaded_at), "loaded_at")
+        return raw_of(self.first_rows)
+
+
+def raw_of(first_rows: DataFrame) -> DataFrame:
+    """Raw orders after two loads; the second brought what the first had lost or not seen."""
+    loaded_at = F.when(_is_loaded(), F.lit(FIRST_LOAD)).otherwise(F.lit(SECOND_LOAD))
+    return to_warehouse_row(first_rows.withColumn("loaded_at", loaded_at), "loaded_at")
 
 
 def bronze_projection(log: DeliveryLog) -> DataFrame:

@@ -73,10 +73,10 @@ def load_into_buckets(log: DeliveryLog) -> DataFrame:
     return _money(added.select("event_id", "order_id", "event_date", "quantity", "order_value", "kafka_offset"), "order_value")
 
 
-def _warehouse(log: DeliveryLog, name: str) -> Paths:
+def _warehouse(log: DeliveryLog, name: str, raw_rows: DataFrame | None = None) -> Paths:
     """Raw orders of two loads, with a build of the fact and the mart after each."""
     paths = _own_paths(log, name)
-    rows = stage(log.raw, f"raw-{uuid.uuid4().hex}")
+    rows = stage(log.raw if raw_rows is None else raw_rows, f"raw-{uuid.uuid4().hex}")
     raw = raw_orders(log.spark, paths)
     for load, at in (("load-1", FIRST_LOAD), ("load-2", SECOND_LOAD)):
         raw.commit(raw.current(), {load: raw.write(rows.where(F.col("loaded_at") == F.lit(at)), load)})
@@ -98,8 +98,10 @@ def mart_by_affected_days(log: DeliveryLog) -> DataFrame:
 
 def applied_order_key_repair(log: DeliveryLog) -> DataFrame:
     """The fact after an order-id repair of rows loaded before, with the orders of its day in the mart."""
-    paths = _warehouse(log, "repaired")
-    report = repair_order_ids(log.silver, catalog._order_key_map(log)).report
+    # Messages are judged once: the loads and the repair read what was stored of Silver.
+    silver = log.stored_silver
+    paths = _warehouse(log, "repaired", catalog.raw_of(first_deliveries(silver, sample.SAMPLE_ORDER)))
+    report = repair_order_ids(silver, catalog._order_key_map(log)).report
     ready = report.where(F.col("outcome") == READY).select("event_id", "new_order_id", "outcome")
     carry_order_ids(log.spark, paths, stage(ready, f"repair-{uuid.uuid4().hex}"))
     orders = daily_sales(log.spark, paths).select("event_date", F.col("order_count").alias("orders_of_day"))

@@ -10,10 +10,12 @@ import __spark_entry__ as entry
 from orderlake import schemas as S
 from orderlake.operators.routing import build_quarantine, build_silver, judge
 from orderlake.operators.windows import list_files, load_window
+from orderlake.plans import catalog, stored
 from orderlake.plans.catalog import QUERIES as ON_FRAMES
 from orderlake.plans.load import rows_of_files
 from orderlake.plans.models import newer_than_fact
 from orderlake.plans.stored import QUERIES as ON_TABLES
+from orderlake.session import stage
 from orderlake.sources.tables import read_table, with_metadata_position
 from tools.check_oracle import compare_ready
 
@@ -93,3 +95,16 @@ def test_increment_is_filtered_in_the_scan(spark, tmp_path):
     scan = plan.rsplit("FileScan parquet [event_id", 1)[1]
     filters = scan.split("DataFilters: [", 1)[1].split("PartitionFilters", 1)[0]
     assert "loaded_at" in filters and "Subquery" in filters
+
+
+def test_applied_order_key_repair_judges_its_messages_once(spark, monkeypatch):
+    judged = []
+
+    def spy(rows, name):
+        judged.append("from_json(" in plan_of(rows))
+        return stage(rows, name)
+
+    for module in (catalog, stored):
+        monkeypatch.setattr(module, "stage", spy)
+    stored.QUERIES["applied_order_key_repair"](spark, TABLES)
+    assert sum(judged) == 1
