@@ -13,7 +13,7 @@ from orderlake.functions.rules import (
     EVENT_COLUMNS,
     contract_rules,
     first_failure,
-    payload_parses,
+    opened_payload,
     quality_rules,
 )
 from orderlake.sources.topic import repair_of_message
@@ -46,9 +46,9 @@ def parse_orders(bronze: DataFrame, strict: bool = False) -> DataFrame:
     it pushes no filter through a generator, so each parse runs once per message.
     """
     transport = [*_TRANSPORT, *(c for c in ("reprocessing_id",) if c in bronze.columns)]
-    opened = bronze.select(*transport, F.inline(payload_parses("raw_payload", tokens=strict)))
-    kept = [*transport, "unreadable", "first_missing", *(["tokens"] if strict else [])]
-    return opened.selectExpr(*[f"`{name}`" for name in kept], *EVENT_COLUMNS)
+    opened = bronze.select(*transport, F.inline(F.expr(opened_payload("raw_payload", tokens=strict))))
+    kept = [*[f"`{name}`" for name in transport], "keys.unreadable", "keys.first_missing", *(["tokens"] if strict else [])]
+    return opened.selectExpr(*kept, *EVENT_COLUMNS)
 
 
 def add_contract_error(parsed: DataFrame) -> DataFrame:

@@ -87,11 +87,13 @@ CASE WHEN l_orderkey % 29 = {NOT_JSON} THEN 'not json' ELSE concat(
   '}}') END
 """
 
+# Microseconds of the ingest time: an interval added to a timestamp goes through the time zone, on every row.
 _INGESTED = """
-timestamp_micros(unix_micros(cast(l_shipdate AS timestamp))
-  + (dayofmonth(l_shipdate) % 24 * 3600L + l_suppkey % 60) * 1000000L)
+unix_micros(cast(l_shipdate AS timestamp)) + (dayofmonth(l_shipdate) % 24 * 3600L + l_suppkey % 60) * 1000000L
 """
 
+_ON_THE_WAY = 30 * 60 * 1_000_000
+
 _OFFSET = "((l_partkey * 100000 + l_suppkey) * 8 + l_linenumber) * 1000 + l_orderkey % 1000"
 
 
@@ -107,21 +109,24 @@ def messages(lineitem: DataFrame) -> DataFrame:
         f"'{S.TOPIC}' AS topic",
         "cast(l_suppkey % 3 AS int) AS `partition`",
         f"{_OFFSET} AS `offset`",
-        f"{_INGESTED} - INTERVAL 30 MINUTES AS timestamp",
+        f"timestamp_micros({_INGESTED} - {_ON_THE_WAY}) AS timestamp",
     )
 
 
 def ingest_time() -> Column:
     """Ingest time of a derived message, over a frame of messages."""
-    return F.expr("timestamp + INTERVAL 30 MINUTES")
+    return F.expr(f"timestamp_micros(unix_micros(timestamp) + {_ON_THE_WAY})")
+
+
+# The file of a delivery within its hour.
+FILE_NUMBER = f"lpad(`offset` div {_OFFSETS_PER_PART * PARTS_PER_FILE}, 5, '0')"
 
 
 def with_file_position(silver: DataFrame) -> DataFrame:
     """Stand-in for the file path and row index a real Silver table has."""
-    file_number = f"lpad(`offset` div {_OFFSETS_PER_PART * PARTS_PER_FILE}, 5, '0')"
     folder = "'silver/ingestion_date=', ingestion_date, '/ingestion_hour=', ingestion_hour"
     return silver.selectExpr(
-        "*", f"concat({folder}, '/part-', {file_number}, '.parquet') AS file_path", "`offset` AS row_index"
+        "*", f"concat({folder}, '/part-', {FILE_NUMBER}, '.parquet') AS file_path", "`offset` AS row_index"
     )
 
 

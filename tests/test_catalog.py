@@ -97,6 +97,15 @@ def test_increment_is_filtered_in_the_scan(spark, tmp_path):
     assert "loaded_at" in filters and "Subquery" in filters
 
 
+def test_keys_are_listed_not_searched_for(spark):
+    plan = plan_of(judge(spark.createDataFrame([(None,) * 8], S.BRONZE))).lower()
+    assert "jsonobjectkeys" in plan.replace("_", "") and "contains(" not in plan and "replace(" not in plan
+
+
+def test_times_of_messages_take_no_interval(spark):
+    assert "INTERVAL" not in plan_of(catalog.DeliveryLog(spark, TABLES).bronze)
+
+
 def test_applied_order_key_repair_judges_its_messages_once(spark, monkeypatch):
     judged = []
 
