@@ -383,22 +383,18 @@ def _daily_metrics(log: DeliveryLog) -> DataFrame:
     # in one task; refused messages, which belong to no event here, are spread over keys of their own. The first delivery
     # of an event is the first of its first day.
     spread = F.concat(F.lit("refused "), F.col("offset") % 1024)
-    position = sample.with_file_position(
-        log.judged.withColumns(
-            {
-                "accepted": accepted,
-                "key": F.when(accepted, F.col("event_id")).otherwise(spread),
-                "ingestion_date": day,
-                "ingestion_hour": F.lpad(F.hour("ingested_at"), 2, "0"),
-            }
-        )
-    )
-    order = F.struct(*sample.SAMPLE_ORDER, "partition", "ingested_at")
-    per_event = position.groupBy("accepted", "key", F.col("ingestion_date").alias("day")).agg(
+    # Events of a day are ordered as their files are: by hour, number of the file and place in it; the folder's name is the
+    # same for all of an hour and stays out of what is sorted and sent. The hash of the key comes first, since sorting by
+    # it compares numbers, not keys that begin alike.
+    timed = log.judged.withColumns({"accepted": accepted, "day": day, "hour": F.hour("ingested_at")})
+    keyed = timed.withColumn("key", F.when(F.col("accepted"), F.col("event_id")).otherwise(spread))
+    file_number = F.when(F.col("day").isNotNull(), F.expr(sample.FILE_NUMBER)).alias("file_number")
+    order = F.struct("hour", file_number, "offset", "quantity", "unit_price", "partition", "ingested_at")
+    per_event = keyed.groupBy(F.xxhash64("key").alias("hash"), "accepted", "key", "day").agg(
         F.count("*").alias("rows"), F.min(order).alias("first")
     )
     is_first = F.col("accepted") & (
-        F.row_number().over(Window.partitionBy("accepted", "key").orderBy("day")) == 1
+        F.row_number().over(Window.partitionBy("hash", "accepted", "key").orderBy("day")) == 1
     )
     ranked = per_event.withColumn("is_first", is_first)
     routed = ranked.groupBy("day").agg(

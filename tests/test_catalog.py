@@ -106,6 +106,11 @@ def test_times_of_messages_take_no_interval(spark):
     assert "INTERVAL" not in plan_of(catalog.DeliveryLog(spark, TABLES).bronze)
 
 
+def test_daily_metrics_sort_numbers_and_carry_no_folder_names(spark):
+    plan = plan_of(catalog._daily_metrics(catalog.DeliveryLog(spark, TABLES)))
+    assert "ingestion_hour=" not in plan and "xxhash64(" in plan
+
+
 def test_applied_order_key_repair_judges_its_messages_once(spark, monkeypatch):
     judged = []
 
