@@ -34,6 +34,10 @@ class Paths:
     def lake_commits(self) -> str:
         return f"{self.root}/lake/commits"
 
+    def judged_batch(self) -> str:
+        """The messages of the batch that the single-pass stream is at."""
+        return f"{self.root}/lake/judged_batch"
+
     def table(self, name: str) -> str:
         return f"{self.root}/warehouse/{name}"
 

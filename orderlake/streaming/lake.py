@@ -9,7 +9,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -60,9 +60,10 @@ def start_lake_single_pass(
 
     Each micro-batch owns a ``batch_id`` folder per layer and overwrites it when it
     is run again, so a batch interrupted half way is written exactly once. One
-    ingest time holds for the whole batch. When all three layers are written the
-    batch is noted as committed; readers take committed batches only, so no layer
-    shows a batch before the others do.
+    ingest time holds for the whole batch. The judged messages are staged as a table:
+    a cached part would sit in its task's memory, on its way to disk and back too. When
+    all three layers are written the batch is noted as committed; readers take committed
+    batches only, so no layer shows a batch before the others do.
     """
     spark = messages.sparkSession
     files.put_new(spark, f"{paths.lake_commits()}/started", "")
@@ -72,25 +73,31 @@ def start_lake_single_pass(
         if last is not None and last >= batch_id:
             return  # committed before the stream itself noted it; readers may be at it
         stamp = F.lit(datetime.now(timezone.utc)) if ingested_at is None else ingested_at
-        judged = judge(build_bronze(batch, stamp)).persist()
-        kept = [*S.BRONZE.fieldNames(), *(c for c in ("reprocessing_id",) if c in judged.columns)]
-        bronze = judged.withColumn("ingestion_date", F.to_date("kafka_timestamp")).select(*kept)
-        layers = {"bronze": bronze, "silver": build_silver(judged), "quarantine": build_quarantine(judged)}
+        opened = judge(build_bronze(batch, stamp)).drop("unreadable", "first_missing", "event_time_text")
 
-        def write(layer: str) -> None:
-            writer = layers[layer].write.mode("overwrite").option("partitionOverwriteMode", "static")
+        def writer_of(frame: DataFrame) -> DataFrameWriter:
+            return frame.write.mode("overwrite").option("partitionOverwriteMode", "static")
+
+        def write(layer: str, frame: DataFrame) -> None:
             # Tasks put their files in place themselves: nobody reads the batch before it is noted, and a second
             # attempt overwrites it, so the job need not move every file once more.
-            writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+            writer = writer_of(frame).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
             if LAYER_PARTITIONS[layer]:
                 writer = writer.partitionBy(*LAYER_PARTITIONS[layer])
             writer.parquet(f"{paths.lake(layer)}/batch_id={batch_id}")
 
         try:
-            with ThreadPoolExecutor(len(layers)) as pool:  # three jobs at once; the first to want a block parses it
-                list(pool.map(write, layers))
+            writer_of(opened).parquet(paths.judged_batch())
+            # Vectored reads keep direct buffers as large as a row group's longest column, one for each reading thread.
+            reader = batch.sparkSession.read.schema(opened.schema).option("parquet.hadoop.vectored.io.enabled", "false")
+            judged = reader.parquet(paths.judged_batch())
+            kept = [*S.BRONZE.fieldNames(), *(c for c in ("reprocessing_id",) if c in judged.columns)]
+            bronze = judged.withColumn("ingestion_date", F.to_date("kafka_timestamp")).select(*kept)
+            layers = {"bronze": bronze, "silver": build_silver(judged), "quarantine": build_quarantine(judged)}
+            with ThreadPoolExecutor(len(layers)) as pool:  # three jobs at once
+                list(pool.map(write, layers, layers.values()))
         finally:
-            judged.unpersist()
+            files.remove(spark, paths.judged_batch())
         files.put_new(spark, f"{paths.lake_commits()}/{batch_id:012d}", "")
         files.remove(spark, f"{paths.lake_commits()}/{batch_id - 2:012d}")  # the newest says all
 

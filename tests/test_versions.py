@@ -411,6 +411,29 @@ def test_a_half_written_batch_shows_in_no_layer(spark, paths, deliver, monkeypat
     assert layers() == [5, 4, 1] and last_commit(spark, single) == 1
 
 
+def test_a_batch_is_judged_into_a_table_that_goes_with_it(spark, paths, deliver, monkeypatch):
+    import orderlake.streaming.lake as lake
+
+    single, seen, build = Paths(paths.root + "-single"), [], lake.build_quarantine
+
+    def start(quarantine):
+        def spied(judged):
+            seen.append((judged.storageLevel.useMemory, {f.rsplit("/", 2)[-2] for f in judged.inputFiles()}))
+            return quarantine(judged)
+
+        monkeypatch.setattr(lake, "build_quarantine", spied)
+        stream = read_orders_stream(spark, "parquet", path=deliver.topic)
+        start_lake_single_pass(stream, single, {"availableNow": True}, F.lit(T0)).awaitTermination()
+
+    deliver(["not json", *orders(1, 2)], T0)
+    with pytest.raises(Exception, match="lost"):
+        start(lambda judged: judged.selectExpr("raise_error('lost') AS raw_payload"))
+    assert seen == [(False, {"judged_batch"})] and not files.exists(spark, single.judged_batch())
+    start(build)
+    assert seen[1:] == [(False, {"judged_batch"})] and not files.exists(spark, single.judged_batch())
+    assert [read(spark, single).count() for read in (read_bronze, read_silver, read_quarantine)] == [3, 2, 1]
+
+
 def test_a_lake_without_a_committed_batch_is_empty(spark, paths, deliver):
     deliver(orders(1), T0)
     files.put_new(spark, f"{paths.lake_commits()}/started", "")
